@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference has no streams: its sources are full dumps fetched once and every
+derived table is built by one batch statement, so there are no watermarks,
+windows over event time, stateful operators or late data to rebuild. Batch
+DataFrames cover all of it.
+"""
