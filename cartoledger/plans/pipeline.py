@@ -10,7 +10,6 @@ written and read back (R2), which also cuts the lineage of later steps.
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,40 +19,58 @@ from ..session import stage
 from ..sources import adapter
 
 
-@dataclass
 class Inputs:
-    spark: SparkSession
-    registered_names: DataFrame
-    uid_username: DataFrame
-    history_contributor: DataFrame
-    description: DataFrame
-    activity: DataFrame
-    region: DataFrame
-    node_edits: DataFrame
-    way_edits: DataFrame
-    rel_edits: DataFrame
-    meta: DataFrame
-    meta_tags: DataFrame
-    history: DataFrame | None = None
-    tag_history: DataFrame | None = None
+    """Input tables of the pipeline, built on first use.
+
+    Pass DataFrames (for example from ``sources.files``) or zero-argument
+    callables that return them; callables run once, when a step needs the table.
+    """
+
+    NAMES = (
+        "registered_names", "uid_username", "history_contributor", "description", "activity", "region",
+        "node_edits", "way_edits", "rel_edits", "meta", "meta_tags", "history", "tag_history",
+    )
+
+    def __init__(self, spark: SparkSession, **tables):
+        unknown = set(tables) - set(self.NAMES)
+        if unknown:
+            raise TypeError(f"unknown input tables: {sorted(unknown)}")
+        self.spark = spark
+        self._src = tables
+        self._df: dict[str, DataFrame] = {}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in Inputs.NAMES:
+            raise AttributeError(name)
+        if name not in self._df:
+            if name not in self._src:
+                raise ValueError(f"input table {name!r} was not given")
+            src = self._src[name]
+            self._df[name] = src() if callable(src) else src
+        return self._df[name]
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "Inputs":
+        a = adapter
+
+        def bind(fn):
+            return lambda: fn(spark, sf_dir)
+
         return cls(
-            spark=spark,
-            registered_names=adapter.registered_contributor_names(spark, sf_dir),
-            uid_username=adapter.uid_username(spark, sf_dir),
-            history_contributor=adapter.history_contributors(spark, sf_dir),
-            description=adapter.project_description(spark, sf_dir),
-            activity=adapter.project_activity(spark, sf_dir),
-            region=adapter.project_region(spark, sf_dir),
-            node_edits=adapter.node_edits(spark, sf_dir),
-            way_edits=adapter.way_edits(spark, sf_dir),
-            rel_edits=adapter.rel_edits(spark, sf_dir),
-            meta=adapter.changeset_meta(spark, sf_dir),
-            meta_tags=adapter.changeset_meta_tags(spark, sf_dir),
-            history=adapter.history(spark, sf_dir),
-            tag_history=adapter.tag_history(spark, sf_dir),
+            spark,
+            registered_names=bind(a.registered_contributor_names),
+            uid_username=bind(a.uid_username),
+            history_contributor=bind(a.history_contributors),
+            description=bind(a.project_description),
+            activity=bind(a.project_activity),
+            region=bind(a.project_region),
+            node_edits=bind(a.node_edits),
+            way_edits=bind(a.way_edits),
+            rel_edits=bind(a.rel_edits),
+            meta=bind(a.changeset_meta),
+            meta_tags=bind(a.changeset_meta_tags),
+            history=bind(a.history),
+            tag_history=bind(a.tag_history),
         )
 
 
