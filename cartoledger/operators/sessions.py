@@ -63,41 +63,59 @@ def sessionize(
     Adds ``time_since_prev_cs`` (interval; NULL for a session start) and
     ``session`` (long, dense from 1 in (uid, hot_project, first_date, changeset) order).
     Ties on first_date are broken by changeset (the reference leaves them open).
+
+    Rows shuffle once, on (uid, hot_project, bucket). One window pass gives
+    each row its in-bucket predecessor and the running count of session starts
+    that the bucket decides by itself. A per-bucket table (one row per user,
+    project and bucket) then settles whether each bucket's first row starts a
+    session (it needs the previous bucket's last end) and the offset of every
+    bucket; one join brings that back to the rows.
     """
     spark = assigned.sparkSession
     n_parts = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     timeout_us = int(round(timeout_hours * 3_600_000_000))
 
-    rows = assigned.withColumn("_b", F.date_trunc(bucket, "first_date").cast("timestamp_ntz"))
+    def too_long(prev, start):
+        return micros_between(prev, start) > F.lit(timeout_us)
+
     bkey = KEY + ["_b"]
     w_in = Window.partitionBy(*bkey).orderBy(*ORDER)
+    rows = assigned.withColumn("_b", F.date_trunc(bucket, "first_date").cast("timestamp_ntz"))
     rows = rows.withColumn("_prev_in", F.lag("last_date").over(w_in))
+    rows = rows.withColumn(
+        "_n_in",
+        F.sum(F.coalesce(too_long(F.col("_prev_in"), F.col("first_date")), F.lit(False)).cast("long")).over(
+            w_in.rowsBetween(_UNBOUNDED, Window.currentRow)
+        ),
+    )
 
-    # End of the last changeset of each bucket, and of the bucket before it.
-    last_end = rows.groupBy(*bkey).agg(F.max_by("last_date", F.struct(*ORDER)).alias("_b_last"))
+    # One row per bucket: its first start, its last row's end, its own session starts.
+    buckets = rows.groupBy(*bkey).agg(
+        F.min("first_date").alias("_b_first"),
+        F.max_by("last_date", F.struct(*ORDER)).alias("_b_last"),
+        F.max("_n_in").alias("_b_inner"),
+    )
     w_b = Window.partitionBy(*KEY).orderBy("_b")
-    carry = last_end.select(*bkey, F.lag("_b_last").over(w_b).alias("_prev_b"))
-    rows = rows.join(carry, bkey)
+    prev_b = F.lag("_b_last").over(w_b)
+    buckets = buckets.withColumn("_prev_b", prev_b).withColumn(
+        "_b_new", F.coalesce(too_long(F.col("_prev_b"), F.col("_b_first")), F.lit(True)).cast("long")
+    )
+    buckets = buckets.withColumn("_b_starts", F.col("_b_new") + F.col("_b_inner")).withColumn(
+        "_b_ofs", F.coalesce(F.sum("_b_starts").over(w_b.rowsBetween(_UNBOUNDED, -1)), F.lit(0))
+    )
+    groups = buckets.groupBy(*KEY).agg(F.sum("_b_starts").alias("_gn"))
+    groups = exclusive_prefix_sum(groups, KEY, "_gn", "_g_ofs", n_parts)
+    buckets = buckets.join(groups.select(*KEY, "_g_ofs"), KEY).select(
+        *bkey, "_prev_b", "_b_new", (F.col("_g_ofs") + F.col("_b_ofs")).alias("_ofs")
+    )
 
+    out = rows.join(buckets, bkey)
     prev = F.coalesce(F.col("_prev_in"), F.col("_prev_b"))
-    gap_us = micros_between(prev, F.col("first_date"))
-    gap = F.when(gap_us > F.lit(timeout_us), F.lit(None)).otherwise(F.col("first_date") - prev)
-    rows = rows.withColumn("time_since_prev_cs", gap).withColumn(
-        "_new", F.col("time_since_prev_cs").isNull().cast("long")
-    )
-    rows = rows.withColumn("_n_in", F.sum("_new").over(w_in.rowsBetween(_UNBOUNDED, Window.currentRow)))
-
-    # Session starts per bucket -> offset of each bucket inside its group -> offset of each group.
-    per_bucket = rows.groupBy(*bkey).agg(F.sum("_new").alias("_bn"))
-    before_b = Window.partitionBy(*KEY).orderBy("_b").rowsBetween(_UNBOUNDED, -1)
-    per_bucket = per_bucket.withColumn("_b_ofs", F.coalesce(F.sum("_bn").over(before_b), F.lit(0)))
-    per_group = per_bucket.groupBy(*KEY).agg(F.sum("_bn").alias("_gn"))
-    per_group = exclusive_prefix_sum(per_group, KEY, "_gn", "_g_ofs", n_parts)
-    offsets = per_bucket.join(per_group.select(*KEY, "_g_ofs"), KEY).select(
-        *bkey, (F.col("_g_ofs") + F.col("_b_ofs")).alias("_ofs")
+    gap = F.when(too_long(prev, F.col("first_date")), F.lit(None)).otherwise(F.col("first_date") - prev)
+    session = F.col("_ofs") + F.col("_b_new") + F.col("_n_in")
+    return out.select(
+        *assigned.columns, gap.alias("time_since_prev_cs"), session.cast("long").alias("session")
     )
-    out = rows.join(offsets, bkey).withColumn("session", (F.col("_ofs") + F.col("_n_in")).cast("long"))
-    return out.drop("_b", "_prev_in", "_prev_b", "_new", "_n_in", "_ofs")
 
 
 def gaps(assigned: DataFrame, timeout_hours: float = DEFAULT_TIMEOUT_HOURS) -> DataFrame:
