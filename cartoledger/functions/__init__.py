@@ -1,3 +1,3 @@
 """Column helpers: geometry, text, time and rounding expressions (no UDFs)."""
 
-from . import geo, rounding, text, timeops  # noqa: F401
+from . import geo, rounding, sql, text, timeops  # noqa: F401
