@@ -83,10 +83,12 @@ def region_in_world(region: DataFrame) -> DataFrame:
 
 
 def usable_regions(region: DataFrame) -> DataFrame:
-    """Regions that are valid and within the world, with edges and extent."""
-    ok = region_valid(region).where("is_valid").select("hot_project")
-    inside = region.where(geo.within_world("geom"))
-    return region_edges(inside.join(ok, "hot_project", "left_semi"))
+    """Regions that are valid (G4) and within the world (G5), with edges and extent.
+
+    Row-level tests first; the edge-crossing test then removes regions by an anti-join.
+    """
+    ok = region.where(geo.rings_closed("geom") & geo.within_world("geom"))
+    return region_edges(ok.join(_self_crossing_regions(ok), "hot_project", "left_anti"))
 
 
 def _boxes(changeset: DataFrame) -> DataFrame:
