@@ -144,17 +144,21 @@ def in_period(changeset: DataFrame, contributor: DataFrame, activity: DataFrame)
     )
 
 
-def project_side(regions: DataFrame, contributor: DataFrame, activity: DataFrame, description: DataFrame) -> DataFrame:
-    """J4-J6 + P5: one row per (uid, visible project with a usable region), with period and region extent.
+def project_areas(region: DataFrame, activity: DataFrame, description: DataFrame) -> DataFrame:
+    """J4-J6 + P5 + G4 + G5 at project level: visible projects with a usable region.
 
-    ``regions`` is the output of ``usable_regions`` (G4 + G5 already applied).
+    One row per project: hot_project, a_first, a_last, edges, rx0, ry0, rx1, ry1.
+    Small (one row per project) and worth storing once per run.
     """
     visible = description.where(~F.col("is_private") & ~F.col("is_draft")).select("hot_project")
-    return (
-        contributor.select("uid", "hot_project")
-        .join(visible, "hot_project", "left_semi")
-        .join(activity.select("hot_project", F.col("first_date").alias("a_first"), F.col("last_date").alias("a_last")), "hot_project")
-        .join(regions.select("hot_project", "rx0", "ry0", "rx1", "ry1"), "hot_project")
+    period = activity.select("hot_project", F.col("first_date").alias("a_first"), F.col("last_date").alias("a_last"))
+    return usable_regions(region).join(visible, "hot_project", "left_semi").join(period, "hot_project")
+
+
+def project_side(areas: DataFrame, contributor: DataFrame) -> DataFrame:
+    """One row per (uid, project) a contributor may be assigned to, with period and region extent."""
+    return contributor.select("uid", "hot_project").join(
+        areas.select("hot_project", "a_first", "a_last", "rx0", "ry0", "rx1", "ry1"), "hot_project"
     )
 
 
@@ -167,23 +171,19 @@ def assign_rows(
     max_m2: float = geo.MAX_BOX_AREA_M2,
 ) -> DataFrame:
     """J8 + J10 in one pass: every changeset column plus hot_project, one row per assignment."""
-    return assign_usable(changeset, usable_regions(region), contributor, activity, description, max_m2)
+    return assign_to_areas(changeset, project_areas(region, activity, description), contributor, max_m2)
 
 
-def assign_usable(
-    changeset: DataFrame,
-    regions: DataFrame,
-    contributor: DataFrame,
-    activity: DataFrame,
-    description: DataFrame,
-    max_m2: float = geo.MAX_BOX_AREA_M2,
+def assign_to_areas(
+    changeset: DataFrame, areas: DataFrame, contributor: DataFrame, max_m2: float = geo.MAX_BOX_AREA_M2
 ) -> DataFrame:
-    """``assign_rows`` with ``regions`` already passed through ``usable_regions``.
+    """``assign_rows`` with the project level already built by ``project_areas``.
 
-    The changeset rows stream through two broadcast joins and keep their
-    columns, so consumers need no join back to ``changeset``.
+    The changeset rows stream through two broadcast joins (each behind a
+    measured bound) and keep their columns, so consumers need no join back to
+    ``changeset``.
     """
-    proj = project_side(regions, contributor, activity, description)
+    proj = project_side(areas, contributor)
     boxes = changeset.where(geo.box_is_small("min_lat", "max_lat", "min_lon", "max_lon", max_m2))
     cand = boxes.join(
         bounded_broadcast(proj),
@@ -191,7 +191,7 @@ def assign_usable(
         & _overlaps_period(boxes["first_date"], boxes["last_date"], proj["a_first"], proj["a_last"])
         & _box_meets_extent(),
     ).select(*[boxes[c] for c in changeset.columns], proj["hot_project"])
-    edges = bounded_broadcast_by(regions.select("hot_project", "edges"), F.size("edges"))
+    edges = bounded_broadcast_by(areas.select("hot_project", "edges"), F.size("edges"))
     return cand.join(edges, "hot_project").where(_meets_region()).select(*changeset.columns, "hot_project")
 
 

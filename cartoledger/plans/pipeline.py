@@ -110,15 +110,15 @@ class Pipeline:
         return self._stage(changesets.rollup(self.i.node_edits, self.i.way_edits, self.i.rel_edits), "changeset")
 
     @cached_property
-    def regions(self) -> DataFrame:
-        """Valid regions within the world, with edges and extent."""
-        return self._stage(assign.usable_regions(self.i.region), "regions")
+    def areas(self) -> DataFrame:
+        """Visible projects with a valid region within the world: period, edges, extent."""
+        return self._stage(assign.project_areas(self.i.region, self.i.activity, self.i.description), "project_areas")
 
     @cached_property
     def assigned(self) -> DataFrame:
         """Changeset rows with hot_project (J8 + J10 in one pass)."""
         return self._stage(
-            assign.assign_usable(self.changeset, self.regions, self.contributor, self.i.activity, self.i.description),
+            assign.assign_to_areas(self.changeset, self.areas, self.contributor),
             "assigned",
         )
 
