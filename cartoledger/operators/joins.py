@@ -20,12 +20,15 @@ DEFAULT_MAX_ROWS = 2_000_000
 DEFAULT_MAX_ELEMENTS = 4_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged (shuffle join)."""
+    max_rows = DEFAULT_MAX_ROWS if max_rows is None else max_rows
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
 
-def bounded_broadcast_by(df: DataFrame, weight: Column, max_total: int = DEFAULT_MAX_ELEMENTS) -> DataFrame:
+def bounded_broadcast_by(df: DataFrame, weight: Column, max_total: int | None = None) -> DataFrame:
     """Broadcast when the sum of ``weight`` over all rows (e.g. edges per region) is within ``max_total``."""
+    max_total = DEFAULT_MAX_ELEMENTS if max_total is None else max_total
     total = df.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("w")).first()["w"]
     return F.broadcast(df) if total <= max_total else df
