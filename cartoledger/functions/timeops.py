@@ -34,7 +34,7 @@ def micros_between(start, end) -> Column:
 def time_of_day(ts) -> Column:
     """``ts::time`` as the interval since midnight."""
     ts = _c(ts)
-    return ts - F.date_trunc("DAY", ts).cast("timestamp_ntz")
+    return ts - F.to_date(ts).cast("timestamp_ntz")
 
 
 def interval_micros(iv) -> Column:

@@ -52,6 +52,12 @@ def exclusive_prefix_sum(df: DataFrame, order_cols: list[str], value_col: str, o
     )
 
 
+def _bucket_of(ts, bucket: str):
+    """Calendar bucket of a TIMESTAMP_NTZ as a DATE; zone-free (no session time zone involved)."""
+    day = F.to_date(ts)
+    return day if bucket.upper() == "DAY" else F.trunc(day, bucket.lower())
+
+
 def sessionize(
     assigned: DataFrame,
     timeout_hours: float = DEFAULT_TIMEOUT_HOURS,
@@ -80,7 +86,7 @@ def sessionize(
 
     bkey = KEY + ["_b"]
     w_in = Window.partitionBy(*bkey).orderBy(*ORDER)
-    rows = assigned.withColumn("_b", F.date_trunc(bucket, "first_date").cast("timestamp_ntz"))
+    rows = assigned.withColumn("_b", _bucket_of(F.col("first_date"), bucket))
     rows = rows.withColumn("_prev_in", F.lag("last_date").over(w_in))
     rows = rows.withColumn(
         "_n_in",

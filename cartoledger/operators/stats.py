@@ -19,7 +19,7 @@ def monthly(assigned: DataFrame) -> DataFrame:
 
     A changeset in two projects counts once per project, as in the reference.
     """
-    return assigned.groupBy(F.date_format("last_date", "yyyy-MM").alias("month")).agg(
+    return assigned.groupBy(F.date_format(F.to_date("last_date"), "yyyy-MM").alias("month")).agg(
         F.count_distinct("hot_project").alias("num_projects"),
         F.count_distinct("uid").alias("num_users"),
         F.sum("num_edits").cast("long").alias("num_edits"),
