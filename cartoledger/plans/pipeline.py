@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import assign, changesets, checks, contributions, contributors, history, sessions, stats
 from ..session import stage
-from ..sources import adapter
+from ..sources import adapter, files
 
 
 class Inputs:
@@ -49,6 +49,31 @@ class Inputs:
             self._df[name] = src() if callable(src) else src
         return self._df[name]
 
+    @classmethod
+    def from_paths(cls, spark: SparkSession, changesets_xml: str | None = None, **paths: str) -> "Inputs":
+        """Inputs from files in the formats the reference loads (see ``sources.files.FORMATS``).
+
+        ``paths`` maps input names (``registered_names``, ``uid_username``, ``node_edits`` ...) to
+        paths. ``changesets_xml`` is the changeset dump; it supplies ``meta`` and ``meta_tags``
+        unless those are given as TSV files. Tables are read when a step first needs them.
+        """
+        src: dict = {}
+        for name, path in paths.items():
+            if name not in files.FORMATS:
+                raise TypeError(f"no file format known for input {name!r}")
+            src[name] = (lambda n=name, p=path: files.read_input(spark, n, p))
+        if changesets_xml is not None:
+            dump: dict = {}
+
+            def part(i: int):
+                if "t" not in dump:
+                    dump["t"] = files.read_changesets(spark, changesets_xml)
+                return dump["t"][i]
+
+            src.setdefault("meta", lambda: part(0))
+            src.setdefault("meta_tags", lambda: part(2))
+        return cls(spark, **src)
+
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "Inputs":
         a = adapter

@@ -148,3 +148,30 @@ def read_regions(spark: SparkSession, path: str) -> DataFrame:
 def export_csv(df: DataFrame, path: str) -> None:
     """A single-column id list as CSV files (no header), as psql ``\\copy (...) TO .. CSV``."""
     df.write.mode("overwrite").csv(path, header=False)
+
+
+# Input name -> (file format, declared table). "tsv": S1 (CSV, tab, header);
+# "copy": S2 (COPY text); "geojson": S5.
+FORMATS: dict[str, tuple[str, str]] = {
+    "registered_names": ("tsv", "hot_project_registered_contributor_name"),
+    "uid_username": ("copy", "uid_username"),
+    "history_contributor": ("tsv", "hot_project_history_contributor"),
+    "description": ("tsv", "hot_project_description"),
+    "activity": ("tsv", "hot_project_activity"),
+    "region": ("geojson", "hot_project_region"),
+    "node_edits": ("copy", "node_edits"),
+    "way_edits": ("copy", "way_edits"),
+    "rel_edits": ("copy", "rel_edits"),
+    "meta": ("tsv", "changeset_meta"),
+    "meta_tags": ("tsv", "changeset_meta_tags"),
+}
+
+
+def read_input(spark: SparkSession, name: str, path: str, multiline: bool = False) -> DataFrame:
+    """Read one pipeline input in its declared format and schema."""
+    fmt, table = FORMATS[name]
+    if fmt == "tsv":
+        return read_tsv(spark, path, table, multiline=multiline)
+    if fmt == "copy":
+        return read_copy_text(spark, path, table)
+    return read_regions(spark, path)
