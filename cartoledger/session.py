@@ -38,7 +38,10 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     if fallback is None:
         raise RuntimeError("spark.checkpoint.dir is unset; pass a shared folder as fallback")
     spark.conf.set("spark.checkpoint.dir", fallback)
-    spark.sparkContext.setCheckpointDir(fallback)
+    try:
+        spark.sparkContext.setCheckpointDir(fallback)
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext (Spark Connect) keep the conf only
+        pass
     return fallback
 
 
@@ -50,7 +53,7 @@ def _stage_root(spark: SparkSession) -> str:
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         return current.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
+    if spark.conf.get("spark.master", "").startswith("local"):
         # Only a local test session may fall back to a folder of its own.
         return checkpoint_dir(spark, "/tmp/cartoledger-checkpoints")
     raise RuntimeError("spark.checkpoint.dir is unset: name a shared folder for intermediate tables")
@@ -68,4 +71,4 @@ def stage(df, name: str, run_id: str | None = None):
     spark = df.sparkSession
     path = f"{_stage_root(spark)}/cartoledger/{run_id or uuid.uuid4().hex}/{name}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
