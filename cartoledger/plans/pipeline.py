@@ -222,8 +222,17 @@ class Pipeline:
     def way_deletions(self) -> DataFrame:
         return history.way_deletions(self.i.history, changesets.way_id_list(self.i.way_edits))
 
+    # input name -> declared table, for the NOT NULL checks
+    _DECLARED = {
+        "registered_names": "hot_project_registered_contributor_name", "uid_username": "uid_username",
+        "history_contributor": "hot_project_history_contributor", "description": "hot_project_description",
+        "activity": "hot_project_activity", "node_edits": "node_edits", "way_edits": "way_edits",
+        "rel_edits": "rel_edits", "meta": "changeset_meta", "meta_tags": "changeset_meta_tags",
+    }
+
     def checks(self) -> dict[str, DataFrame]:
-        return {
+        """Offending rows per constraint of the reference (empty DataFrames when the data are clean)."""
+        out = {
             "uid_username_by_username": checks.duplicates(self.i.uid_username, ["username"]),
             "uid_username_by_uid": checks.duplicates(self.i.uid_username, ["uid"]),
             "contributor": checks.duplicates(self.contributor, ["hot_project", "uid"]),
@@ -233,6 +242,10 @@ class Pipeline:
             "session": checks.duplicates(self.session, ["uid", "hot_project", "session"]),
             "changeset_not_null": checks.null_violations_of(self.changeset, "changeset"),
         }
+        for name, table in self._DECLARED.items():
+            if name in self.i._src:
+                out[f"{name}_not_null"] = checks.null_violations_of(getattr(self.i, name), table)
+        return out
 
 
 def save(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
