@@ -13,6 +13,10 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcasts: never from plan-time estimates; only the library's size-checked hints
+    # (operators/joins.py), or AQE at run time from measured shuffle sizes.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
