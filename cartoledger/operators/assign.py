@@ -4,12 +4,14 @@ A changeset belongs to a project when its author contributes to the project,
 it overlaps the project's activity period, the project is visible, its box has
 coordinates and is at most 100 km2, and the box meets the project region.
 
-Plan: the project side (contributor x activity x description x valid region)
-is small and keyed by uid; it is broadcast behind a measured bound, so the
-large changeset table streams through a hash join without being shuffled. The
-time test and a cheap region-extent test ride on the join as a residual; the
-exact edge test runs afterwards against the region edges, again broadcast
-behind a bound (else shuffled on hot_project with AQE skew splitting).
+Plan: the project level (activity x visible description x valid region within
+the world) is built once per run by ``project_areas``, one row per project.
+Joined to the contributors it gives the project side, keyed by uid and small;
+it is broadcast behind a measured bound, so the large changeset table streams
+through a hash join without being shuffled. The time test and a cheap
+region-extent test ride on that join as a residual; the exact edge test runs
+afterwards against the region edges, again broadcast behind a bound. Beyond
+either bound the join shuffles on its key and AQE splits hot users or projects.
 """
 
 from __future__ import annotations
