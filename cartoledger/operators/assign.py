@@ -177,13 +177,18 @@ def assign_rows(
 
 
 def assign_to_areas(
-    changeset: DataFrame, areas: DataFrame, contributor: DataFrame, max_m2: float = geo.MAX_BOX_AREA_M2
+    changeset: DataFrame,
+    areas: DataFrame,
+    contributor: DataFrame,
+    max_m2: float = geo.MAX_BOX_AREA_M2,
+    edges_total: int | None = None,
 ) -> DataFrame:
     """``assign_rows`` with the project level already built by ``project_areas``.
 
     The changeset rows stream through two broadcast joins (each behind a
     measured bound) and keep their columns, so consumers need no join back to
-    ``changeset``.
+    ``changeset``. ``edges_total`` is the measured number of region edges in
+    ``areas``, if known.
     """
     proj = project_side(areas, contributor)
     boxes = changeset.where(geo.box_is_small("min_lat", "max_lat", "min_lon", "max_lon", max_m2))
@@ -193,7 +198,7 @@ def assign_to_areas(
         & _overlaps_period(boxes["first_date"], boxes["last_date"], proj["a_first"], proj["a_last"])
         & _box_meets_extent(),
     ).select(*[boxes[c] for c in changeset.columns], proj["hot_project"])
-    edges = bounded_broadcast_by(areas.select("hot_project", "edges"), F.size("edges"))
+    edges = bounded_broadcast_by(areas.select("hot_project", "edges"), F.size("edges"), known_total=edges_total)
     return cand.join(edges, "hot_project").where(_meets_region()).select(*changeset.columns, "hot_project")
 
 

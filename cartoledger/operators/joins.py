@@ -27,8 +27,17 @@ def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
-def bounded_broadcast_by(df: DataFrame, weight: Column, max_total: int | None = None) -> DataFrame:
-    """Broadcast when the sum of ``weight`` over all rows (e.g. edges per region) is within ``max_total``."""
+def bounded_broadcast_by(
+    df: DataFrame, weight: Column, max_total: int | None = None, known_total: int | None = None
+) -> DataFrame:
+    """Broadcast when the sum of ``weight`` over all rows (e.g. edges per region) is within ``max_total``.
+
+    ``known_total`` is that sum when it was already measured (for example while the
+    table was stored); then no job runs here.
+    """
     max_total = DEFAULT_MAX_ELEMENTS if max_total is None else max_total
-    total = df.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("w")).first()["w"]
+    if known_total is not None:
+        total = known_total
+    else:
+        total = df.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("w")).first()["w"]
     return F.broadcast(df) if total <= max_total else df

@@ -13,9 +13,10 @@ import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import assign, changesets, checks, contributions, contributors, history, sessions, stats
-from ..session import stage
+from ..session import stage, stage_with_metrics
 from ..sources import adapter, files
 
 
@@ -136,14 +137,27 @@ class Pipeline:
 
     @cached_property
     def areas(self) -> DataFrame:
-        """Visible projects with a valid region within the world: period, edges, extent."""
-        return self._stage(assign.project_areas(self.i.region, self.i.activity, self.i.description), "project_areas")
+        """Visible projects with a valid region within the world: period, edges, extent.
+
+        When stored, the write also measures the total number of edges, the
+        bound the assignment needs before broadcasting them.
+        """
+        df = assign.project_areas(self.i.region, self.i.activity, self.i.description)
+        if not self.staged:
+            return df
+        stored, m = stage_with_metrics(
+            df, "project_areas", [F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("edges")], self.run_id
+        )
+        self.area_edges = int(m["edges"])
+        return stored
 
     @cached_property
     def assigned(self) -> DataFrame:
         """Changeset rows with hot_project (J8 + J10 in one pass)."""
         return self._stage(
-            assign.assign_to_areas(self.changeset, self.areas, self.contributor),
+            assign.assign_to_areas(
+                self.changeset, self.areas, self.contributor, edges_total=getattr(self, "area_edges", None)
+            ),
             "assigned",
         )
 

@@ -63,6 +63,23 @@ def _stage_root(spark: SparkSession) -> str:
     raise RuntimeError("spark.checkpoint.dir is unset: name a shared folder for intermediate tables")
 
 
+def stage_with_metrics(df, name: str, metrics: list, run_id: str | None = None):
+    """``stage`` that also returns aggregate ``metrics`` (Columns) computed while writing.
+
+    The metrics ride on the write job (``DataFrame.observe``), so a size needed
+    later, such as a broadcast bound, costs no extra pass over the data.
+    """
+    import uuid
+
+    from pyspark.sql import Observation
+
+    spark = df.sparkSession
+    path = f"{_stage_root(spark)}/cartoledger/{run_id or uuid.uuid4().hex}/{name}"
+    seen = Observation(f"stage_{name}_{uuid.uuid4().hex[:8]}")
+    df.observe(seen, *metrics).write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), dict(seen.get)
+
+
 def stage(df, name: str, run_id: str | None = None):
     """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back.
 
