@@ -40,3 +40,20 @@ def test_stage_under_checkpoint_dir(spark):
     back = stage(df, "probe")
     root = spark.conf.get("spark.checkpoint.dir")
     assert any(root.rstrip("/").replace("file:", "") in f.replace("file:", "") for f in back.inputFiles())
+
+
+def test_stage_with_metrics_and_known_bound(spark):
+    from pyspark.sql import functions as F
+
+    from cartoledger.operators import joins
+    from cartoledger.session import stage_with_metrics
+
+    df = spark.createDataFrame([(1, [1.0, 2.0]), (2, [3.0])], "k int, xs array<double>")
+    back, m = stage_with_metrics(df, "probe_metrics", [F.count(F.lit(1)).alias("rows"), F.sum(F.size("xs")).alias("n")])
+    assert m == {"rows": 2, "n": 3}
+    assert sorted(r.k for r in back.collect()) == [1, 2]
+    small = joins.bounded_broadcast_by(back, F.size("xs"), max_total=3, known_total=m["n"])
+    big = joins.bounded_broadcast_by(back, F.size("xs"), max_total=2, known_total=m["n"])
+    joined_small = spark.range(3).join(small, F.col("id") == F.col("k"))
+    joined_big = spark.range(3).join(big, F.col("id") == F.col("k"))
+    assert sorted(r.k for r in joined_small.collect()) == sorted(r.k for r in joined_big.collect()) == [1, 2]
