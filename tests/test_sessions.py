@@ -109,3 +109,28 @@ def test_exclusive_prefix_sum(spark):
     for k in range(50):
         assert out[k] == run
         run += k % 3 + 1
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_minutes = st.integers(min_value=0, max_value=60 * 24 * 6)
+_changeset = st.tuples(
+    st.integers(min_value=1, max_value=3),  # uid
+    st.integers(min_value=1, max_value=2),  # project
+    _minutes,  # start, minutes after 2024-01-01
+    st.sampled_from([0, 5, 30, 60, 61, 120, 600]),  # duration, minutes
+)
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(_changeset, min_size=1, max_size=60), st.integers(min_value=1, max_value=5))
+def test_sessionize_equals_serial_scan(spark, items, n_parts):
+    base = dt.datetime(2024, 1, 1)
+    data = []
+    for cs, (uid, proj, start, dur) in enumerate(items, start=1):
+        a = base + dt.timedelta(minutes=start)
+        data.append((uid, proj, cs, a, a + dt.timedelta(minutes=dur), 1, 0, 0, 1))
+    df = spark.createDataFrame(data, SCHEMA)
+    got = {(r.uid, r.hot_project, r.changeset): r.session for r in sessions.sessionize(df, n_parts=n_parts).collect()}
+    assert got == _brute_force(data)
