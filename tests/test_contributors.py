@@ -40,3 +40,33 @@ def test_tagged_contributors(spark):
     assert rows(contributors.tagged_contributors(meta, tags)) == [
         ("#hotosm-project-3", 3, 5, "eve"), ("#hotosm-project-4", 4, 5, "eve")
     ]
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_names = st.sampled_from(["a", "b", "c"])
+_reg = st.tuples(st.integers(1, 2), st.one_of(st.none(), st.integers(1, 3)), _names, st.integers(1, 4))
+_hist = st.tuples(st.integers(1, 2), st.integers(1, 3), _names)
+
+
+def _reference_form(reg, hist):
+    """The reference's FULL OUTER JOIN on (project, uid) + COALESCE + GROUP BY, emulated row by row."""
+    hp = [(p, u, n, True) for (p, u, n, _) in reg if u is not None]
+    hc = [(p, u, n, None) for (p, u, n) in hist]
+    out = set()
+    for a in hp:
+        out.add(a)  # every registered row appears, coalesce takes its values
+    for b in hc:
+        if not any(a[0] == b[0] and a[1] == b[1] for a in hp):
+            out.add((b[0], b[1], b[2], False))  # unmatched tag side: has_submitted_tasks false
+    return sorted(out)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(_reg, max_size=8), st.lists(_hist, max_size=8))
+def test_combined_equals_reference_form(spark, reg, hist):
+    r = spark.createDataFrame(reg, REG)
+    h = spark.createDataFrame([("#t", p, u, n) for (p, u, n) in hist], HIST)
+    got = sorted(tuple(x) for x in contributors.combined(r, h).collect())
+    assert got == _reference_form(reg, hist)
