@@ -103,3 +103,29 @@ def test_bbox_wkt(spark):
     out = [r.w for r in df.select(geo.bbox_wkt("a", "b", "c", "d").alias("w")).collect()]
     assert out[0] == "POLYGON((3.0000000 1.0000000,4.0000000 1.0000000,4.0000000 2.0000000,3.0000000 2.0000000,3.0000000 1.0000000))"
     assert out[1] is None
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_pt = st.tuples(st.integers(-20, 20), st.integers(-20, 20)).map(lambda p: [p[0] / 4.0, p[1] / 4.0])
+
+
+def _crosses(a, b):
+    def o(p, q, r):
+        return (q[0] - p[0]) * (r[1] - p[1]) - (q[1] - p[1]) * (r[0] - p[0])
+
+    return o(a[0], a[1], b[0]) * o(a[0], a[1], b[1]) < 0 and o(b[0], b[1], a[0]) * o(b[0], b[1], a[1]) < 0
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.lists(_pt, min_size=3, max_size=9), min_size=1, max_size=6))
+def test_grid_crossing_equals_all_pairs(spark, rings):
+    data = [(i, [[ring + [ring[0]]]]) for i, ring in enumerate(rings)]
+    regions = _regions(spark, data)
+    got = {r.hot_project: r.is_valid for r in assign.region_valid(regions).collect()}
+    for i, ring in enumerate(rings):
+        closed = ring + [ring[0]]
+        edges = list(zip(closed, closed[1:]))
+        bad = any(_crosses(edges[a], edges[b]) for a in range(len(edges)) for b in range(a + 1, len(edges)))
+        assert got[i] == (not bad), (i, ring)
