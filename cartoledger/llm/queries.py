@@ -13,6 +13,7 @@ from cartoledger.llm import (
     htmltext,
     langid,
     linededup,
+    lm,
     mixing,
     quality,
     simhash,
@@ -115,3 +116,16 @@ QUERIES: dict[str, Query] = {
         op9_simhash_dedup,
     )
 }
+
+
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document, learned from six of seven folds."""
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(fold(F.col("doc_id"), 7) == 2, F.lit(False))
+    out = lm.score(docs, ~held_out & F.col("doc_id").isNotNull())
+    return out.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
+QUERIES["op10_lm_scoring"] = op10_lm_scoring
