@@ -52,7 +52,7 @@ def ngram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
         bits >>= 1
         if bits:
             part = part[:-length] * power + part[length:]
-            power = power * power
+            power = np.uint64(int(power) ** 2 & 0xFFFFFFFFFFFFFFFF)
             length *= 2
     return out
 

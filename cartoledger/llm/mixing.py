@@ -12,12 +12,13 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartoledger.llm.common import checkpointed
+from cartoledger.llm.common import checkpointed, free_name
 
 BUCKETS = 1 << 15
 PREFIX = 4
@@ -38,13 +39,14 @@ def _words(text: Column) -> Column:
     return F.split(F.translate(F.coalesce(text, F.lit("")), blanks, " " * len(blanks)), " ")
 
 
-def _with_style(docs: DataFrame) -> DataFrame:
-    """Adds to the words one token for the share of distinct words, in tenths: repetition is a matter of style."""
-    words = F.filter(_words(F.col("text")), lambda w: w != "")
-    ratio = F.floor(F.size(F.array_distinct("words")) * 10 / F.greatest(F.size("words"), F.lit(1)))
-    return docs.withColumn("words", words).withColumn(
-        "tokens", F.concat("words", F.array(F.concat(F.lit("\x01"), ratio.cast("string"))))
-    )
+def _with_features(
+    docs: DataFrame, text_col: str = "text", words: str = "words", features: str = "features"
+) -> DataFrame:
+    """Adds the words, and the hash buckets of their heads and of the share of distinct words in tenths."""
+    own = docs.withColumn(words, F.filter(_words(docs[text_col]), lambda w: w != ""))
+    ratio = F.floor(F.size(F.array_distinct(words)) * 10 / F.greatest(F.size(words), F.lit(1)))
+    style = F.concat(F.lit("\x01"), ratio.cast("string"))  # no word starts with a control character of this kind
+    return own.withColumn(features, F.transform(F.array_append(words, style), _feature))
 
 
 def _feature(word: Column) -> Column:
@@ -52,82 +54,116 @@ def _feature(word: Column) -> Column:
     return F.pmod(F.xxhash64(F.substring(word, 1, PREFIX)), F.lit(BUCKETS)).cast("int")
 
 
+@dataclass(frozen=True)
+class Model:
+    """Bernoulli naive Bayes over the presence of features: at most ``BUCKETS`` features."""
+
+    buckets: list[int]
+    weights: dict[str, list[float]]  # per domain, log odds of each feature's presence
+    offsets: dict[str, float]  # per domain, log prior and log probability that no feature is present
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
     sample_rows: int = 12_000,
-    min_docs: int = 5,
+    min_docs: int = 3,
     min_effect: float = 0.7,
     smoothing: float = 0.5,
-) -> tuple[DataFrame, dict[str, float]]:
-    """``((bucket, w_DOMAIN...), prior logs)`` of a naive Bayes classifier over words present in a document.
+) -> Model:
+    """Fit the classifier on the labelled documents.
 
     Fitted on at most ``sample_rows`` labelled documents, those of least hash
     of the id (a documented bound; the corpus itself is never sampled).
     ``labels`` needs doc_id, quality, toxic; rows with a null count for
     nothing, and a document labelled more than once takes its least wanted
-    domain. Features with little effect (under ``min_effect`` in log odds
-    against all domains) or found in fewer than ``min_docs`` documents have no
-    weight. The model has at most ``BUCKETS`` rows.
+    domain. A feature counts if it is present in ``min_docs`` documents or
+    more and its frequency in some domain differs by ``min_effect`` (in logs)
+    and by four standard deviations from its frequency overall.
     """
     rank = F.array_position(F.array(*[F.lit(d) for d in DOMAINS]), F.col("domain"))
     own = (
-        labels.select(labels["doc_id"].cast("long").alias("doc_id"), domain_of(labels["quality"], labels["toxic"]).alias("domain"))
+        labels.select(
+            labels["doc_id"].cast("long").alias("doc_id"), domain_of(labels["quality"], labels["toxic"]).alias("domain")
+        )
         .where("doc_id is not null and domain is not null")
         .groupBy("doc_id")
         .agg(F.min(rank).alias("rank"))
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(sample_rows)
     )
-    present = (
-        _with_style(docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text")).join(F.broadcast(own), "doc_id"))
-        .select("doc_id", "rank", F.explode(F.array_distinct(F.transform("tokens", _feature))).alias("bucket"))
+    texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
+    present = _with_features(texts.join(F.broadcast(own), "doc_id")).select(
+        "rank", F.explode(F.array_append(F.array_distinct("features"), F.lit(-1))).alias("bucket")
     )
     # Per feature and domain the number of documents that have it; bucket -1 counts the documents.
-    sizes = [F.sum((F.col("rank") == i + 1).cast("long")).alias(f"n_{d}") for i, d in enumerate(DOMAINS)]
-    counted = checkpointed(
-        present.union(present.select("doc_id", "rank", F.lit(-1).alias("bucket")).distinct()).groupBy("bucket").agg(*sizes)
+    counted = present.groupBy("bucket").agg(
+        *[F.sum((F.col("rank") == i + 1).cast("long")).alias(d) for i, d in enumerate(DOMAINS)]
+    )
+    rows = {r["bucket"]: [r[d] for d in DOMAINS] for r in counted.collect()}  # at most BUCKETS + 1 rows
+    known = rows.pop(-1, [0] * len(DOMAINS))
+    everything = sum(known)
+    chosen, frequencies = [], []
+    for bucket, n in sorted(rows.items()):
+        if sum(n) < min_docs:
+            continue
+        overall = (sum(n) + smoothing) / (everything + 2 * smoothing)
+        own_frequency = [(a + 2 * smoothing * overall) / (b + 2 * smoothing) for a, b in zip(n, known, strict=True)]
+        usual = [sum(n) * b / everything for b in known]
+        if any(
+            abs(math.log(f / overall)) >= min_effect and (a - u) ** 2 >= 16 * u
+            for f, a, u in zip(own_frequency, n, usual, strict=True)
+        ):
+            chosen.append(bucket)
+            frequencies.append([min(max(f, 1e-4), 1 - 1e-4) for f in own_frequency])
+    return Model(
+        chosen,
+        {d: [round(math.log(f[i] / (1 - f[i])), 6) for f in frequencies] for i, d in enumerate(DOMAINS)},
+        {
+            d: round(
+                math.log((known[i] + 1) / (everything + len(DOMAINS))) + sum(math.log(1 - f[i]) for f in frequencies), 6
+            )
+            for i, d in enumerate(DOMAINS)
+        },
     )
-    totals = counted.where("bucket = -1").first()
-    known = {d: (totals[f"n_{d}"] if totals else 0) for d in DOMAINS}
-    everything = sum(known.values())
-    priors = {d: math.log((known[d] + 1) / (everything + len(DOMAINS))) for d in DOMAINS}
-    together = reduce(lambda a, b: a + b, [F.col(f"n_{d}") for d in DOMAINS])
-    overall = (together + smoothing) / (everything + 2 * smoothing)
-    weights = [
-        F.log((F.col(f"n_{d}") + smoothing * 2 * overall) / (known[d] + smoothing * 2) / overall)
-        for d in DOMAINS
-    ]
-    # A weight needs an effect and a count that chance does not explain (four standard deviations).
-    usual = {d: together * (known[d] / max(1, everything)) for d in DOMAINS}
-    chance = {d: F.pow(F.col(f"n_{d}") - usual[d], 2) >= 16 * usual[d] for d in DOMAINS}
-    weights = [F.when(chance[d] & (F.abs(w) >= min_effect), w).otherwise(0.0).alias(f"w_{d}") for d, w in zip(DOMAINS, weights, strict=True)]
-    strong = reduce(lambda a, b: a | b, [F.col(f"w_{d}") != 0 for d in DOMAINS])
-    model = counted.where((F.col("bucket") >= 0) & (together >= min_docs)).select("bucket", *weights).where(strong)
-    return model, priors
-
-
-def posteriors(docs: DataFrame, model: DataFrame, priors: dict[str, float]) -> DataFrame:
-    """``(doc_id, n_tokens, p_DOMAIN...)``, one row per document; whole texts.
-
-    Rows that share an id are one document; a null id is a document of its own
-    group. A document without words has the priors as posteriors and no token.
+
+
+def _constant(values: list, kind: str) -> Column:
+    """A constant array, folded by the optimizer from one string."""
+    if not values:
+        return F.array().cast(f"array<{kind}>")
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+
+
+def with_posteriors(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """``docs`` plus ``n_tokens`` and ``p_DOMAIN``: whole texts, row by row, no shuffle.
+
+    A null or empty text has no token; what its posteriors are follows from
+    the absence of all features.
     """
-    exploded = _with_style(
-        docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
-    ).select("doc_id", F.size("words").alias("n"), F.posexplode("tokens").alias("at", "token"))
-    # The model is bounded by its number of buckets, so it may be broadcast at any scale.
-    scored = exploded.select(
-        "doc_id", F.when(F.col("at") == F.col("n"), F.col("n")).otherwise(0).alias("own"), _feature(F.col("token")).alias("bucket")
-    ).join(F.broadcast(model), "bucket", "left")
-    sums = [F.sum(F.coalesce(F.col(f"w_{d}"), F.lit(0.0))).alias(f"s_{d}") for d in DOMAINS]
-    scored = scored.groupBy("doc_id").agg(F.sum("own").cast("long").alias("n_tokens"), *sums)
-    # Rounded, so that the order in which partial sums meet cannot show in a result.
-    logs = {d: F.round(F.col(f"s_{d}"), 6) + priors[d] for d in DOMAINS}
+    names = {k: free_name(docs, k) for k in ("words", "features", "present", *(f"s_{d}" for d in DOMAINS))}
+    buckets = _constant(model.buckets, "int")
+    found = _with_features(docs, text_col, names["words"], names["features"])
+    found = found.withColumn(names["present"], F.array_intersect(names["features"], buckets))
+    for d in DOMAINS:
+        weights = _constant(model.weights[d], "double")
+        found = found.withColumn(
+            names[f"s_{d}"],
+            F.aggregate(
+                names["present"],
+                F.lit(model.offsets[d]),
+                lambda s, b: s + F.get(weights, F.array_position(buckets, b).cast("int") - 1),
+            ),
+        )
+    logs = {d: F.col(names[f"s_{d}"]) for d in DOMAINS}
     most = F.greatest(*logs.values())
     parts = {d: F.exp(F.greatest(logs[d] - most, F.lit(-60.0))) for d in DOMAINS}
     whole = reduce(lambda a, b: a + b, parts.values())
-    return scored.select("doc_id", "n_tokens", *[F.round(parts[d] / whole, 9).alias(f"p_{d}") for d in DOMAINS])
+    return found.select(
+        *[docs[c] for c in docs.columns],
+        F.size(names["words"]).cast("long").alias("n_tokens"),
+        *[F.round(parts[d] / whole, 9).alias(f"p_{d}") for d in DOMAINS],
+    )
 
 
 def _solve(matrix: list[list[float]], right: list[float]) -> list[float]:
@@ -148,52 +184,78 @@ def _solve(matrix: list[list[float]], right: list[float]) -> list[float]:
 
 def fit_rates(
     members: DataFrame, targets: dict[str, float], steps: int = 30, tolerance: float = 1e-6, cut_every: int = 10
-) -> DataFrame:
-    """``members(doc_id, n_tokens, p_...)`` plus ``rate``: projected-gradient least squares.
+) -> list[list[float]]:
+    """Steps that lead rates of 1 to the fitted ones (see ``rate_of``), from ``members(n_tokens, p_...)``.
 
     Minimises the distance between the expected tokens of each domain and its
-    target share of all tokens, over nonnegative rates, starting from rate 1.
+    target share of all tokens, over nonnegative rates, by projected gradient.
     With ``G = sum(n * p p')`` the step is ``rate - p' G^-1 (A rate - target)``:
     gradient descent in the metric where every token counts alike, exact in one
     step if no rate would become negative; the projection sets those to zero.
     A tiny ridge keeps ``G`` invertible when a domain is absent (its target is
     then out of reach and the rest is met as well as possible). An empty table
-    or one without tokens keeps rate 1.
+    or one without tokens needs no step.
     """
     weight = sum(targets.get(d, 0.0) for d in DOMAINS)
     if weight <= 0 or any(targets.get(d, 0.0) < 0 for d in DOMAINS):
         raise ValueError("target weights must be nonnegative and not all zero")
-    p = {d: F.col(f"p_{d}") for d in DOMAINS}
-    n = F.col("n_tokens")
+    p, n = {d: F.col(f"p_{d}") for d in DOMAINS}, F.col("n_tokens")
     moments = members.agg(
         F.sum(n).alias("all"),
         *[F.round(F.sum(n * p[a] * p[b]), 3).alias(f"{a}_{b}") for a in DOMAINS for b in DOMAINS],
     ).first()
     total = float(moments["all"] or 0)
     if not total:
-        return members.withColumn("rate", F.lit(1.0))
+        return []
     ridge = 1e-9 * total
     gram = [[moments[f"{a}_{b}"] + (ridge if a == b else 0.0) for b in DOMAINS] for a in DOMAINS]
     goal = [targets.get(d, 0.0) / weight * total for d in DOMAINS]
-    current = members.withColumn("rate", F.lit(1.0))
-    rate = F.col("rate")
+    name = free_name(members, "rate")
+    current = members.select("n_tokens", *[f"p_{d}" for d in DOMAINS], F.lit(1.0).alias(name))
+    moves: list[list[float]] = []
+    since: list[list[float]] = []
     for step in range(steps):
+        rate = rate_of(since, F.col(name))
         expected = current.agg(*[F.round(F.sum(rate * n * p[d]), 3).alias(d) for d in DOMAINS]).first()
         residual = [expected[d] - g for d, g in zip(DOMAINS, goal, strict=True)]
-        if max(abs(r) for r in residual) <= tolerance * total:
+        move = [round(m, 9) for m in _solve(gram, residual)]
+        if max(abs(r) for r in residual) <= tolerance * total or max(map(abs, move)) <= tolerance:
             break
-        move = _solve(gram, residual)
-        rate = F.greatest(F.lit(0.0), rate - reduce(lambda a, b: a + b, [p[d] * m for d, m in zip(DOMAINS, move, strict=True)]))
+        moves.append(move)
+        since.append(move)
         if (step + 1) % cut_every == 0:
-            current = checkpointed(current.withColumn("rate", rate))
-            rate = F.col("rate")
-    return current.withColumn("rate", F.round(rate, 6))
+            current = checkpointed(current.withColumn(name, rate_of(since, F.col(name))))
+            since = []
+    return moves
+
+
+def rate_of(moves: list[list[float]], start: Column | None = None) -> Column:
+    """The rate after the given steps, as an expression over the posteriors."""
+    rate = F.lit(1.0) if start is None else start
+    for move in moves:
+        step = reduce(lambda a, b: a + b, [F.col(f"p_{d}") * m for d, m in zip(DOMAINS, move, strict=True)])
+        rate = F.greatest(F.lit(0.0), rate - step)
+    return rate
+
+
+def with_rates(
+    docs: DataFrame, labels: DataFrame, targets: dict[str, float], sample_rows: int = 12_000, steps: int = 30
+) -> DataFrame:
+    """``docs`` (all columns) plus ``n_tokens``, ``p_DOMAIN`` and ``rate``, row by row; no text is shuffled.
+
+    The steps of the fit work on a checkpointed table of counts and posteriors.
+    """
+    model = train(docs, labels, sample_rows)
+    scored = with_posteriors(docs, model)
+    members = checkpointed(scored.select("n_tokens", *[f"p_{d}" for d in DOMAINS]))
+    return scored.withColumn("rate", F.round(rate_of(fit_rates(members, targets, steps)), 6))
 
 
 def mix(
     docs: DataFrame, labels: DataFrame, targets: dict[str, float], sample_rows: int = 12_000, steps: int = 30
 ) -> DataFrame:
-    """``(doc_id, n_tokens, p_toxic, p_poor, p_good, rate)``, one row per document."""
-    model, priors = train(docs, labels, sample_rows)
-    members = checkpointed(posteriors(docs, checkpointed(model), priors))
-    return fit_rates(members, targets, steps)
+    """``(doc_id, n_tokens, p_toxic, p_poor, p_good, rate)``, one row per row of ``docs``."""
+    own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
+    model = train(own, labels, sample_rows)
+    members = checkpointed(with_posteriors(own, model).drop("text"))
+    return members.withColumn("rate", F.round(rate_of(fit_rates(members, targets, steps)), 6))

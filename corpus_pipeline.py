@@ -52,9 +52,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the rate at which to draw them; those hardly wanted are gone."""
-    rates = mixing.mix(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), TARGETS).where(F.col("rate") >= LEAST_RATE)
-    rates = rates.select("doc_id", "n_tokens", "p_toxic", "p_poor", "p_good", "rate")
-    return docs.select(*COLUMNS).join(rates, "doc_id")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return mixing.with_rates(docs.select(*COLUMNS), labels, TARGETS).where(F.col("rate") >= LEAST_RATE)
 
 
 STAGES = [
