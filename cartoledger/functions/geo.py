@@ -96,19 +96,33 @@ def region_points(geom) -> Column:
     return F.flatten(F.flatten(_c(geom)))
 
 
-def region_edges(geom) -> Column:
-    """Segments of every ring of every polygon; rings with fewer than 2 points give none."""
-    rings = F.filter(F.flatten(_c(geom)), lambda r: F.size(r) >= 2)
-
-    def ring_edges(r: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(0), F.size(r) - 2),
+def _ring_edges(ring: Column, part: Column, number: Column) -> Column:
+    """Segments of a ring, without repeated points; ``k`` of ``n`` is the segment's place in the ring."""
+    own = F.filter(
+        F.transform(
+            F.sequence(F.lit(0), F.size(ring) - 2),
             lambda i: F.struct(
-                r[i][0].alias("x1"), r[i][1].alias("y1"), r[i + 1][0].alias("x2"), r[i + 1][1].alias("y2")
+                ring[i][0].alias("x1"), ring[i][1].alias("y1"), ring[i + 1][0].alias("x2"), ring[i + 1][1].alias("y2")
             ),
-        )
+        ),
+        lambda e: (e.x1 != e.x2) | (e.y1 != e.y2),
+    )
+    return F.transform(
+        own,
+        lambda e, k: F.struct(
+            e.x1.alias("x1"), e.y1.alias("y1"), e.x2.alias("x2"), e.y2.alias("y2"),
+            part.alias("part"), number.alias("ring"), k.alias("k"), F.size(own).alias("n"),
+        ),
+    )
+
 
-    return F.flatten(F.transform(rings, ring_edges))
+def region_edges(geom) -> Column:
+    """Segments of every ring of every polygon, polygon by polygon; rings with fewer than 2 points give none."""
+
+    def part_edges(p: Column, i: Column) -> Column:
+        return F.flatten(F.transform(F.filter(p, lambda r: F.size(r) >= 2), lambda r, j: _ring_edges(r, i, j)))
+
+    return F.flatten(F.transform(_c(geom), part_edges))
 
 
 def region_extent(geom) -> list[Column]:
@@ -128,10 +142,11 @@ def rings_closed(geom) -> Column:
 
 
 def within_world(geom) -> Column:
-    """G3 + G5: ``ST_Contains(world box, region)``, boundary included."""
+    """G3 + G5: ``ST_Contains(world box, region)``, boundary included; a region without points is in nothing."""
     min_lat, max_lat, min_lon, max_lon = WORLD_BOX
     x0, y0, x1, y1 = region_extent(geom)
-    return (x0 >= F.lit(min_lon)) & (x1 <= F.lit(max_lon)) & (y0 >= F.lit(min_lat)) & (y1 <= F.lit(max_lat))
+    inside = (x0 >= F.lit(min_lon)) & (x1 <= F.lit(max_lon)) & (y0 >= F.lit(min_lat)) & (y1 <= F.lit(max_lat))
+    return F.coalesce(inside, F.lit(False))
 
 
 def _orient(ax: Column, ay: Column, bx: Column, by: Column, px: Column, py: Column) -> Column:
@@ -148,6 +163,84 @@ def segments_cross(a: Column, b: Column) -> Column:
     return (o1 * o2 < F.lit(0.0)) & (o3 * o4 < F.lit(0.0))
 
 
+def _on_segment(e: Column, px: Column, py: Column) -> Column:
+    """The point lies on the closed segment."""
+    return (
+        (_orient(e.x1, e.y1, e.x2, e.y2, px, py) == F.lit(0.0))
+        & px.between(F.least(e.x1, e.x2), F.greatest(e.x1, e.x2))
+        & py.between(F.least(e.y1, e.y2), F.greatest(e.y1, e.y2))
+    )
+
+
+def segments_touch(a: Column, b: Column) -> Column:
+    """An end of one segment lies on the other."""
+    return (
+        _on_segment(a, b.x1, b.y1) | _on_segment(a, b.x2, b.y2) | _on_segment(b, a.x1, a.y1) | _on_segment(b, a.x2, a.y2)
+    )
+
+
+def segments_overlap(a: Column, b: Column) -> Column:
+    """Two segments on one line share more than a point."""
+    zero = F.lit(0.0)
+    one_line = (_orient(a.x1, a.y1, a.x2, a.y2, b.x1, b.y1) == zero) & (_orient(a.x1, a.y1, a.x2, a.y2, b.x2, b.y2) == zero)
+
+    def common(u: str, v: str) -> Column:
+        ends = [F.greatest(e[u], e[v]) for e in (a, b)]
+        starts = [F.least(e[u], e[v]) for e in (a, b)]
+        return F.least(*ends) > F.greatest(*starts)
+
+    return one_line & (common("x1", "x2") | common("y1", "y2"))
+
+
+def edges_conflict(a: Column, b: Column) -> Column:
+    """Two edges of one region that no valid region has.
+
+    They cross, they overlap along a line, or they belong to one ring, are not
+    neighbours and touch. Different rings may touch in points.
+    """
+    apart = F.abs(a.k - b.k)
+    neighbours = (apart == F.lit(1)) | (apart == a.n - F.lit(1))
+    one_ring = (a.part == b.part) & (a.ring == b.ring)
+    return segments_cross(a, b) | segments_overlap(a, b) | (one_ring & ~neighbours & segments_touch(a, b))
+
+
+def _ring_holds(ring: Column, px: Column, py: Column) -> Column:
+    return ray_crossings(_ring_edges(ring, F.lit(0), F.lit(0)), px, py) % 2 == 1
+
+
+def _mid(ring: Column) -> tuple[Column, Column]:
+    """Middle of a ring's first edge: a point of the ring that other rings may meet only by overlapping or crossing."""
+    two = F.lit(2.0)
+    return (ring[0][0] + ring[1][0]) / two, (ring[0][1] + ring[1][1]) / two
+
+
+def nesting_ok(geom) -> Column:
+    """Holes lie in their shell and not in each other; no polygon lies in another one (rest of G4).
+
+    Together with ``edges_conflict``: rings that do not cross lie inside or
+    outside each other as a whole, so one point of each decides.
+    """
+    polygons = _c(geom)
+
+    def holds(p: Column, x: Column, y: Column) -> Column:
+        return F.aggregate(p, F.lit(0), lambda n, r: n + F.when(_ring_holds(r, x, y), F.lit(1)).otherwise(F.lit(0))) % 2 == 1
+
+    def holes_ok(p: Column) -> Column:
+        holes = F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(0)))
+        each = F.transform(
+            holes,
+            lambda h, i: _ring_holds(p[0], *_mid(h))
+            & ~F.exists(F.transform(holes, lambda g, j: (i != j) & _ring_holds(g, *_mid(h))), lambda bad: bad),
+        )
+        return F.forall(each, lambda ok: ok)
+
+    def polygon_ok(p: Column, i: Column) -> Column:
+        inside = F.transform(polygons, lambda q, j: (i != j) & holds(q, *_mid(p[0])))
+        return (F.size(p) == 0) | (holes_ok(p) & ~F.exists(inside, lambda bad: bad))
+
+    return F.forall(F.transform(polygons, polygon_ok), lambda ok: ok)
+
+
 def edge_meets_box(e: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     """Closed segment meets closed box: extents overlap and the box corners are not all on one side."""
     overlap = (
@@ -170,12 +263,29 @@ def ray_crossings(edges: Column, px: Column, py: Column) -> Column:
     return F.aggregate(edges, F.lit(0), step)
 
 
+def region_holds_point(edges: Column, px: Column, py: Column) -> Column:
+    """Some polygon of the region holds the point (even-odd inside each polygon, so its holes come out right).
+
+    One pass over the edges, which lie polygon by polygon.
+    """
+
+    def step(acc: Column, e: Column) -> Column:
+        same = acc.part == e.part
+        odd = F.when(same, acc.odd).otherwise(F.lit(0))
+        found = acc.found | (~same & (acc.odd == F.lit(1)))
+        crosses = ray_crossings(F.array(e), px, py)
+        return F.struct(e.part.cast("int").alias("part"), ((odd + crosses) % 2).alias("odd"), found.alias("found"))
+
+    start = F.struct(F.lit(-1).alias("part"), F.lit(0).alias("odd"), F.lit(False).alias("found"))
+    return F.aggregate(edges, start, step, lambda acc: acc.found | (acc.odd == F.lit(1)))
+
+
 def region_meets_box(edges, x0, y0, x1, y1) -> Column:
     """``ST_Intersects(region, box)`` with closed sets.
 
     Either some edge meets the box, or no edge does and the box lies wholly
-    inside: then one corner is inside by the even-odd rule (holes come out right).
+    inside some polygon of the region or outside all of them.
     """
     edges, x0, y0, x1, y1 = _c(edges), _c(x0), _c(y0), _c(x1), _c(y1)
     touches = F.exists(edges, lambda e: edge_meets_box(e, x0, y0, x1, y1))
-    return touches | (ray_crossings(edges, x0, y0) % 2 == 1)
+    return touches | region_holds_point(edges, x0, y0)

@@ -40,8 +40,8 @@ def all_project_tags(text) -> Column:
 
 
 def tag_project_id(tag) -> Column:
-    """The project number at the end of a tag, as int."""
-    return F.regexp_extract(_c(tag), r"-([0-9]+)$", 1).cast("int")
+    """The project number at the end of a tag, as int; NULL for a number no project can have."""
+    return F.regexp_extract(_c(tag), r"-([0-9]+)$", 1).try_cast("int")
 
 
 def editor_label(value, editors=DEFAULT_EDITORS) -> Column:

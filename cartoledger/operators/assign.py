@@ -33,49 +33,61 @@ def region_edges(region: DataFrame) -> DataFrame:
     )
 
 
-def _self_crossing_regions(region: DataFrame) -> DataFrame:
-    """Projects whose region has two edges that properly cross (second part of G4).
+def _features(region: DataFrame) -> DataFrame:
+    """Regions with ``_f``, a key of the feature: a project may have several rows, each valid or not on its own."""
+    return region.select("hot_project", "geom", F.xxhash64(F.to_json("geom")).alias("_f"))
 
-    Edges are bucketed on a grid sized per region (about sqrt(E) cells a side)
+
+def _conflicting(features: DataFrame) -> DataFrame:
+    """``_f`` of the features with two edges that no valid region has (see ``geo.edges_conflict``).
+
+    Edges are bucketed on a grid sized per feature (about sqrt(E) cells a side)
     and only edges sharing a cell are compared: an equi-join on
-    (hot_project, cell), not a comparison of every pair in a region.
+    (feature, cell), not a comparison of every pair in a region.
     """
-    r = region_edges(region).withColumn("_n", F.size("edges"))
+    x0, y0, x1, y1 = geo.region_extent("geom")
+    r = features.select(
+        "_f", geo.region_edges("geom").alias("edges"),
+        x0.alias("rx0"), y0.alias("ry0"), x1.alias("rx1"), y1.alias("ry1"),
+    ).withColumn("_n", F.size("edges"))
     side = F.greatest(F.col("rx1") - F.col("rx0"), F.col("ry1") - F.col("ry0"))
     cells_a_side = F.greatest(F.ceil(F.sqrt(F.col("_n").cast("double"))), F.lit(1))
     r = r.withColumn("_cell", F.when(side > F.lit(0.0), side / cells_a_side).otherwise(F.lit(1.0)))
-    e = r.select("hot_project", "rx0", "ry0", "_cell", F.posexplode("edges").alias("eid", "e"))
+    e = r.select("_f", "rx0", "ry0", "_cell", F.posexplode("edges").alias("eid", "e"))
 
     def cell(v, origin):
         return F.floor((v - F.col(origin)) / F.col("_cell"))
 
     e = e.select(
-        "hot_project", "eid", "e",
+        "_f", "eid", "e",
         F.explode(F.sequence(cell(F.least("e.x1", "e.x2"), "rx0"), cell(F.greatest("e.x1", "e.x2"), "rx0"))).alias("cx"),
         cell(F.least("e.y1", "e.y2"), "ry0").alias("_cy0"),
         cell(F.greatest("e.y1", "e.y2"), "ry0").alias("_cy1"),
-    ).select("hot_project", "eid", "e", "cx", F.explode(F.sequence("_cy0", "_cy1")).alias("cy"))
+    ).select("_f", "eid", "e", "cx", F.explode(F.sequence("_cy0", "_cy1")).alias("cy"))
     a, b = e.alias("a"), e.alias("b")
     pairs = a.join(
         b,
-        (F.col("a.hot_project") == F.col("b.hot_project"))
+        (F.col("a._f") == F.col("b._f"))
         & (F.col("a.cx") == F.col("b.cx"))
         & (F.col("a.cy") == F.col("b.cy"))
         & (F.col("a.eid") < F.col("b.eid"))
-        & geo.segments_cross(F.col("a.e"), F.col("b.e")),
+        & geo.edges_conflict(F.col("a.e"), F.col("b.e")),
     )
-    return pairs.select(F.col("a.hot_project").alias("hot_project")).distinct()
+    return pairs.select(F.col("a._f").alias("_f")).distinct()
 
 
-def region_valid(region: DataFrame) -> DataFrame:
-    """``ST_IsValid`` re-aimed: closed rings of 4+ points and no proper self-crossing.
+def _shape_ok():
+    """Row tests of G4: closed rings, and only then how they nest."""
+    return F.when(geo.rings_closed("geom"), geo.nesting_ok("geom")).otherwise(F.lit(False))
 
-    Ring nesting and collinear overlaps are not checked (see README).
-    """
-    crossing = _self_crossing_regions(region).withColumn("_crosses", F.lit(True))
-    base = region.select("hot_project", geo.rings_closed("geom").alias("_closed"))
-    return base.join(crossing, "hot_project", "left").select(
-        "hot_project", (F.col("_closed") & F.col("_crosses").isNull()).alias("is_valid")
+
+def region_valid(region: DataFrame) -> DataFrame:
+    """``ST_IsValid`` per feature: closed rings of 4+ points that neither cross, overlap nor touch
+    themselves, holes inside their shell, polygons outside each other."""
+    features = _features(region)
+    bad = _conflicting(features).withColumn("_bad", F.lit(True))
+    return features.join(bad, "_f", "left").select(
+        "hot_project", (_shape_ok() & F.col("_bad").isNull()).alias("is_valid")
     )
 
 
@@ -85,12 +97,15 @@ def region_in_world(region: DataFrame) -> DataFrame:
 
 
 def usable_regions(region: DataFrame) -> DataFrame:
-    """Regions that are valid (G4) and within the world (G5), with edges and extent.
+    """Regions that are valid (G4) and within the world (G5), with edges and extent, one row per project.
 
-    Row-level tests first; the edge-crossing test then removes regions by an anti-join.
+    Each feature is tested on its own; the usable features of a project then
+    make up its region. Row tests come first, the edge test removes features
+    by an anti-join.
     """
-    ok = region.where(geo.rings_closed("geom") & geo.within_world("geom"))
-    return region_edges(ok.join(_self_crossing_regions(ok), "hot_project", "left_anti"))
+    ok = _features(region).where(_shape_ok() & geo.within_world("geom"))
+    ok = ok.join(_conflicting(ok), "_f", "left_anti")
+    return region_edges(ok.groupBy("hot_project").agg(F.flatten(F.collect_list("geom")).alias("geom")))
 
 
 def _boxes(changeset: DataFrame) -> DataFrame:
@@ -212,8 +227,3 @@ def assign(
 ) -> DataFrame:
     """(changeset, hot_project) for every project a changeset is assigned to (no DISTINCT, as the reference)."""
     return assign_rows(changeset, region, contributor, activity, description, max_m2).select("changeset", "hot_project")
-
-
-def assigned(changeset: DataFrame, changeset_project: DataFrame) -> DataFrame:
-    """Changeset rows with their project, one row per (changeset, project)."""
-    return changeset.join(changeset_project, "changeset")

@@ -13,12 +13,15 @@ def tagged_contributors(meta: DataFrame, tags: DataFrame) -> DataFrame:
 
     Rule inferred (the parser lives outside the reference): every project tag in
     the comment counts; the project is the number after the tag's last '-'.
+    Free text can hold any digits: a number too long for a project id names no
+    project, and the tag is passed over.
     """
     comments = tags.where((F.col("key") == F.lit("comment")) & F.col("value").isNotNull())
     hits = comments.select("changeset", F.explode(all_project_tags("value")).alias("hot_tag"))
     return (
         hits.join(meta.select("changeset", "uid", "username"), "changeset")
         .select("hot_tag", tag_project_id("hot_tag").alias("hot_project"), "uid", "username")
+        .where(F.col("hot_project").isNotNull())
         .distinct()
     )
 

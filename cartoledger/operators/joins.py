@@ -1,30 +1,42 @@
 """Join helpers: broadcast only behind a measured size bound.
 
-``bounded_broadcast`` counts at most ``max_rows + 1`` rows of the small side
-(a cheap job that stops early) and, if the side is within the bound, marks it
-for broadcast. Beyond the bound the plain DataFrame is returned: the join then
-shuffles on its keys, and AQE's skew-join handling splits hot keys.
+``bounded_broadcast`` measures the small side with one partially aggregated
+pass (each task sends a single row: row count and bytes) and marks it for
+broadcast if both are within bounds. Beyond them the plain DataFrame is
+returned: the join then shuffles on its keys, and AQE's skew-join handling
+splits hot keys.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Row bounds below which a side is broadcast. The project-side tables have one
+# Bounds below which a side is broadcast. The project-side tables have one
 # row per (project, contributor) or per project; a few million small rows are
 # tens of megabytes on the wire.
 DEFAULT_MAX_ROWS = 2_000_000
+DEFAULT_MAX_BYTES = 64_000_000
 # For sides that carry variable-size arrays, bound the total number of array
 # elements instead (32 bytes per region edge).
 DEFAULT_MAX_ELEMENTS = 4_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged (shuffle join)."""
+def row_bytes(df: DataFrame) -> Column:
+    """About the size of a row on the wire: 8 bytes per column plus the length of its texts."""
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    return reduce(lambda a, b: a + b, texts, F.lit(8 * len(df.columns))).cast("long")
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> DataFrame:
+    """``broadcast(df)`` if ``df`` is within ``max_rows`` and ``max_bytes``, else ``df`` unchanged (shuffle join)."""
     max_rows = DEFAULT_MAX_ROWS if max_rows is None else max_rows
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    max_bytes = DEFAULT_MAX_BYTES if max_bytes is None else max_bytes
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("b")).first()
+    return F.broadcast(df) if size["n"] <= max_rows and size["b"] <= max_bytes else df
 
 
 def bounded_broadcast_by(

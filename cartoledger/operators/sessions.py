@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timeops import hours_between, micros_between
+from ..session import stage
 
 KEY = ["uid", "hot_project"]
 ORDER = ["first_date", "changeset"]
@@ -36,10 +37,15 @@ _UNBOUNDED = Window.unboundedPreceding
 def exclusive_prefix_sum(df: DataFrame, order_cols: list[str], value_col: str, out_col: str, n_parts: int) -> DataFrame:
     """``out_col`` = sum of ``value_col`` over all rows before this one in ``order_cols`` order.
 
-    Rows are range-partitioned; each partition is prefix-summed on its own and
-    offset by the totals of the partitions before it (a table of ``n_parts`` rows).
+    Rows are range-partitioned and stored with their partition number; each
+    partition is prefix-summed on its own and offset by the totals of the
+    partitions before it (a table of ``n_parts`` rows). The number is read back
+    from the stored rows by both uses: range bounds come from sampling, so two
+    evaluations of the exchange could disagree.
     """
-    ranged = df.repartitionByRange(n_parts, *order_cols).withColumn("_pid", F.spark_partition_id())
+    ranged = stage(
+        df.repartitionByRange(n_parts, *order_cols).withColumn("_pid", F.spark_partition_id()), "range_parts"
+    )
     w = Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(_UNBOUNDED, Window.currentRow)
     local = ranged.withColumn("_incl", F.sum(value_col).over(w))
     totals = local.groupBy("_pid").agg(F.max("_incl").alias("_ptot"))
@@ -70,12 +76,13 @@ def sessionize(
     ``session`` (long, dense from 1 in (uid, hot_project, first_date, changeset) order).
     Ties on first_date are broken by changeset (the reference leaves them open).
 
-    Rows shuffle once, on (uid, hot_project, bucket). One window pass gives
-    each row its in-bucket predecessor and the running count of session starts
-    that the bucket decides by itself. A per-bucket table (one row per user,
-    project and bucket) then settles whether each bucket's first row starts a
-    session (it needs the previous bucket's last end) and the offset of every
-    bucket; one join brings that back to the rows.
+    A window pass per (uid, hot_project, bucket) gives each row its in-bucket
+    predecessor and the running count of session starts that the bucket decides
+    by itself. A per-bucket table (one row per user, project and bucket, stored
+    once from a narrow shuffle of the keys and dates) then settles whether each
+    bucket's first row starts a session (it needs the previous bucket's last
+    end) and the offset of every bucket; one join brings that back to the rows,
+    in the one shuffle that carries all their columns.
     """
     spark = assigned.sparkSession
     n_parts = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
@@ -96,10 +103,13 @@ def sessionize(
     )
 
     # One row per bucket: its first start, its last row's end, its own session starts.
-    buckets = rows.groupBy(*bkey).agg(
-        F.min("first_date").alias("_b_first"),
-        F.max_by("last_date", F.struct(*ORDER)).alias("_b_last"),
-        F.max("_n_in").alias("_b_inner"),
+    buckets = stage(
+        rows.groupBy(*bkey).agg(
+            F.min("first_date").alias("_b_first"),
+            F.max_by("last_date", F.struct(*ORDER)).alias("_b_last"),
+            F.max("_n_in").alias("_b_inner"),
+        ),
+        "buckets",
     )
     w_b = Window.partitionBy(*KEY).orderBy("_b")
     prev_b = F.lag("_b_last").over(w_b)
@@ -124,18 +134,6 @@ def sessionize(
     )
 
 
-def gaps(assigned: DataFrame, timeout_hours: float = DEFAULT_TIMEOUT_HOURS) -> DataFrame:
-    """W1 + W2: uid, hot_project, changeset, first_date, last_date, time_since_prev_cs."""
-    return sessionize(assigned, timeout_hours).select(
-        *KEY, "changeset", "first_date", "last_date", "time_since_prev_cs"
-    )
-
-
-def session_changeset(assigned: DataFrame, timeout_hours: float = DEFAULT_TIMEOUT_HOURS) -> DataFrame:
-    """Uid, hot_project, session, changeset."""
-    return sessionize(assigned, timeout_hours).select(*KEY, "session", "changeset")
-
-
 def sizes(sessions: DataFrame) -> DataFrame:
     """A5 + W3 + J12 from session rows that carry their changeset facts.
 
@@ -152,14 +150,6 @@ def sizes(sessions: DataFrame) -> DataFrame:
     return out.withColumn("labour_hours", hours_between("first_date", "last_date"))
 
 
-def size_from_tables(session_cs: DataFrame, changeset: DataFrame) -> DataFrame:
-    """A5 with the reference's inputs: session rows joined to the changeset table."""
-    facts = changeset.select("changeset", "first_date", "last_date", *FACTS)
-    return sizes(session_cs.join(facts, "changeset")).select(
-        *KEY, "session", "first_date", "last_date", "labour_hours", *FACTS
-    )
-
-
 def first_changesets(sessions: DataFrame) -> DataFrame:
     """The first changeset of each session and its edits."""
     return sizes(sessions).select(
@@ -189,18 +179,6 @@ def labour(size: DataFrame) -> DataFrame:
     )
 
 
-def sessions_from_tables(session_cs: DataFrame, changeset: DataFrame) -> DataFrame:
-    """user_hmp_session from the stored tables (J11 + A5 + J12 + J13)."""
-    facts = changeset.select("changeset", "first_date", "last_date", *FACTS)
-    return labour(sizes(session_cs.join(facts, "changeset")))
-
-
-def session_table(assigned: DataFrame, timeout_hours: float = DEFAULT_TIMEOUT_HOURS) -> DataFrame:
-    """user_hmp_session straight from assigned changesets (no join back to changeset)."""
-    return labour(sizes(sessionize(assigned, timeout_hours)))
-
-
 __all__ = [
-    "sessionize", "gaps", "session_changeset", "sizes", "size_from_tables", "first_changesets",
-    "rate", "labour", "sessions_from_tables", "session_table", "exclusive_prefix_sum",
+    "sessionize", "sizes", "first_changesets", "rate", "labour", "exclusive_prefix_sum",
 ]

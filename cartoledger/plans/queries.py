@@ -9,7 +9,6 @@ whole microseconds.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,9 +24,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _p(spark: SparkSession, sf_dir: str) -> Pipeline:
-    # CARTOLEDGER_STAGE=0 composes everything lazily (to inspect whole plans); the default stores
-    # the shared intermediate tables under spark.checkpoint.dir.
-    return Pipeline(Inputs.from_testdata(spark, sf_dir), staged=os.environ.get("CARTOLEDGER_STAGE", "1") != "0")
+    # Shared intermediate tables are stored under spark.checkpoint.dir.
+    return Pipeline(Inputs.from_testdata(spark, sf_dir))
 
 
 def uid_username_map(spark, sf_dir):

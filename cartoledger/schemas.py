@@ -93,10 +93,3 @@ SCHEMAS: dict[str, T.StructType] = {
 def not_null_columns(table: str) -> list[str]:
     """Columns declared NOT NULL for ``table``."""
     return [f.name for f in SCHEMAS[table].fields if not f.nullable]
-
-
-def conform(df, table: str):
-    """Select and cast ``df`` to the declared column order and types of ``table``."""
-    from pyspark.sql import functions as F
-
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[table].fields])

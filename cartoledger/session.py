@@ -49,16 +49,12 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return fallback
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def _stage_root(spark: SparkSession) -> str:
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         return current.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
-        # Only a local test session may fall back to a folder of its own.
+    if spark.conf.get("spark.master", "").startswith("local["):
+        # Only a session of a single process may fall back to a folder of its own.
         return checkpoint_dir(spark, "/tmp/cartoledger-checkpoints")
     raise RuntimeError("spark.checkpoint.dir is unset: name a shared folder for intermediate tables")
 
@@ -93,3 +89,9 @@ def stage(df, name: str, run_id: str | None = None):
     path = f"{_stage_root(spark)}/cartoledger/{run_id or uuid.uuid4().hex}/{name}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark, run_id: str) -> None:
+    """Remove the tables that ``stage`` wrote for ``run_id``, through the file system they are on."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{_stage_root(spark)}/cartoledger/{run_id}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

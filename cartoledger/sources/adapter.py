@@ -50,16 +50,9 @@ NUM_PROJECTS = 25
 KIND_EVENTS = {"node": NODE_EVENT_TYPES, "way": WAY_EVENT_TYPES, "rel": REL_EVENT_TYPES}
 
 
-_READS: dict[tuple[int, str], DataFrame] = {}
-
-
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The driver's table; the DataFrame is reused per session (listing and footers are read once)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(getattr(spark, "_jsparkSession", spark)), path)
-    if key not in _READS:
-        _READS[key] = spark.read.parquet(path)
-    return _READS[key]
+    """The driver's table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _changeset_of(user_id: Column, ts: Column) -> Column:

@@ -101,8 +101,8 @@ def read_changesets(spark: SparkSession, path: str) -> tuple[DataFrame, DataFram
     """S3: (meta, rejects, tags) from the changeset dump.
 
     meta follows ``changeset_meta``; rows missing a NOT NULL value (closed_at,
-    uid, username: open or anonymous changesets) go to rejects instead of
-    failing the load. tags are (changeset, key, value), one row per tag.
+    uid, username: open or anonymous changesets; or a count) go to rejects
+    instead of failing the load. tags are (changeset, key, value), one row per tag.
     """
     raw = spark.read.format("xml").option("rowTag", "changeset").schema(_XML_SCHEMA).load(path)
     meta = raw.select(
@@ -111,10 +111,10 @@ def read_changesets(spark: SparkSession, path: str) -> tuple[DataFrame, DataFram
         _utc_ntz("_closed_at").alias("closed_at"),
         F.col("_uid").cast("int").alias("uid"),
         F.col("_user").alias("username"),
-        F.coalesce(F.col("_num_changes").cast("int"), F.lit(0)).alias("num_changes"),
-        F.coalesce(F.col("_comments_count").cast("int"), F.lit(0)).alias("comments_count"),
+        F.col("_num_changes").cast("int").alias("num_changes"),
+        F.col("_comments_count").cast("int").alias("comments_count"),
     )
-    required = ["changeset", "created_at", "closed_at", "uid", "username"]
+    required = ["changeset", "created_at", "closed_at", "uid", "username", "num_changes", "comments_count"]
     complete = F.lit(True)
     for c in required:
         complete = complete & F.col(c).isNotNull()
@@ -128,12 +128,10 @@ _POLY = "array<array<array<double>>>"
 _MULTI = "array<array<array<array<double>>>>"
 
 
-def read_regions(spark: SparkSession, path: str) -> DataFrame:
-    """S5 + S6: GeoJSON features (one per line) to (hot_project, geom), one multi-polygon per project.
+def read_region_features(spark: SparkSession, path: str) -> DataFrame:
+    """S5 + S6: GeoJSON features (one per line) to (hot_project, geom), one row per feature.
 
-    Polygon and MultiPolygon geometries are both accepted; several features
-    of one project are merged into one multi-polygon, so the assignment join
-    never repeats a (changeset, project) pair.
+    Polygon and MultiPolygon geometries are both accepted.
     """
     feature = "struct<properties: struct<id: string>, geometry: struct<type: string, coordinates: string>>"
     f = spark.read.text(path).where(F.trim("value") != F.lit("")).select(F.from_json("value", feature).alias("f"))
@@ -141,7 +139,15 @@ def read_regions(spark: SparkSession, path: str) -> DataFrame:
     geom = F.when(F.col("f.geometry.type") == F.lit("MultiPolygon"), F.from_json(coords, _MULTI)).when(
         F.col("f.geometry.type") == F.lit("Polygon"), F.array(F.from_json(coords, _POLY))
     )
-    parts = f.select(F.col("f.properties.id").cast("int").alias("hot_project"), geom.alias("geom"))
+    return f.select(F.col("f.properties.id").cast("int").alias("hot_project"), geom.alias("geom"))
+
+
+def read_regions(spark: SparkSession, path: str) -> DataFrame:
+    """The features of each project merged into one multi-polygon, valid or not.
+
+    The pipeline reads features instead: their validity is tested before they are merged.
+    """
+    parts = read_region_features(spark, path)
     return parts.groupBy("hot_project").agg(F.flatten(F.collect_list("geom")).alias("geom"))
 
 
@@ -174,4 +180,4 @@ def read_input(spark: SparkSession, name: str, path: str, multiline: bool = Fals
         return read_tsv(spark, path, table, multiline=multiline)
     if fmt == "copy":
         return read_copy_text(spark, path, table)
-    return read_regions(spark, path)
+    return read_region_features(spark, path)

@@ -12,9 +12,9 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not pre
 
 
 def _keys():
-    from __spark_entry__ import queries
+    from __spark_entry__ import oracle_sql
 
-    return list(queries())
+    return list(oracle_sql())
 
 
 @pytest.fixture(scope="module")
