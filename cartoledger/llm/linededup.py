@@ -5,7 +5,9 @@ then hash); two sets of similarity ``t`` or more share a word among the first
 ``n - ceil(t * n) + 1`` of each (prefix filter), and sizes and positions of the
 shared word bound the overlap still possible (length and positional filters).
 Candidates are verified on the words themselves. A line goes if an earlier
-line (smaller doc_id, then line number) has at least the similarity.
+line (smaller doc_id, then line number) has at least the similarity: one such
+line is enough, so lines settled by the earliest line like them need no other
+partner, and a large family of similar lines is not spread out into its pairs.
 """
 
 from __future__ import annotations
@@ -13,10 +15,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartoledger.llm.common import checkpointed
+from cartoledger.session import stage
 
-# Frequency classes are counted for hash buckets of words: a table of fixed size.
+# Frequency classes belong to hash buckets of words: a table of fixed size. Words
+# are counted in finer buckets; a class is that of its most frequent fine bucket.
 BUCKETS = 1 << 16
+FINE_BUCKETS = 1 << 19
+# Keys per line set by which it meets the earliest set like it.
+LEADER_KEYS = 2
 # Similarity threshold as a fraction.
 SIMILARITY = (4, 5)
 
@@ -27,8 +33,8 @@ def _words(line: Column) -> Column:
     return F.array_distinct(F.array_remove(F.split(F.translate(line, blanks, " " * len(blanks)), " "), ""))
 
 
-def _bucket(hashed: Column) -> Column:
-    return hashed.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
+def _bucket(hashed: Column, buckets: int = BUCKETS) -> Column:
+    return hashed.bitwiseAND(F.lit(buckets - 1)).cast("int")
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -45,19 +51,21 @@ def frequency_classes(docs: DataFrame) -> Column:
     words = F.split(F.translate("text", blanks, " " * len(blanks)), " ")
     counted = (
         docs.select(F.explode(words).alias("word"))
-        .select(_bucket(F.xxhash64("word")).alias("bucket"))
-        .groupBy("bucket")
+        .select(_bucket(F.xxhash64("word"), FINE_BUCKETS).alias("fine"))
+        .groupBy("fine")
         .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(F.col("fine").bitwiseAND(F.lit(BUCKETS - 1)).alias("bucket"))
+        .agg(F.max("n").alias("n"))
         .collect()
     )
     classes = [0] * BUCKETS
     for row in counted:
         classes[row["bucket"]] = int(row["n"]).bit_length()
-    return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<bigint>")
+    return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<tinyint>")
 
 
 def _sets(docs: DataFrame, classes: Column, num: int, den: int) -> DataFrame:
-    """One row per distinct word set: its first place, size and prefix in order of rarity.
+    """One row per distinct word set: its first place, its size and its prefix in order of rarity.
 
     Equal sets (all copies of a line, however many) meet here as partial
     aggregates, so no later step sees a group of copies.
@@ -65,7 +73,9 @@ def _sets(docs: DataFrame, classes: Column, num: int, den: int) -> DataFrame:
     hashed = F.transform(F.col("words"), lambda w: F.xxhash64(w))
     ranked = F.transform(
         hashed,
-        lambda h: F.shiftleft(F.coalesce(F.get(classes, _bucket(h)), F.lit(0)), 56).bitwiseOR(F.shiftrightunsigned(h, 8)),
+        lambda h: F.shiftleft(F.coalesce(F.get(classes, _bucket(h)), F.lit(0)).cast("long"), 56).bitwiseOR(
+            F.shiftrightunsigned(h, 8)
+        ),
     )
     sets = (
         _lines(docs)
@@ -75,14 +85,17 @@ def _sets(docs: DataFrame, classes: Column, num: int, den: int) -> DataFrame:
     )
     n = F.size("ranks")
     # A set can only resemble another one if a set one larger may: t * (n + 1) <= n.
-    prefix = F.when(num * (n + 1) <= den * n, F.slice("ranks", 1, n - F.ceil(n * num / den).cast("int") + 1))
+    alone = num * (n + 1) > den * n
+    prefix = F.slice("ranks", 1, F.when(alone, 0).otherwise(n - F.ceil(n * num / den).cast("int") + 1))
+    # Postings carry 32 bits of a word's hash: two words that share them add candidates, none is lost.
+    short = F.transform(prefix, lambda r: (r.bitwiseAND(F.lit(0xFFFFFFFF)) - F.lit(1 << 31)).cast("int"))
     return (
         sets.select(
             F.xxhash64("ranks").alias("s1"),
             F.xxhash64(F.lit(1), "ranks").alias("s2"),
             F.struct("doc_id", "line_no").alias("place"),
             n.cast("int").alias("n"),
-            F.coalesce(prefix, F.array().cast("array<bigint>")).alias("prefix"),
+            short.alias("prefix"),
         )
         .groupBy("s1", "s2")
         .agg(F.min("place").alias("place"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
@@ -90,9 +103,39 @@ def _sets(docs: DataFrame, classes: Column, num: int, den: int) -> DataFrame:
     )
 
 
+def _leader_pairs(sets: DataFrame) -> DataFrame:
+    """Each set with the earliest set that shares a leader key (the least words of its prefix, by parity).
+
+    These are few pairs, and they settle most members of a large family of
+    similar lines. The earliest is a plain aggregate joined back, so a hot key
+    is split like any skewed join.
+    """
+    leaders = [F.array_min(F.filter("prefix", lambda r, i=i: F.pmod(r, F.lit(LEADER_KEYS)) == i)) for i in range(LEADER_KEYS)]
+    keyed = (
+        sets.where(F.size("prefix") > 0)
+        .select("doc_id", "line_no", F.posexplode(F.array(*leaders)).alias("i", "key"))
+        .where("key is not null")
+    )
+    place = F.struct("doc_id", "line_no")
+    heads = keyed.groupBy("i", "key").agg(F.min(place).alias("head"), F.count(F.lit(1)).alias("m")).where("m > 1")
+    return (
+        keyed.join(heads.drop("m"), ["i", "key"])
+        .where(F.col("head") < place)
+        .select(
+            F.col("head.doc_id").alias("a_doc"),
+            F.col("head.line_no").alias("a_line"),
+            F.col("doc_id").alias("b_doc"),
+            F.col("line_no").alias("b_line"),
+        )
+        .distinct()
+    )
+
+
 def _candidates(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of places ``(a..., b...)``, ``b`` later, that pass the prefix, length and positional filters."""
-    post = sets.select("doc_id", "line_no", "n", F.posexplode("prefix").alias("p", "token"))
+    """Pairs of sets, ``b`` later and not yet ``done``, that pass the prefix, length and positional filters."""
+    post = sets.where(F.size("prefix") > 0).select(
+        "doc_id", "line_no", "n", "done", F.posexplode("prefix").alias("p", "token")
+    )
     a, b = post.alias("a"), post.alias("b")
     na, nb = F.col("a.n"), F.col("b.n")
     later = (F.col("a.doc_id") < F.col("b.doc_id")) | (
@@ -101,8 +144,10 @@ def _candidates(sets: DataFrame, num: int, den: int) -> DataFrame:
     length = (na * den >= nb * num) & (nb * den >= na * num)
     reach = F.least(na - F.col("a.p"), nb - F.col("b.p"))
     positional = reach * (num + den) >= (na + nb) * num
+    # Both sides name the condition, so that one shuffle of the postings serves both.
+    open_ = ~F.col("b.done") | (na < 0)
     return (
-        a.join(b, (F.col("a.token") == F.col("b.token")) & later & length & positional)
+        a.join(b, (F.col("a.token") == F.col("b.token")) & open_ & later & length & positional)
         .select(
             F.col("a.doc_id").alias("a_doc"),
             F.col("a.line_no").alias("a_line"),
@@ -115,7 +160,6 @@ def _candidates(sets: DataFrame, num: int, den: int) -> DataFrame:
 
 def _verified(pairs: DataFrame, docs: DataFrame, num: int, den: int) -> DataFrame:
     """``(doc_id, line_no)`` of the later lines whose words reach the similarity with an earlier one."""
-    pairs = checkpointed(pairs)
     wanted = (
         pairs.select(F.col("a_doc").alias("doc_id"), F.col("a_line").alias("line_no"))
         .union(pairs.select("b_doc", "b_line"))
@@ -156,11 +200,14 @@ def dedup_lines(
     num, den = similarity
     plain = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     known = plain.where("doc_id is not null and text is not null")
-    sets = checkpointed(_sets(known, frequency_classes(known), num, den))
-    pairs = _candidates(sets.where(F.size("prefix") > 0), num, den)
-    matched = _verified(pairs, known, num, den)
+    sets = stage(_sets(known, frequency_classes(known), num, den), "line_sets")
+    # First the likeliest partner of each set; what that leaves open meets all others.
+    early = _verified(_leader_pairs(sets), known, num, den).withColumn("hit", F.lit(True))
+    marked = sets.join(early, ["doc_id", "line_no"], "left").withColumn("done", F.coalesce("hit", F.lit(False))).drop("hit")
+    late = _verified(_candidates(marked, num, den), known, num, den)
     kept = (
-        sets.join(matched, ["doc_id", "line_no"], "left_anti")
+        marked.where(~F.col("done"))
+        .join(late, ["doc_id", "line_no"], "left_anti")
         .groupBy("doc_id")
         .agg(F.collect_set("line_no").alias("kept"))
     )

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from cartoledger.llm.common import checkpointed, free_name
 
-BUCKETS = 1 << 15
+BUCKETS = 1 << 17
 PREFIX = 4
 # Domains of the labels table, least wanted first: a row belongs to the first whose test holds.
 DOMAINS = ("toxic", "poor", "good")
@@ -42,16 +42,17 @@ def _words(text: Column) -> Column:
 def _with_features(
     docs: DataFrame, text_col: str = "text", words: str = "words", features: str = "features"
 ) -> DataFrame:
-    """Adds the words, and the hash buckets of their heads and of the share of distinct words in tenths."""
+    """Adds the words, and the hash buckets of the words, of their heads, and of the share of distinct words in tenths."""
     own = docs.withColumn(words, F.filter(_words(docs[text_col]), lambda w: w != ""))
     ratio = F.floor(F.size(F.array_distinct(words)) * 10 / F.greatest(F.size(words), F.lit(1)))
     style = F.concat(F.lit("\x01"), ratio.cast("string"))  # no word starts with a control character of this kind
-    return own.withColumn(features, F.transform(F.array_append(words, style), _feature))
+    heads = F.transform(words, lambda w: F.substring(w, 1, PREFIX))
+    return own.withColumn(features, F.transform(F.array_append(F.array_distinct(F.concat(words, heads)), style), _feature))
 
 
 def _feature(word: Column) -> Column:
-    """Hash bucket of a word's first characters; the style token is shorter than that and stands for itself."""
-    return F.pmod(F.xxhash64(F.substring(word, 1, PREFIX)), F.lit(BUCKETS)).cast("int")
+    """Hash bucket of a feature."""
+    return F.pmod(F.xxhash64(word), F.lit(BUCKETS)).cast("int")
 
 
 @dataclass(frozen=True)
@@ -68,7 +69,7 @@ def train(
     labels: DataFrame,
     sample_rows: int = 12_000,
     min_docs: int = 3,
-    min_effect: float = 0.7,
+    min_purity: float = 0.6,
     smoothing: float = 0.5,
 ) -> Model:
     """Fit the classifier on the labelled documents.
@@ -77,9 +78,10 @@ def train(
     of the id (a documented bound; the corpus itself is never sampled).
     ``labels`` needs doc_id, quality, toxic; rows with a null count for
     nothing, and a document labelled more than once takes its least wanted
-    domain. A feature counts if it is present in ``min_docs`` documents or
-    more and its frequency in some domain differs by ``min_effect`` (in logs)
-    and by four standard deviations from its frequency overall.
+    domain. A feature marks a domain if it is present in ``min_docs`` documents or
+    more, ``min_purity`` of these are of the domain, and that is four standard
+    deviations more than chance gives; the other
+    domains share one frequency of it.
     """
     rank = F.array_position(F.array(*[F.lit(d) for d in DOMAINS]), F.col("domain"))
     own = (
@@ -110,15 +112,19 @@ def train(
         overall = (sum(n) + smoothing) / (everything + 2 * smoothing)
         own_frequency = [(a + 2 * smoothing * overall) / (b + 2 * smoothing) for a, b in zip(n, known, strict=True)]
         usual = [sum(n) * b / everything for b in known]
-        if any(
-            abs(math.log(f / overall)) >= min_effect and (a - u) ** 2 >= 16 * u
-            for f, a, u in zip(own_frequency, n, usual, strict=True)
-        ):
+        marked = [
+            a >= min_purity * sum(n) and (a - u) ** 2 >= 16 * u for a, u in zip(n, usual, strict=True)
+        ]
+        if any(marked):
+            # Domains that the feature does not mark share one frequency, so it says nothing between them.
+            rest = [i for i, m in enumerate(marked) if not m]
+            shared = (sum(n[i] for i in rest) + 2 * smoothing * overall) / (sum(known[i] for i in rest) + 2 * smoothing)
+            mixed = [f if m else shared for f, m in zip(own_frequency, marked, strict=True)]
             chosen.append(bucket)
-            frequencies.append([min(max(f, 1e-4), 1 - 1e-4) for f in own_frequency])
+            frequencies.append([min(max(f, 1e-4), 1 - 1e-4) for f in mixed])
     return Model(
         chosen,
-        {d: [round(math.log(f[i] / (1 - f[i])), 6) for f in frequencies] for i, d in enumerate(DOMAINS)},
+        {d: [float(f"{math.log(f[i] / (1 - f[i])):.5g}") for f in frequencies] for i, d in enumerate(DOMAINS)},
         {
             d: round(
                 math.log((known[i] + 1) / (everything + len(DOMAINS))) + sum(math.log(1 - f[i]) for f in frequencies), 6
@@ -130,9 +136,7 @@ def train(
 
 def _constant(values: list, kind: str) -> Column:
     """A constant array, folded by the optimizer from one string."""
-    if not values:
-        return F.array().cast(f"array<{kind}>")
-    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+    return F.split(F.lit(",".join(f"{v:g}" for v in values)), ",").cast(f"array<{kind}>")
 
 
 def with_posteriors(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -141,18 +145,19 @@ def with_posteriors(docs: DataFrame, model: Model, text_col: str = "text") -> Da
     A null or empty text has no token; what its posteriors are follows from
     the absence of all features.
     """
-    names = {k: free_name(docs, k) for k in ("words", "features", "present", *(f"s_{d}" for d in DOMAINS))}
-    buckets = _constant(model.buckets, "int")
+    names = {k: free_name(docs, k) for k in ("words", "features", *(f"s_{d}" for d in DOMAINS))}
     found = _with_features(docs, text_col, names["words"], names["features"])
-    found = found.withColumn(names["present"], F.array_intersect(names["features"], buckets))
+    found = found.withColumn(names["features"], F.array_distinct(names["features"]))
     for d in DOMAINS:
-        weights = _constant(model.weights[d], "double")
+        # One weight per bucket, zero where the model has none: a lookup by position.
+        dense = [0.0] * BUCKETS
+        for bucket, weight in zip(model.buckets, model.weights[d], strict=True):
+            dense[bucket] = weight
+        weights = _constant(dense, "float")
         found = found.withColumn(
             names[f"s_{d}"],
             F.aggregate(
-                names["present"],
-                F.lit(model.offsets[d]),
-                lambda s, b: s + F.get(weights, F.array_position(buckets, b).cast("int") - 1),
+                names["features"], F.lit(model.offsets[d]), lambda s, b: s + F.get(weights, b).cast("double")
             ),
         )
     logs = {d: F.col(names[f"s_{d}"]) for d in DOMAINS}

@@ -19,7 +19,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 # Target shares of all tokens after filtering.
 TARGETS = {"good": 0.97, "poor": 0.03, "toxic": 0.0}
 # Documents whose fitted rate is below this are hardly wanted at all and go.
-LEAST_RATE = 0.2
+LEAST_RATE = 0.1
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
