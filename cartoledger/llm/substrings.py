@@ -2,10 +2,10 @@
 
 Seeds are winnowed: of every window of ``min_words`` words, the seed is the
 least scrambled hash among its ``SEED_WORDS``-word runs, so equal windows
-always carry the same seed and neighbouring windows mostly share one. Documents
-are joined on seeds first; only seeds found in two or more documents are
-extended to the windows on both sides that carry them. Overlapping matched
-windows grow together to maximal repeats.
+always carry the same seed and neighbouring windows mostly share one. Seeds of
+two or more documents are found first; only these are extended to the windows
+on both sides that carry them, and documents meet on (seed, window). Overlapping
+matched windows grow together to maximal repeats.
 """
 
 from __future__ import annotations
@@ -21,7 +21,10 @@ from pyspark.sql import Window
 
 from cartoledger.llm.common import checkpointed, mix64, ngram_hashes, pieces, text_of, word_hashes
 
-SEED_WORDS = 5
+# Bits of the sketch of shared seeds: a table of fixed size (8 MB) at any scale.
+SKETCH_BITS = 26
+
+SEED_WORDS = 4
 # Documents of one seed beyond which its windows are dealt to several tasks.
 HOT_SEED = 200_000
 _SEED = 7
@@ -51,11 +54,6 @@ def window_hashes(hashes: np.ndarray, min_words: int) -> np.ndarray:
     return mix64(ngram_hashes(hashes, min_words))
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Documents with ``tk``, a short hash that tells apart different texts under one id."""
-    return text_of(docs, id_col, text_col).withColumn("tk", F.pmod(F.xxhash64("text"), F.lit(32749)).cast("short"))
-
-
 def _seed_rows(docs: DataFrame, min_words: int) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("seed", pa.int64())])
 
@@ -70,78 +68,94 @@ def _seed_rows(docs: DataFrame, min_words: int) -> DataFrame:
                 [pa.array(np.concatenate(ids)), pa.array(np.concatenate(seeds).view(np.int64))], schema=schema
             )
 
-    return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(run, "doc_id long, seed long")
+    return docs.mapInArrow(run, "doc_id long, seed long")
 
 
-def _extend(seeded: DataFrame, min_words: int) -> DataFrame:
-    """``(seed, splits, doc_id, tk, windows)``: the distinct windows of each document that carry a shared seed."""
+def _sketch(shared: DataFrame) -> np.ndarray:
+    """Bitmap of the shared seeds by their low bits; its size is fixed, so it may be sent to all executors."""
+    words = (
+        shared.select(F.col("seed").bitwiseAND(F.lit((1 << SKETCH_BITS) - 1)).alias("b"))
+        .selectExpr("cast(shiftright(b, 5) as int) w", "shiftleft(1L, cast(b & 31 as int)) m")
+        .groupBy("w")
+        .agg(F.bit_or("m").alias("m"))
+        .toArrow()
+    )
+    out = np.zeros(1 << (SKETCH_BITS - 5), np.uint32)
+    out[words.column("w").to_numpy()] = words.column("m").to_numpy().astype(np.uint32)
+    return out
+
+
+def _extend(docs: DataFrame, sketch: np.ndarray, hot: dict[int, int], min_words: int) -> DataFrame:
+    """``(seed, splits, doc_id, windows)``: the distinct windows of each document around its seeds.
+
+    Seeds that the sketch rules out are shared with no other document and are
+    passed over; the few it lets through by chance find no partner later.
+    """
     schema = pa.schema(
-        [("seed", pa.int64()), ("splits", pa.int32()), ("doc_id", pa.int64()), ("tk", pa.int16())]
-        + [("windows", pa.list_(pa.int64()))]
+        [("seed", pa.int64()), ("splits", pa.int32()), ("doc_id", pa.int64()), ("windows", pa.list_(pa.int64()))]
     )
+    sent = docs.sparkSession.sparkContext.broadcast((sketch, hot))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, busy = sent.value
         for batch in pieces(batches, "text"):
-            seeds, splits, ids, tks, counts, found = [], [], [], [], [], []
-            for row in batch.to_pylist():
-                hashes = word_hashes(row["text"].split(), _SEED)
-                own = window_seeds(hashes, min_words).view(np.int64)
-                shared = np.array([s["seed"] for s in row["seeds"]], np.int64)
-                order = np.argsort(shared)
-                shared = shared[order]
-                at = np.searchsorted(shared, own)
-                hit = shared[np.minimum(at, len(shared) - 1)] == own
-                windows = np.stack([own[hit], window_hashes(hashes, min_words).view(np.int64)[hit]], axis=1)
-                if not len(windows):
+            seeds, splits, ids, counts, found = [], [], [], [], []
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                hashes = word_hashes(text.split(), _SEED)
+                own = window_seeds(hashes, min_words)
+                place = own & np.uint64((1 << SKETCH_BITS) - 1)
+                hit = (bits[place >> np.uint64(5)] >> (place & np.uint64(31)).astype(np.uint32)) & np.uint32(1) > 0
+                if not hit.any():
                     continue
+                windows = np.stack([own[hit], window_hashes(hashes, min_words)[hit]], axis=1).view(np.int64)
                 windows = windows[np.lexsort((windows[:, 1], windows[:, 0]))]
                 fresh = np.concatenate(([True], (windows[1:] != windows[:-1]).any(axis=1)))
                 windows = windows[fresh]
                 first = np.flatnonzero(np.concatenate(([True], windows[1:, 0] != windows[:-1, 0])))
                 part = windows[first, 0]
                 seeds.append(part)
-                splits.append(
-                    np.array([s["splits"] for s in row["seeds"]], np.int32)[order][np.searchsorted(shared, part)]
-                )
-                ids.append(np.full(len(part), row["doc_id"], np.int64))
-                tks.append(np.full(len(part), row["tk"], np.int16))
+                splits.append(np.array([busy.get(x, 1) for x in part.tolist()] if busy else np.ones(len(part)), np.int32))
+                ids.append(np.full(len(part), doc_id, np.int64))
                 counts.append(np.diff(np.concatenate((first, [len(windows)]))))
                 found.append(windows[:, 1])
             if seeds:
                 offsets = np.concatenate(([0], np.cumsum(np.concatenate(counts)))).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))
-                flat = [pa.array(np.concatenate(c)) for c in (seeds, splits, ids, tks)]
+                flat = [pa.array(np.concatenate(c)) for c in (seeds, splits, ids)]
                 yield pa.RecordBatch.from_arrays([*flat, lists], schema=schema)
 
-    return seeded.select("doc_id", "tk", "text", "seeds").mapInArrow(
-        run, "seed long, splits int, doc_id long, tk short, windows array<long>"
-    )
+    return docs.mapInArrow(run, "seed long, splits int, doc_id long, windows array<long>")
 
 
 def _later(rows: DataFrame, hot: bool) -> DataFrame:
-    """``(doc_id, tk, window)`` of the windows that a smaller doc_id has too."""
-    each = rows.select("seed", "splits", "doc_id", "tk", F.explode("windows").alias("window"))
+    """``(doc_id, window)`` of the windows that a smaller doc_id has too.
+
+    Rows are dealt by seed before their windows are spread out: the seed
+    travels once for all windows that carry it.
+    """
+    window = F.explode("windows").alias("window")
     if not hot:
+        each = rows.repartition("seed").select("seed", "doc_id", window)
         least = F.min("doc_id").over(Window.partitionBy("seed", "window"))
-        return each.withColumn("least", least).where("doc_id > least").select("doc_id", "tk", "window")
+        return each.withColumn("least", least).where("doc_id > least").select("doc_id", "window")
     # A hot seed is dealt to several tasks: each settles all but its least document,
     # and one row per task and window meets again.
-    dealt = each.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.col("splits")))
-    least = F.min("doc_id").over(Window.partitionBy("seed", "salt", "window"))
-    dealt = dealt.withColumn("least", least)
-    heads = dealt.where("doc_id = least and splits > 1").select("seed", "window", "doc_id", "tk")
-    over = F.min("doc_id").over(Window.partitionBy("seed", "window"))
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.col("splits"))).repartition("seed", "salt")
+    dealt = salted.select("seed", "salt", "splits", "doc_id", window)
+    dealt = dealt.withColumn("least", F.min("doc_id").over(Window.partitionBy("seed", "salt", "window")))
+    heads = dealt.where("doc_id = least and splits > 1").select("seed", "window", "doc_id")
+    least = F.min("doc_id").over(Window.partitionBy("seed", "window"))
     return (
         dealt.where("doc_id > least")
-        .select("doc_id", "tk", "window")
-        .union(heads.withColumn("least", over).where("doc_id > least").select("doc_id", "tk", "window"))
+        .select("doc_id", "window")
+        .union(heads.withColumn("least", least).where("doc_id > least").select("doc_id", "window"))
     )
 
 
 def repeated_windows(docs: DataFrame, min_words: int = 13, hot_seed: int = HOT_SEED) -> DataFrame:
-    """``(doc_id, tk, windows)``: per document the hashes of its windows that also start in a smaller doc_id.
+    """``(doc_id, windows)``: per document the hashes of its windows that also start in a smaller doc_id.
 
-    ``docs`` must come from ``_keyed``.
+    ``docs`` has ``doc_id`` (not null) and ``text`` (binary, not null).
     """
     seeds = _seed_rows(docs, min_words)
     # Seeds of two or more documents: a plain aggregate, combined before the shuffle.
@@ -152,16 +166,12 @@ def repeated_windows(docs: DataFrame, min_words: int = 13, hot_seed: int = HOT_S
         .select("seed", F.ceil(F.col("n") / hot_seed).cast("int").alias("splits"))
     )
     shared = checkpointed(shared)
-    hot = bool(shared.where("splits > 1").head(1))
-    own = (
-        seeds.join(shared, "seed")
-        .groupBy("doc_id")
-        .agg(F.collect_set(F.struct("seed", "splits")).alias("seeds"))
-    )
-    seeded = docs.where("doc_id is not null").join(own, "doc_id")
+    sketch = _sketch(shared)
+    # At most (rows of seeds) / hot_seed entries.
+    hot = {r["seed"]: r["splits"] for r in shared.where("splits > 1").collect()}
     return (
-        _later(_extend(seeded, min_words), hot)
-        .groupBy("doc_id", "tk")
+        _later(_extend(docs, sketch, hot, min_words), bool(hot))
+        .groupBy("doc_id")
         .agg(F.collect_set("window").alias("windows"))
     )
 
@@ -193,7 +203,8 @@ def remove_repeats(
     removed if a window of ``min_words`` words over it also starts in a
     document of smaller id; windows are judged on the input. Texts of fewer
     words, null and empty texts lose nothing; repeats inside one document or
-    between rows of one id do not count; rows with a null id lose nothing and
+    between rows of one id do not count (rows that share an id are one
+    document); rows with a null id lose nothing and
     cost others nothing.
     """
     schema = pa.schema(
@@ -219,9 +230,11 @@ def remove_repeats(
                 [pa.array(c, schema.field(i).type) for i, c in enumerate(zip(*out, strict=True))], schema=schema
             )
 
-    keyed = _keyed(docs, id_col, text_col)
-    found = repeated_windows(keyed, min_words, hot_seed)
-    return keyed.join(found, ["doc_id", "tk"], "left").select("doc_id", "text", "windows").mapInArrow(
+    plain = text_of(docs, id_col, text_col)
+    known = plain.where("doc_id is not null")
+    joined = known.join(repeated_windows(known, min_words, hot_seed), "doc_id", "left").select("doc_id", "text", "windows")
+    rest = plain.where("doc_id is null").withColumn("windows", F.lit(None).cast("array<long>"))
+    return joined.union(rest).mapInArrow(
         run,
         "doc_id long, n_words long, n_removed long, kept_sha256 string, kept binary, "
         "spans array<struct<start: int, end: int>>",
