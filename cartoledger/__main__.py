@@ -57,7 +57,7 @@ def main(argv: list[str] | None = None) -> int:
             print(f"{table}\t{path}")
         return 0
     p = Pipeline(inputs)
-    p.inventory().orderBy("table_name").show(truncate=False)
+    p.inventory().show(100, truncate=False)
     p.monthly().orderBy("month").show(truncate=False)
     p.top_projects(args.top).show(args.top, truncate=False)
     return 0

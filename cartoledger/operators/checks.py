@@ -24,3 +24,16 @@ def null_violations(df: DataFrame, columns: list[str]) -> DataFrame:
 def null_violations_of(df: DataFrame, table: str) -> DataFrame:
     """C7 driven by the declared schema."""
     return null_violations(df, not_null_columns(table))
+
+
+def null_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """C7 as a report: per declared table its rows and how many break a NOT NULL."""
+    parts = []
+    for name, df in tables.items():
+        bad = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in not_null_columns(name)])
+        parts.append(
+            df.agg(F.count(F.lit(1)).alias("num_rows"), F.count_if(bad).alias("num_violations")).select(
+                F.lit(name).alias("table_name"), "num_rows", "num_violations"
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)

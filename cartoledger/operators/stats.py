@@ -55,7 +55,7 @@ def top_projects(assigned: DataFrame, description: DataFrame, n: int = TOP_PROJE
 
 
 def inventory(tables: dict[str, DataFrame]) -> DataFrame:
-    """A13 re-aimed: rows per pipeline table (the reference lists on-disk size per table)."""
+    """A13 re-aimed: rows per pipeline table, most rows first (the reference lists on-disk size per table)."""
     parts = [df.agg(F.count(F.lit(1)).alias("num_rows")).select(F.lit(name).alias("table_name"), "num_rows")
              for name, df in tables.items()]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts).orderBy(F.desc("num_rows"), "table_name")

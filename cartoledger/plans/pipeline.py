@@ -15,6 +15,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import geo
 from ..operators import assign, changesets, checks, contributions, contributors, history, sessions, stats
 from ..session import stage, stage_with_metrics
 from ..sources import adapter, files
@@ -29,7 +30,8 @@ class Inputs:
 
     NAMES = (
         "registered_names", "uid_username", "history_contributor", "description", "activity", "region",
-        "node_edits", "way_edits", "rel_edits", "meta", "meta_tags", "history", "tag_history",
+        "node_edits", "way_edits", "rel_edits", "node_tag_edits", "way_tag_edits", "rel_tag_edits",
+        "meta", "meta_tags", "rejects", "history", "tag_history",
     )
 
     def __init__(self, spark: SparkSession, **tables):
@@ -44,19 +46,30 @@ class Inputs:
         if name not in Inputs.NAMES:
             raise AttributeError(name)
         if name not in self._df:
-            if name not in self._src:
+            if name in self._src:
+                src = self._src[name]
+                self._df[name] = src() if callable(src) else src
+            elif name == "uid_username" and self.has("history"):
+                self._df[name] = history.uid_username(self.history)  # H1
+            elif name == "history_contributor" and self.has("meta", "meta_tags"):
+                self._df[name] = contributors.tagged_contributors(self.meta, self.meta_tags)  # S4
+            else:
                 raise ValueError(f"input table {name!r} was not given")
-            src = self._src[name]
-            self._df[name] = src() if callable(src) else src
         return self._df[name]
 
+    def has(self, *names: str) -> bool:
+        """Whether all the named tables were given."""
+        return all(n in self._src for n in names)
+
     @classmethod
     def from_paths(cls, spark: SparkSession, changesets_xml: str | None = None, **paths: str) -> "Inputs":
         """Inputs from files in the formats the reference loads (see ``sources.files.FORMATS``).
 
         ``paths`` maps input names (``registered_names``, ``uid_username``, ``node_edits`` ...) to
-        paths. ``changesets_xml`` is the changeset dump; it supplies ``meta`` and ``meta_tags``
-        unless those are given as TSV files. Tables are read when a step first needs them.
+        paths. ``changesets_xml`` is the changeset dump; it supplies ``meta``, ``meta_tags`` and
+        ``rejects`` (incomplete changesets) unless they are given as files. Without a file,
+        ``uid_username`` comes from ``history`` (H1) and ``history_contributor`` from the changeset
+        comments (S4). Tables are read when a step first needs them.
         """
         src: dict = {}
         for name, path in paths.items():
@@ -72,6 +85,7 @@ class Inputs:
                 return dump["t"][i]
 
             src.setdefault("meta", lambda: part(0))
+            src.setdefault("rejects", lambda: part(1))
             src.setdefault("meta_tags", lambda: part(2))
         return cls(spark, **src)
 
@@ -181,7 +195,7 @@ class Pipeline:
 
     @cached_property
     def session_size(self) -> DataFrame:
-        return sessions.sizes(self.session_rows)
+        return self._stage(sessions.sizes(self.session_rows), "session_size")
 
     @cached_property
     def session(self) -> DataFrame:
@@ -190,7 +204,7 @@ class Pipeline:
     # contributions (stage 13)
     @cached_property
     def first_contribution(self) -> DataFrame:
-        return contributions.first_contribution(self.session)
+        return self._stage(contributions.first_contribution(self.session), "first_contribution")
 
     @cached_property
     def prior_experience(self) -> DataFrame:
@@ -234,7 +248,11 @@ class Pipeline:
         return history.user_tag_edits(self.i.tag_history, self.uid_list, kind)
 
     def way_deletions(self) -> DataFrame:
-        return history.way_deletions(self.i.history, changesets.way_id_list(self.i.way_edits))
+        return history.way_deletions(self.i.history, self.way_ids)
+
+    @cached_property
+    def way_ids(self) -> DataFrame:
+        return self._stage(changesets.way_id_list(self.i.way_edits), "way_ids")
 
     # input name -> declared table, for the NOT NULL checks
     _DECLARED = {
@@ -246,15 +264,20 @@ class Pipeline:
 
     def checks(self) -> dict[str, DataFrame]:
         """Offending rows per constraint of the reference (empty DataFrames when the data are clean)."""
+        return self.input_checks() | {
+            "contributor": checks.duplicates(self.contributor, ["hot_project", "uid"]),
+            "session": checks.duplicates(self.session, ["uid", "hot_project", "session"]),
+            "changeset_not_null": checks.null_violations_of(self.changeset, "changeset"),
+        }
+
+    def input_checks(self) -> dict[str, DataFrame]:
+        """C1, C2, C4, C5 and C7 on the inputs."""
         out = {
             "uid_username_by_username": checks.duplicates(self.i.uid_username, ["username"]),
             "uid_username_by_uid": checks.duplicates(self.i.uid_username, ["uid"]),
-            "contributor": checks.duplicates(self.contributor, ["hot_project", "uid"]),
             "description": checks.duplicates(self.i.description, ["hot_project"]),
             "activity": checks.duplicates(self.i.activity, ["hot_project"]),
             "changeset_meta": checks.duplicates(self.i.meta, ["changeset"]),
-            "session": checks.duplicates(self.session, ["uid", "hot_project", "session"]),
-            "changeset_not_null": checks.null_violations_of(self.changeset, "changeset"),
         }
         for name, table in self._DECLARED.items():
             if name in self.i._src:
@@ -268,41 +291,78 @@ def save(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-STAGES = (
-    "contributors", "project_info", "geojoin", "changeset_tags", "edit_sessions", "first_contribution",
-)
+class ConstraintError(RuntimeError):
+    """A constraint of the declared tables does not hold; the run stops."""
+
 
+def require(name: str, offending: DataFrame) -> None:
+    """Stop if a check (C1-C7) returns a row."""
+    row = offending.head(1)
+    if row:
+        raise ConstraintError(f"{name}: {row[0]}")
 
-def run(inputs: Inputs, out_dir: str) -> dict[str, str]:
-    """Write every derived table under ``out_dir`` in the reference's stage order.
 
-    Any failure raises and stops the run. ``changeset`` and the assignment are
-    written first and read back, so later stages start from stored tables (R2).
-    Returns table name -> path.
+def run(inputs: Inputs, out_dir: str, check: bool = True) -> dict[str, str]:
+    """Write every table under ``out_dir`` in the reference's stage order; any failure raises and stops the run.
+
+    Each table is written once and read back, so later stages start from
+    stored tables (R2). Input constraints are checked first and keys of derived
+    tables as they are written (``check=False`` leaves that out). Tables that
+    need the edit histories are written where those are given. What the
+    sessionizer keeps aside is removed at the end. Returns table name -> path.
     """
     out = out_dir.rstrip("/")
     paths: dict[str, str] = {}
-    p = Pipeline(inputs)
+    p = Pipeline(inputs, staged=False)
 
-    def put(name: str, df: DataFrame) -> DataFrame:
+    def put(name: str, df: DataFrame, unique: list[str] | None = None) -> DataFrame:
         paths[name] = f"{out}/{name}"
-        return save(df, paths[name])
+        stored = save(df, paths[name])
+        if check and unique:
+            require(name, checks.duplicates(stored, unique))
+        return stored
 
-    put("hot_project_registered_contributor", p.registered)
-    contributor = put("hot_project_contributor", p.contributor)
+    if check:
+        for name, offending in p.input_checks().items():
+            require(name, offending)
+    if inputs.has("meta") and inputs.has("meta_tags"):
+        inputs._df["meta"] = put("changeset_meta", inputs.meta)
+        inputs._df["meta_tags"] = put("changeset_meta_tags", inputs.meta_tags)
+    if inputs.has("rejects"):
+        put("changeset_rejects", inputs.rejects)
+    p.registered = put("hot_project_registered_contributor", p.registered)
+    p.contributor = put("hot_project_contributor", p.contributor)
+    if check:
+        require("hot_project_contributor", checks.duplicates(p.contributor, ["hot_project", "uid"]))
+    paths["uid_list"] = f"{out}/uid_list"
+    files.export_csv(p.uid_list, paths["uid_list"])
     put("hot_project_changeset_tag", p.project_tags)
-    changeset = put("changeset", p.changeset)
-    assigned = put(
-        "changeset_assigned",
-        assign.assign_rows(changeset, inputs.region, contributor, inputs.activity, inputs.description),
-    )
-    put("changeset_hot_project", assigned.select("changeset", "hot_project"))
-    put("changeset_editor", changesets.editors(changeset, inputs.meta_tags))
-    put("changeset_comment", changesets.comments(inputs.meta_tags))
-    rows = put("user_hmp_session_rows", sessions.sessionize(assigned).drop("time_since_prev_cs"))
-    put("user_hmp_session_changeset", rows.select("uid", "hot_project", "session", "changeset"))
-    session = put("user_hmp_session", sessions.labour(sessions.sizes(rows)))
-    first = put("user_first_hot_contribution", contributions.first_contribution(session))
-    put("user_prior_experience", contributions.prior_experience(first, changeset))
-    put("user_hot_contributions", contributions.totals(first, session))
+    for kind in ("node", "way", "rel"):
+        if inputs.has("history"):
+            put(f"{kind}_edit_history", p.user_edits(kind))
+        if inputs.has("tag_history"):
+            put(f"{kind}_tag_edit_history", p.user_tag_edits(kind))
+        if inputs.has(f"{kind}_tag_edits"):
+            put(f"{kind}_tag_edits", getattr(inputs, f"{kind}_tag_edits"))
+    box = geo.bbox_wkt("min_lat", "max_lat", "min_lon", "max_lon").alias("bbox")
+    p.changeset = put("changeset", p.changeset.select("*", box), ["changeset"]).drop("bbox")
+    if check:
+        require("changeset_not_null", checks.null_violations_of(p.changeset, "changeset"))
+    p.areas = put("project_areas", p.areas, ["hot_project"])
+    p.assigned = put("changeset_assigned", p.assigned)
+    put("changeset_hot_project", p.changeset_project)
+    paths["way_id_list"] = f"{out}/way_id_list"
+    p.way_ids = put("way_ids", p.way_ids)
+    files.export_csv(p.way_ids, paths["way_id_list"])
+    if inputs.has("history"):
+        put("way_deletions", p.way_deletions())
+    put("changeset_editor", p.editor)
+    put("changeset_comment", p.comment)
+    p.session_rows = put("user_hmp_session_rows", p.session_rows.drop("time_since_prev_cs"))
+    put("user_hmp_session_changeset", p.session_rows.select("uid", "hot_project", "session", "changeset"))
+    p.session_size = put("user_hmp_session_size", p.session_size)
+    p.session = put("user_hmp_session", p.session, ["uid", "hot_project", "session"])
+    p.first_contribution = put("user_first_hot_contribution", p.first_contribution, ["uid"])
+    put("user_prior_experience", p.prior_experience)
+    put("user_hot_contributions", p.totals)
     return paths

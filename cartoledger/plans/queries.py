@@ -40,6 +40,22 @@ def user_tag_edit_history(spark, sf_dir):
     return _p(spark, sf_dir).user_tag_edits("node")
 
 
+def user_edit_history_way(spark, sf_dir):
+    return _p(spark, sf_dir).user_edits("way")
+
+
+def user_edit_history_rel(spark, sf_dir):
+    return _p(spark, sf_dir).user_edits("rel")
+
+
+def user_tag_edit_history_way(spark, sf_dir):
+    return _p(spark, sf_dir).user_tag_edits("way")
+
+
+def user_tag_edit_history_rel(spark, sf_dir):
+    return _p(spark, sf_dir).user_tag_edits("rel")
+
+
 def way_deletion_history(spark, sf_dir):
     return _p(spark, sf_dir).way_deletions()
 
@@ -216,12 +232,37 @@ def check_not_null(spark, sf_dir):
     return checks.null_violations_of(_p(spark, sf_dir).changeset, "changeset")
 
 
+def check_unique_uid(spark, sf_dir):
+    return checks.duplicates(adapter.uid_username(spark, sf_dir), ["uid"])
+
+
+def check_unique_project(spark, sf_dir):
+    return checks.duplicates(adapter.project_description(spark, sf_dir), ["hot_project"])
+
+
+def check_unique_activity(spark, sf_dir):
+    return checks.duplicates(adapter.project_activity(spark, sf_dir), ["hot_project"])
+
+
+def check_unique_meta(spark, sf_dir):
+    return checks.duplicates(adapter.changeset_meta(spark, sf_dir), ["changeset"])
+
+
+def check_rows_and_nulls(spark, sf_dir):
+    """C7 over every declared input: rows, and rows with a NULL where none may be."""
+    return checks.null_counts({t: getattr(_p(spark, sf_dir).i, n) for n, t in Pipeline._DECLARED.items()})
+
+
 QUERIES: dict[str, Query] = {
     name: fn
     for name, fn in [
         ("uid_username_map", uid_username_map),
         ("user_edit_history", user_edit_history),
         ("user_tag_edit_history", user_tag_edit_history),
+        ("user_edit_history_way", user_edit_history_way),
+        ("user_edit_history_rel", user_edit_history_rel),
+        ("user_tag_edit_history_way", user_tag_edit_history_way),
+        ("user_tag_edit_history_rel", user_tag_edit_history_rel),
         ("way_deletion_history", way_deletion_history),
         ("tagged_contributors", tagged_contributors),
         ("contributor_registered", contributor_registered),
@@ -261,5 +302,10 @@ QUERIES: dict[str, Query] = {
         ("check_unique_contributor", check_unique_contributor),
         ("check_unique_session", check_unique_session),
         ("check_not_null", check_not_null),
+        ("check_unique_uid", check_unique_uid),
+        ("check_unique_project", check_unique_project),
+        ("check_unique_activity", check_unique_activity),
+        ("check_unique_meta", check_unique_meta),
+        ("check_rows_and_nulls", check_rows_and_nulls),
     ]
 }

@@ -46,6 +46,11 @@ SCHEMAS: dict[str, T.StructType] = {
     "node_edits": _s(*_EDIT_HEAD, ("latitude", D, True), ("longitude", D, True), ("visible", B, False)),
     "way_edits": _s(*_EDIT_HEAD, ("visible", B, False)),
     "rel_edits": _s(*_EDIT_HEAD, ("visible", B, False)),
+    "history": _s(
+        ("kind", S, False), *_EDIT_HEAD, ("username", S, True), ("latitude", D, True), ("longitude", D, True),
+        ("visible", B, False),
+    ),
+    "tag_history": _s(("kind", S, False), *_EDIT_HEAD, ("key", S, True), ("value", S, True)),
     "node_tag_edits": _s(*_EDIT_HEAD, ("key", S, True), ("value", S, True)),
     "way_tag_edits": _s(*_EDIT_HEAD, ("key", S, True), ("value", S, True)),
     "rel_tag_edits": _s(*_EDIT_HEAD, ("key", S, True), ("value", S, True)),

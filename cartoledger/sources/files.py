@@ -168,6 +168,11 @@ FORMATS: dict[str, tuple[str, str]] = {
     "node_edits": ("copy", "node_edits"),
     "way_edits": ("copy", "way_edits"),
     "rel_edits": ("copy", "rel_edits"),
+    "node_tag_edits": ("copy", "node_tag_edits"),
+    "way_tag_edits": ("copy", "way_tag_edits"),
+    "rel_tag_edits": ("copy", "rel_tag_edits"),
+    "history": ("copy", "history"),
+    "tag_history": ("copy", "tag_history"),
     "meta": ("tsv", "changeset_meta"),
     "meta_tags": ("tsv", "changeset_meta_tags"),
 }

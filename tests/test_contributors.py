@@ -70,3 +70,12 @@ def test_combined_equals_reference_form(spark, reg, hist):
     h = spark.createDataFrame([("#t", p, u, n) for (p, u, n) in hist], HIST)
     got = sorted(tuple(x) for x in contributors.combined(r, h).collect())
     assert got == _reference_form(reg, hist)
+
+
+def test_tag_number_too_long_for_an_id(spark):
+    """A 12-digit number in free text names no project and does not stop the job."""
+    meta = spark.createDataFrame([(1, 7, "ann"), (2, 8, "bob")], "changeset int, uid int, username string")
+    text = "#hotosm-project-99999999999 and #hotosm-project-5"
+    tags = spark.createDataFrame([(1, "comment", text), (2, "comment", None)], "changeset int, key string, value string")
+    got = contributors.tagged_contributors(meta, tags).collect()
+    assert [tuple(r) for r in got] == [("#hotosm-project-5", 5, 7, "ann")]

@@ -6,7 +6,7 @@ import pytest
 
 from conftest import rows
 
-from cartoledger.plans.pipeline import Inputs, Pipeline, run
+from cartoledger.plans.pipeline import ConstraintError, Inputs, Pipeline, run
 from cartoledger.session import stage
 
 SF = "/root/testdata/sf0.001"
@@ -19,7 +19,9 @@ def test_run_writes_all_tables(spark, tmp_path):
         "hot_project_registered_contributor", "hot_project_contributor", "hot_project_changeset_tag", "changeset",
         "changeset_assigned", "changeset_hot_project", "changeset_editor", "changeset_comment", "user_hmp_session_rows",
         "user_hmp_session_changeset", "user_hmp_session", "user_first_hot_contribution", "user_prior_experience",
-        "user_hot_contributions",
+        "user_hot_contributions", "changeset_meta", "changeset_meta_tags", "uid_list", "way_ids", "way_id_list",
+        "way_deletions", "project_areas", "user_hmp_session_size",
+        *(f"{k}_edit_history" for k in ("node", "way", "rel")), *(f"{k}_tag_edit_history" for k in ("node", "way", "rel")),
     }
     assert set(paths) == expected
     stored = spark.read.parquet(paths["user_hmp_session"])
@@ -27,6 +29,24 @@ def test_run_writes_all_tables(spark, tmp_path):
     cols = ["uid", "hot_project", "session", "num_edits"]
     assert rows(stored.select(*cols)) == rows(lazy.select(*cols))
     assert stored.count() == 281
+    assert "bbox" in spark.read.parquet(paths["changeset"]).columns
+    assert spark.read.parquet(paths["way_deletions"]).count() > 0
+
+
+def test_run_stops_on_a_violation(spark, tmp_path):
+    i = Inputs.from_testdata(spark, SF)
+    i._df["activity"] = i.activity.union(i.activity)
+    with pytest.raises(ConstraintError, match="activity"):
+        run(i, str(tmp_path))
+
+
+def test_contributors_and_uids_from_the_dumps(spark):
+    """Without their own files, H1 and S4 feed J1 and J2."""
+    full = Inputs.from_testdata(spark, SF)
+    kept = {k: v for k, v in full._src.items() if k not in ("uid_username", "history_contributor")}
+    i = Inputs(spark, **kept)
+    assert i.uid_username.columns == ["uid", "username"] and i.uid_username.count() > 0
+    assert i.history_contributor.columns == full.history_contributor.columns and i.history_contributor.count() > 0
 
 
 def test_checks_are_empty_on_fixture(spark):

@@ -134,3 +134,34 @@ def test_sessionize_equals_serial_scan(spark, items, n_parts):
     df = spark.createDataFrame(data, SCHEMA)
     got = {(r.uid, r.hot_project, r.changeset): r.session for r in sessions.sessionize(df, n_parts=n_parts).collect()}
     assert got == _brute_force(data)
+
+
+def test_ids_do_not_depend_on_the_optimizer(spark):
+    """Ids are those of a serial scan with exchange reuse and AQE on or off, for 1, 4 and 16 partitions."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    draw = random.Random(2)
+    rows_ = [(i, draw.randrange(300), draw.randrange(3), draw.randrange(60)) for i in range(3000)]
+    df = spark.createDataFrame(rows_, "changeset int, uid int, hot_project int, h int")
+    start = F.timestamp_ntz_from_parts if hasattr(F, "timestamp_ntz_from_parts") else None
+    base = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    df = df.withColumn("first_date", base + F.make_dt_interval(F.lit(0), "h")).withColumn("last_date", F.col("first_date"))
+    df = df.withColumns({c: F.lit(1) for c in ("node_edits", "way_edits", "rel_edits", "num_edits")}).drop("h")
+    del start
+    want, last, n = {}, None, 0
+    for c, u, p, h in sorted(rows_, key=lambda r: (r[1], r[2], r[3], r[0])):
+        if last is None or last[:2] != (u, p) or h - last[2] > 1:
+            n += 1
+        want[c, p], last = n, (u, p, h)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.exchange.reuse", "spark.sql.adaptive.enabled")}
+    try:
+        for reuse, aqe, parts in (("false", "true", 4), ("true", "false", 16), ("false", "false", 1)):
+            spark.conf.set("spark.sql.exchange.reuse", reuse)
+            spark.conf.set("spark.sql.adaptive.enabled", aqe)
+            got = sessions.sessionize(df, n_parts=parts).collect()
+            assert {(r.changeset, r.hot_project): r.session for r in got} == want
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
