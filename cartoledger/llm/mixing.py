@@ -42,17 +42,24 @@ def _words(text: Column) -> Column:
 def _with_features(
     docs: DataFrame, text_col: str = "text", words: str = "words", features: str = "features"
 ) -> DataFrame:
-    """Adds the words, and the hash buckets of the words, of their heads, and of the share of distinct words in tenths."""
-    own = docs.withColumn(words, F.filter(_words(docs[text_col]), lambda w: w != ""))
-    ratio = F.floor(F.size(F.array_distinct(words)) * 10 / F.greatest(F.size(words), F.lit(1)))
-    style = F.concat(F.lit("\x01"), ratio.cast("string"))  # no word starts with a control character of this kind
-    heads = F.transform(words, lambda w: F.substring(w, 1, PREFIX))
-    return own.withColumn(features, F.transform(F.array_append(F.array_distinct(F.concat(words, heads)), style), _feature))
+    """Adds the words, and the hash buckets of the words, of their heads, and of the share of distinct words in tenths.
+
+    Words are hashed first, so that repeats are dropped among integers. A
+    bucket may occur twice in ``features`` (a short word is its own head).
+    """
+    taken = {"h": free_name(docs, "hashed_words"), "d": free_name(docs, "distinct_words")}
+    own = docs.withColumn(words, F.array_remove(_words(docs[text_col]), ""))
+    own = own.withColumn(taken["h"], F.transform(words, _feature))
+    own = own.withColumn(taken["d"], F.array_distinct(taken["h"]))
+    ratio = F.floor(F.size(taken["d"]) * 10 / F.greatest(F.size(words), F.lit(1)))
+    style = _feature(F.concat(F.lit("\x01"), ratio.cast("string")))  # no word starts with that character
+    heads = F.array_distinct(F.transform(words, lambda w: _feature(F.substring(w, 1, PREFIX))))
+    return own.withColumn(features, F.concat(taken["d"], heads, F.array(style))).drop(*taken.values())
 
 
 def _feature(word: Column) -> Column:
     """Hash bucket of a feature."""
-    return F.pmod(F.xxhash64(word), F.lit(BUCKETS)).cast("int")
+    return F.xxhash64(word).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
 
 
 @dataclass(frozen=True)
@@ -147,7 +154,12 @@ def with_posteriors(docs: DataFrame, model: Model, text_col: str = "text") -> Da
     """
     names = {k: free_name(docs, k) for k in ("words", "features", *(f"s_{d}" for d in DOMAINS))}
     found = _with_features(docs, text_col, names["words"], names["features"])
-    found = found.withColumn(names["features"], F.array_distinct(names["features"]))
+    marks = [0] * BUCKETS
+    for bucket in model.buckets:
+        marks[bucket] = 1
+    marked = _constant(marks, "tinyint")
+    present = F.array_distinct(F.filter(names["features"], lambda b: F.get(marked, b) == 1))
+    found = found.withColumn(names["features"], present)
     for d in DOMAINS:
         # One weight per bucket, zero where the model has none: a lookup by position.
         dense = [0.0] * BUCKETS
