@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartoledger.llm.common import release
 from cartoledger.session import stage
 
 # Frequency classes belong to hash buckets of words: a table of fixed size. Words
@@ -200,14 +201,22 @@ def dedup_lines(
     num, den = similarity
     plain = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     known = plain.where("doc_id is not null and text is not null")
-    sets = stage(_sets(known, frequency_classes(known), num, den), "line_sets")
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        # Written in the shared folder and read again; the shuffles behind it are not needed any more.
+        df = stage(df, f"lines_{name}")
+        release(docs.sparkSession)
+        return df
+
+    sets = stored(_sets(known, frequency_classes(known), num, den), "sets")
     # First the likeliest partner of each set; what that leaves open meets all others.
-    early = _verified(_leader_pairs(sets), known, num, den).withColumn("hit", F.lit(True))
-    marked = sets.join(early, ["doc_id", "line_no"], "left").withColumn("done", F.coalesce("hit", F.lit(False))).drop("hit")
-    late = _verified(_candidates(marked, num, den), known, num, den)
+    early = stored(_verified(stored(_leader_pairs(sets), "leaders"), known, num, den), "early")
+    marked = sets.join(early.withColumn("hit", F.lit(True)), ["doc_id", "line_no"], "left")
+    marked = marked.withColumn("done", F.coalesce("hit", F.lit(False))).drop("hit")
+    late = stored(_verified(stored(_candidates(marked, num, den), "pairs"), known, num, den), "late")
     kept = (
-        marked.where(~F.col("done"))
-        .join(late, ["doc_id", "line_no"], "left_anti")
+        sets.select("doc_id", "line_no")
+        .join(early.union(late), ["doc_id", "line_no"], "left_anti")
         .groupBy("doc_id")
         .agg(F.collect_set("line_no").alias("kept"))
     )

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartoledger.llm.common import checkpointed, free_name
+from cartoledger.session import stage
 
 BUCKETS = 1 << 17
 PREFIX = 4
@@ -160,16 +161,16 @@ def with_posteriors(docs: DataFrame, model: Model, text_col: str = "text") -> Da
     marked = _constant(marks, "tinyint")
     present = F.array_distinct(F.filter(names["features"], lambda b: F.get(marked, b) == 1))
     found = found.withColumn(names["features"], present)
+    # Of a document's features only the few marked ones are left; their weights are found by place.
+    buckets = _constant(model.buckets or [-1], "int")
     for d in DOMAINS:
-        # One weight per bucket, zero where the model has none: a lookup by position.
-        dense = [0.0] * BUCKETS
-        for bucket, weight in zip(model.buckets, model.weights[d], strict=True):
-            dense[bucket] = weight
-        weights = _constant(dense, "float")
+        weights = _constant(model.weights[d] or [0.0], "double")
         found = found.withColumn(
             names[f"s_{d}"],
             F.aggregate(
-                names["features"], F.lit(model.offsets[d]), lambda s, b: s + F.get(weights, b).cast("double")
+                names["features"],
+                F.lit(model.offsets[d]),
+                lambda s, b: s + F.get(weights, F.array_position(buckets, b).cast("int") - 1),
             ),
         )
     logs = {d: F.col(names[f"s_{d}"]) for d in DOMAINS}
@@ -260,11 +261,11 @@ def with_rates(
 ) -> DataFrame:
     """``docs`` (all columns) plus ``n_tokens``, ``p_DOMAIN`` and ``rate``, row by row; no text is shuffled.
 
-    The steps of the fit work on a checkpointed table of counts and posteriors.
+    The scored documents are stored once; the fit reads their counts and
+    posteriors, and the rate is an expression over these.
     """
-    model = train(docs, labels, sample_rows)
-    scored = with_posteriors(docs, model)
-    members = checkpointed(scored.select("n_tokens", *[f"p_{d}" for d in DOMAINS]))
+    scored = stage(with_posteriors(docs, train(docs, labels, sample_rows)), "mixing_scored")
+    members = scored.select("n_tokens", *[f"p_{d}" for d in DOMAINS])
     return scored.withColumn("rate", F.round(rate_of(fit_rates(members, targets, steps)), 6))
 
 

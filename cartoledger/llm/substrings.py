@@ -176,13 +176,13 @@ def repeated_windows(docs: DataFrame, min_words: int = 13, hot_seed: int = HOT_S
     )
 
 
-def covered(hashes: np.ndarray, windows: list | None, min_words: int) -> np.ndarray:
+def covered(hashes: np.ndarray, windows: np.ndarray, min_words: int) -> np.ndarray:
     """Mask of the words inside any of the given windows: the union is made of maximal repeats."""
     n = len(hashes)
-    if not windows or n < min_words:
+    if not len(windows) or n < min_words:
         return np.zeros(n, bool)
     own = window_hashes(hashes, min_words).view(np.int64)
-    hit = np.isin(own, np.array(windows, np.int64)).astype(np.int32)
+    hit = np.isin(own, windows).astype(np.int32)
     steps = np.zeros(n + 1, np.int32)
     steps[: len(own)] += hit
     steps[min_words : min_words + len(own)] -= hit
@@ -213,11 +213,13 @@ def remove_repeats(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", 4_000_000):
             out = []
-            for row in batch.to_pylist():
-                words = row["text"].split()
-                gone = covered(word_hashes(words, _SEED), row["windows"], min_words) if row["windows"] else None
+            for doc_id, text, windows in zip(*(batch.column(c) for c in ("doc_id", "text", "windows")), strict=True):
+                words = text.as_py().split()
+                gone = None
+                if windows.is_valid:
+                    gone = covered(word_hashes(words, _SEED), windows.values.to_numpy(), min_words)
                 if gone is None or not gone.any():
                     kept, spans, removed = b" ".join(words), [], 0
                 else:
@@ -225,7 +227,7 @@ def remove_repeats(
                     edges = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0)).tolist()
                     spans = [{"start": a, "end": b} for a, b in zip(edges[::2], edges[1::2], strict=True)]
                     removed = int(gone.sum())
-                out.append((row["doc_id"], len(words), removed, hashlib.sha256(kept).hexdigest(), kept, spans))
+                out.append((doc_id.as_py(), len(words), removed, hashlib.sha256(kept).hexdigest(), kept, spans))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, schema.field(i).type) for i, c in enumerate(zip(*out, strict=True))], schema=schema
             )
