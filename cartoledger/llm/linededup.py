@@ -3,8 +3,8 @@
 A line is the set of its words. Words are ordered by rarity (frequency class,
 then hash); two sets of similarity ``t`` or more share a word among the first
 ``n - ceil(t * n) + 1`` of each (prefix filter), and sizes and positions of the
-shared word bound the overlap still possible (length and positional filters).
-Candidates are verified on the words themselves. A line goes if an earlier
+shared word bound the overlap still possible (length and positional filters),
+and parity bits the difference. Candidates are verified on the words themselves. A line goes if an earlier
 line (smaller doc_id, then line number) has at least the similarity: one such
 line is enough, so lines settled by the earliest line like them need no other
 partner, and a large family of similar lines is not spread out into its pairs.
@@ -66,7 +66,9 @@ def frequency_classes(docs: DataFrame) -> Column:
 
 
 def _sets(docs: DataFrame, classes: Column, num: int, den: int) -> DataFrame:
-    """One row per distinct word set: its first place, its size and its prefix in order of rarity.
+    """One row per distinct word set: its first place, size, parity bits and prefix in order of rarity.
+
+    Each word flips one of 64 parity bits, so two sets differ in at least as many words as bits.
 
     Equal sets (all copies of a line, however many) meet here as partial
     aggregates, so no later step sees a group of copies.
@@ -96,11 +98,12 @@ def _sets(docs: DataFrame, classes: Column, num: int, den: int) -> DataFrame:
             F.xxhash64(F.lit(1), "ranks").alias("s2"),
             F.struct("doc_id", "line_no").alias("place"),
             n.cast("int").alias("n"),
+            F.expr("aggregate(ranks, 0L, (s, r) -> s ^ shiftleft(1L, cast(r & 63 as int)))").alias("parity"),
             short.alias("prefix"),
         )
         .groupBy("s1", "s2")
-        .agg(F.min("place").alias("place"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-        .select("place.doc_id", "place.line_no", "n", "prefix")
+        .agg(F.min("place").alias("place"), *[F.first(c).alias(c) for c in ("n", "parity", "prefix")])
+        .select("place.doc_id", "place.line_no", "n", "parity", "prefix")
     )
 
 
@@ -159,6 +162,25 @@ def _candidates(sets: DataFrame, num: int, den: int) -> DataFrame:
     )
 
 
+def _plausible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs whose parity bits allow the similarity: similar sets differ in few words, so in few bits (exact bound).
+
+    It spares most pairs the look at their texts.
+    """
+    for side in ("a", "b"):
+        own = sets.select(
+            F.col("doc_id").alias(f"{side}_doc"),
+            F.col("line_no").alias(f"{side}_line"),
+            F.col("n").alias(f"{side}_n"),
+            F.col("parity").alias(f"{side}_parity"),
+        )
+        pairs = pairs.join(own, [f"{side}_doc", f"{side}_line"])
+    apart = F.bit_count(F.col("a_parity").bitwiseXOR(F.col("b_parity")))
+    return pairs.where(apart * (den + num) <= (F.col("a_n") + F.col("b_n")) * (den - num)).select(
+        "a_doc", "a_line", "b_doc", "b_line"
+    )
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, num: int, den: int) -> DataFrame:
     """``(doc_id, line_no)`` of the later lines whose words reach the similarity with an earlier one."""
     wanted = (
@@ -210,10 +232,11 @@ def dedup_lines(
 
     sets = stored(_sets(known, frequency_classes(known), num, den), "sets")
     # First the likeliest partner of each set; what that leaves open meets all others.
-    early = stored(_verified(stored(_leader_pairs(sets), "leaders"), known, num, den), "early")
+    early = stored(_verified(stored(_plausible(_leader_pairs(sets), sets, num, den), "leaders"), known, num, den), "early")
     marked = sets.join(early.withColumn("hit", F.lit(True)), ["doc_id", "line_no"], "left")
     marked = marked.withColumn("done", F.coalesce("hit", F.lit(False))).drop("hit")
-    late = stored(_verified(stored(_candidates(marked, num, den), "pairs"), known, num, den), "late")
+    pairs = stored(_plausible(_candidates(marked, num, den), sets, num, den), "pairs")
+    late = stored(_verified(pairs, known, num, den), "late")
     kept = (
         sets.select("doc_id", "line_no")
         .join(early.union(late), ["doc_id", "line_no"], "left_anti")
