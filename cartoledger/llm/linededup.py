@@ -224,19 +224,22 @@ def dedup_lines(
     plain = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     known = plain.where("doc_id is not null and text is not null")
 
-    def stored(df: DataFrame, name: str) -> DataFrame:
-        # Written in the shared folder and read again; the shuffles behind it are not needed any more.
-        df = stage(df, f"lines_{name}")
-        release(docs.sparkSession)
-        return df
-
-    sets = stored(_sets(known, frequency_classes(known), num, den), "sets")
+    # Each step is written in the shared folder and read again; the shuffles behind it are then not needed any more
+    # (released in statements of their own: a call still holds its arguments while it runs).
+    spark = docs.sparkSession
+    sets = stage(_sets(known, frequency_classes(known), num, den), "line_sets")
+    release(spark)
     # First the likeliest partner of each set; what that leaves open meets all others.
-    early = stored(_verified(stored(_plausible(_leader_pairs(sets), sets, num, den), "leaders"), known, num, den), "early")
+    leaders = stage(_plausible(_leader_pairs(sets), sets, num, den), "line_leaders")
+    release(spark)
+    early = stage(_verified(leaders, known, num, den), "lines_early")
+    release(spark)
     marked = sets.join(early.withColumn("hit", F.lit(True)), ["doc_id", "line_no"], "left")
     marked = marked.withColumn("done", F.coalesce("hit", F.lit(False))).drop("hit")
-    pairs = stored(_plausible(_candidates(marked, num, den), sets, num, den), "pairs")
-    late = stored(_verified(pairs, known, num, den), "late")
+    pairs = stage(_plausible(_candidates(marked, num, den), sets, num, den), "line_pairs")
+    release(spark)
+    late = stage(_verified(pairs, known, num, den), "lines_late")
+    release(spark)
     kept = (
         sets.select("doc_id", "line_no")
         .join(early.union(late), ["doc_id", "line_no"], "left_anti")
