@@ -23,7 +23,7 @@ from cartoledger.session import stage
 BUCKETS = 1 << 16
 FINE_BUCKETS = 1 << 19
 # Keys per line set by which it meets the earliest set like it.
-LEADER_KEYS = 2
+LEADER_KEYS = 4
 # Similarity threshold as a fraction.
 SIMILARITY = (4, 5)
 
@@ -92,6 +92,9 @@ def _sets(docs: DataFrame, classes: Column, num: int, den: int) -> DataFrame:
     prefix = F.slice("ranks", 1, F.when(alone, 0).otherwise(n - F.ceil(n * num / den).cast("int") + 1))
     # Postings carry 32 bits of a word's hash: two words that share them add candidates, none is lost.
     short = F.transform(prefix, lambda r: (r.bitwiseAND(F.lit(0xFFFFFFFF)) - F.lit(1 << 31)).cast("int"))
+    # The least hashes of the whole set, common words or rare: similar sets mostly share some of them.
+    plain = F.transform("ranks", lambda r: r.bitwiseAND(F.lit((1 << 56) - 1)))
+    leaders = F.slice(F.sort_array(plain), 1, LEADER_KEYS)
     return (
         sets.select(
             F.xxhash64("ranks").alias("s1"),
@@ -100,30 +103,26 @@ def _sets(docs: DataFrame, classes: Column, num: int, den: int) -> DataFrame:
             n.cast("int").alias("n"),
             F.expr("aggregate(ranks, 0L, (s, r) -> s ^ shiftleft(1L, cast(r & 63 as int)))").alias("parity"),
             short.alias("prefix"),
+            F.when(alone, F.array().cast("array<bigint>")).otherwise(leaders).alias("leaders"),
         )
         .groupBy("s1", "s2")
-        .agg(F.min("place").alias("place"), *[F.first(c).alias(c) for c in ("n", "parity", "prefix")])
-        .select("place.doc_id", "place.line_no", "n", "parity", "prefix")
+        .agg(F.min("place").alias("place"), *[F.first(c).alias(c) for c in ("n", "parity", "prefix", "leaders")])
+        .select("place.doc_id", "place.line_no", "n", "parity", "prefix", "leaders")
     )
 
 
 def _leader_pairs(sets: DataFrame) -> DataFrame:
-    """Each set with the earliest set that shares a leader key (the least words of its prefix, by parity).
+    """Each set with the earliest set that shares one of its least hashes.
 
     These are few pairs, and they settle most members of a large family of
     similar lines. The earliest is a plain aggregate joined back, so a hot key
     is split like any skewed join.
     """
-    leaders = [F.array_min(F.filter("prefix", lambda r, i=i: F.pmod(r, F.lit(LEADER_KEYS)) == i)) for i in range(LEADER_KEYS)]
-    keyed = (
-        sets.where(F.size("prefix") > 0)
-        .select("doc_id", "line_no", F.posexplode(F.array(*leaders)).alias("i", "key"))
-        .where("key is not null")
-    )
+    keyed = sets.select("doc_id", "line_no", F.explode("leaders").alias("key"))
     place = F.struct("doc_id", "line_no")
-    heads = keyed.groupBy("i", "key").agg(F.min(place).alias("head"), F.count(F.lit(1)).alias("m")).where("m > 1")
+    heads = keyed.groupBy("key").agg(F.min(place).alias("head"), F.count(F.lit(1)).alias("m")).where("m > 1")
     return (
-        keyed.join(heads.drop("m"), ["i", "key"])
+        keyed.join(heads.drop("m"), "key")
         .where(F.col("head") < place)
         .select(
             F.col("head.doc_id").alias("a_doc"),
