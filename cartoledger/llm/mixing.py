@@ -275,5 +275,5 @@ def mix(
     """``(doc_id, n_tokens, p_toxic, p_poor, p_good, rate)``, one row per row of ``docs``."""
     own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     model = train(own, labels, sample_rows)
-    members = checkpointed(with_posteriors(own, model).drop("text"))
+    members = stage(with_posteriors(own, model).drop("text"), "mixing_members")
     return members.withColumn("rate", F.round(rate_of(fit_rates(members, targets, steps)), 6))
