@@ -1,10 +1,11 @@
 """Main text of web pages by site template removal.
 
-Pages become element trees; every element subtree outside the article's prose
-is hashed, the hashes are counted per host in Spark, and subtrees that recur
-on many pages of their host are deleted. What is left of the page outside its
-article, and elements that say by tag, role or class that they are no article
-text, go too; the remaining blocks are the text.
+Pages become element trees; the subtrees that can give text are hashed, inside
+the article too, the hashes are counted per host in Spark, one count per
+distinct text of a page, and subtrees that recur in many different texts of
+their host are deleted. What the page holds outside its article, and elements
+that say by tag, role or class that they are no article text, go too; the
+remaining blocks are the text.
 """
 
 from __future__ import annotations
@@ -45,6 +46,8 @@ _IMPLIED = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
+# Parts of a list, a table or a form control.
+_PARTS = frozenset("li dt dd tr td th tbody thead tfoot caption legend option optgroup summary figcaption".split())
 _SCOPE = frozenset("table td th caption html body article section div main aside".split())
 
 # What marks an element as no article text.
@@ -192,29 +195,43 @@ def _digest(root: Element) -> None:
         element.digest = state.intdigest()
 
 
-def _outside(root: Element, article: Element | None) -> Iterator[Element]:
-    """Elements that may be template: all but the article, what holds it and what is in it as prose."""
-    if article is None:
-        keep = {id(root)}
-    else:
-        keep, path = set(), [(root, iter(root.children))]
-        while path:  # the elements on the way to the article
-            element, rest = path[-1]
-            if element is article:
-                keep = {id(e) for e, _ in path}
+def _alone(parent: Element, at: int) -> bool:
+    """Whether an inline child is all the text between two blocks of its parent, so no sentence loses words with it."""
+    if parent.tag not in _BLOCK or parent.tag in _PARTS:
+        return False
+    for step in (-1, 1):
+        i = at + step
+        while 0 <= i < len(parent.children):
+            c = parent.children[i]
+            if isinstance(c, Element):
+                if c.tag not in _BLOCK:
+                    return False
                 break
-            child = next((c for c in rest if isinstance(c, Element)), None)
-            if child is None:
-                path.pop()
-            else:
-                path.append((child, iter(child.children)))
-    todo = [(root, False)]
+            if c.strip():
+                return False
+            i += step
+    return True
+
+
+def _counted(root: Element, article: Element | None) -> Iterator[Element]:
+    """Elements that can give text and may be template.
+
+    Inside an article only whole blocks: neither words of a sentence nor parts
+    of a list or a table (these count as a whole) go for recurring.
+    """
+    todo = [article or root]
     while todo:
-        element, prose = todo.pop()
-        prose = (prose or element is article) and not (element is not article and _no_prose(element))
-        if id(element) not in keep and not prose and element.tag not in ("html", "body", "head"):
-            yield element
-        todo.extend((c, prose) for c in element.children if isinstance(c, Element))
+        parent = todo.pop()
+        for at, child in enumerate(parent.children):
+            if isinstance(child, str) or _no_prose(child):
+                continue
+            if article is None:
+                whole = child.tag not in ("html", "body", "head")
+            else:
+                whole = child.tag not in _PARTS if child.tag in _BLOCK else _alone(parent, at)
+            if whole:
+                yield child
+            todo.append(child)
 
 
 def _signed(x: int) -> int:
@@ -223,13 +240,20 @@ def _signed(x: int) -> int:
 
 def page_subtrees(page: str) -> set[int]:
     """Signed hashes of a page's subtrees that may be template and hold text."""
+    return _content(page)[1]
+
+
+def _content(page: str) -> tuple[int, set[int]]:
+    """Signed hash of a page's text before any template is deleted, and its ``page_subtrees``."""
     root = parse(page)
+    article = _article(root)
     _digest(root)
-    return {
+    found = {
         _signed(e.digest)
-        for e in _outside(root, _article(root))
+        for e in _counted(root, article)
         if any(isinstance(c, Element) or c.strip() for c in e.children)
     }
+    return _signed(xxhash.xxh3_64_intdigest(_text(article or root, set()))), found
 
 
 def extract(page: str, template: frozenset[int] | set[int]) -> str:
@@ -239,7 +263,12 @@ def extract(page: str, template: frozenset[int] | set[int]) -> str:
     gone: set[int] = set()
     if template:
         _digest(root)
-        gone = {id(e) for e in _outside(root, article) if _signed(e.digest) in template}
+        gone = {id(e) for e in _counted(root, article) if _signed(e.digest) in template}
+    return _text(article or root, gone)
+
+
+def _text(top: Element, gone: set[int]) -> str:
+    """The text blocks of ``top`` without the elements whose ids are ``gone``."""
     blocks: list[str] = []
     run: list[str] = []
 
@@ -249,17 +278,17 @@ def extract(page: str, template: frozenset[int] | set[int]) -> str:
         if text:
             blocks.append(text)
 
-    todo: list = [article or root]
+    todo: list = [top]
     while todo:
         node = todo.pop()
         if node is None:
             end()
         elif isinstance(node, str):
             run.append(node)
-        elif node is article or not (id(node) in gone or _no_prose(node)):
+        elif node is top or not (id(node) in gone or _no_prose(node)):
             if node.tag in ("br", "wbr"):
                 run.append(" " if node.tag == "br" else "")
-            elif node.tag in _BLOCK or node is article:
+            elif node.tag in _BLOCK or node is top:
                 end()
                 todo.append(None)
             todo.extend(reversed(node.children))
@@ -277,21 +306,24 @@ def host_of(url: str | None) -> str:
 
 
 def templates(pages: DataFrame, url_col: str, html_col: str, min_pages: int, min_share: float) -> DataFrame:
-    """``(host, subtree)`` of the subtrees on at least ``min_pages`` pages and ``min_share`` of a host's pages."""
-    schema = pa.schema([("host", pa.string()), ("subtree", pa.int64())])
+    """``(host, subtree)`` of the subtrees in at least ``min_pages`` and ``min_share`` of a host's different texts."""
+    schema = pa.schema([("host", pa.string()), ("subtree", pa.int64()), ("content", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "html"):
-            hosts, found = [], []
+            hosts, found, contents = [], [], []
             for url, page in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist(), strict=True):
                 host = host_of(url)
-                own = [0, *page_subtrees(page.decode("utf-8", "replace"))]  # 0 counts the page itself
+                content, subtrees = _content(page.decode("utf-8", "replace"))
+                own = [0, *subtrees]  # 0 counts the text itself
                 hosts += [host] * len(own)
                 found += own
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(found, pa.int64())], schema=schema)
+                contents += [content] * len(own)
+            columns = zip((hosts, found, contents), schema, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in columns], schema=schema)
 
-    counted = _columns(pages, None, url_col, html_col).mapInArrow(run, "host string, subtree long")
-    counted = counted.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"))
+    counted = _columns(pages, None, url_col, html_col).mapInArrow(run, "host string, subtree long, content long")
+    counted = counted.distinct().groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"))
     pages_of = counted.where("subtree = 0").select("host", F.col("n").alias("pages"))
     recurring = counted.where((F.col("subtree") != 0) & (F.col("n") >= min_pages))
     return recurring.join(pages_of, "host").where(F.col("n") >= F.col("pages") * min_share).select("host", "subtree")
@@ -317,9 +349,10 @@ def main_text(
 
     Blocks are joined by a line feed, white space inside a block is one space,
     character references are decoded. A null or empty page has the empty text;
-    a null or broken url belongs to the host without a name; repeated rows
-    count as pages of their own; an empty table gives an empty result. Prose
-    inside a page's article is never template, however often it recurs.
+    a null or broken url belongs to the host without a name; pages of equal
+    text count once, so copies of a page do not erase it; an empty table gives
+    an empty result. Inside a page's article, blocks that recur in many
+    different texts of the host are template like any others.
 
     Up to ``broadcast_rows`` templates (counted first) are sent to the
     executors; more are joined to the pages by host as sorted lists.

@@ -158,6 +158,19 @@ def test_html_templates(spark):
     assert htmltext.main_text(pages.limit(0)).count() == 0
 
 
+def test_html_templates_inside_articles(spark):
+    """A box on every page of a host goes from the article; sentences, lists and copies of one page stay whole."""
+    rows = []
+    for i in range(8):
+        box = "<div class='x1'>Read our <b>terms</b></div><span>Send</span>"
+        rows.append((i, f"http://a.example/{i}", f"<article><p>Text {i} of <a>Acme</a></p>{box}<ul><li>salt<li>{i}</ul></article>"))
+        rows.append((10 + i, f"http://b.example/{i}", f"<nav>{i}</nav><article><p>One</p><p>Two</p></article>"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for limit in (200_000, 0):
+        got = {r["page_id"]: r["text"] for r in htmltext.main_text(pages, broadcast_rows=limit).collect()}
+        assert got == {i: f"Text {i} of Acme\nsalt\n{i}" for i in range(8)} | {10 + i: "One\nTwo" for i in range(8)}
+
+
 def test_html_real_pages_keep_whole_articles(spark):
     import html
     import re
