@@ -3,9 +3,9 @@
 Pages become element trees; the subtrees that can give text are hashed, inside
 the article too, the hashes are counted per host in Spark, one count per
 distinct text of a page, and subtrees that recur in many different texts of
-their host are deleted. What the page holds outside its article, and elements
-that say by tag, role or class that they are no article text, go too; the
-remaining blocks are the text.
+their host are deleted. What the page holds outside its articles, and elements
+that say by tag, role or a known class or id that they are no article text, go
+too; the remaining blocks are the text.
 """
 
 from __future__ import annotations
@@ -58,22 +58,23 @@ _DROP_TAGS = frozenset(
 _DROP_ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split()
 )
-_DROP_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion promoted "
-    "banner cookie cookies consent gdpr notice notices popup modal overlay "
-    "sidebar aside menu navbar nav navigation breadcrumb breadcrumbs pagination pager "
-    "comment comments commentlist respond replies disqus reply "
-    "share sharing social newsletter subscribe subscription signup login related recommended trending widget widgets "
-    "footer masthead topbar toolbar skip disclaimer".split()
+# Whole names of a class or an id; other names that contain these words say nothing (``no-sidebar``, ``related-work``).
+_DROP_NAMES = frozenset(
+    "ad ads advert adverts advertisement advertising adsense ad-container ad-slot ad-banner sponsor sponsored promo "
+    "banner cookie cookies cookie-notice cookie-banner cookie-bar cookie-consent consent gdpr popup modal "
+    "sidebar site-sidebar menu main-menu navbar nav main-nav site-nav navigation site-navigation breadcrumb breadcrumbs "
+    "pagination pager comment comments comments-area comment-list commentlist respond replies disqus-thread "
+    "share sharing share-buttons social social-share social-links newsletter newsletter-signup subscribe signup login "
+    "related related-posts related-articles recommended trending widget widget-area "
+    "site-header footer site-footer page-footer masthead topbar toolbar skip-link".split()
 )
-_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
 class Element:
-    __slots__ = ("tag", "attributes", "children", "digest")
+    __slots__ = ("tag", "attributes", "children", "digest", "verdict")
 
     def __init__(self, tag: str, attributes: str) -> None:
-        self.tag, self.attributes, self.children, self.digest = tag, attributes, [], 0
+        self.tag, self.attributes, self.children, self.digest, self.verdict = tag, attributes, [], 0, None
 
 
 def parse(page: str) -> Element:
@@ -137,10 +138,14 @@ def _attributes(element: Element) -> dict[str, str]:
     }
 
 
-def _no_prose(element: Element) -> bool:
-    """Whether tag, role or class say that an element is no article text."""
-    if element.tag in _DROP_TAGS:
-        return True
+def _no_prose(element: Element, inside: bool = False) -> bool:
+    """Whether tag, role, class or id say that an element is no article text; ``inside`` an article, headers are."""
+    if element.verdict is None:
+        element.verdict = element.tag in _DROP_TAGS and element.tag != "header" or _named_no_prose(element)
+    return element.verdict or element.tag == "header" and not inside
+
+
+def _named_no_prose(element: Element) -> bool:
     if not element.attributes or element.tag in ("html", "body"):
         return False
     own = _attributes(element)
@@ -149,8 +154,8 @@ def _no_prose(element: Element) -> bool:
     style = own.get("style", "").replace(" ", "").lower()
     if "display:none" in style or "visibility:hidden" in style:
         return True
-    names = f"{own.get('class', '')} {own.get('id', '')}"
-    return any(w.lower() in _DROP_WORDS for w in _WORD.findall(names))
+    names = f"{own.get('class', '')} {own.get('id', '')}".lower().replace("_", "-").split()
+    return any(n in _DROP_NAMES for n in names)
 
 
 def _walk(root: Element):
@@ -162,25 +167,51 @@ def _walk(root: Element):
         todo.extend(c for c in element.children if isinstance(c, Element))
 
 
-def _article(root: Element) -> Element | None:
-    """The page's article: the ``article``, or else ``main``, with most text outside comments; None without any."""
-    for wanted in ("article", "main"):
-        best, most = None, -1
-        todo = [root]
-        while todo:
-            element = todo.pop()
-            if element is not root and _no_prose(element):
-                continue
-            own = _attributes(element) if element.attributes else {}
-            if element.tag == wanted or wanted == "main" and own.get("role", "").lower() == "main":
-                size = sum(len(c) for e in _walk(element) for c in e.children if isinstance(c, str))
-                if size > most:
-                    best, most = element, size
-                continue
+def _is_article(element: Element) -> bool:
+    if element.tag in ("article", "main"):
+        return True
+    return "role" in element.attributes.lower() and _attributes(element).get("role", "").lower() == "main"
+
+
+def _articles(root: Element) -> list[Element]:
+    """The outermost ``article`` and ``main`` elements in page order; none in an element that is no article text.
+
+    An article with more than half of the page's text is never in such an
+    element: it and all that holds it are marked as article text.
+    """
+    order = list(_walk(root))
+    wanted = [e for e in order if _is_article(e)]
+    if not wanted:
+        return []
+    sizes: dict[int, int] = {}
+    parents: dict[int, Element] = {}
+    for element in reversed(order):  # children before parents
+        n = 0
+        for child in element.children:
+            if isinstance(child, Element):
+                n += sizes[id(child)]
+                parents[id(child)] = element
+            elif element.tag not in _RAW:
+                n += len(child.strip())
+        sizes[id(element)] = n
+    held = set()
+    for element in wanted:
+        if 2 * sizes[id(element)] > sizes[id(root)]:
+            above: Element | None = element
+            while above is not None and id(above) not in held:
+                above.verdict = False
+                held.add(id(above))
+                above = parents.get(id(above))
+    found, todo = [], [root]
+    while todo:
+        element = todo.pop()
+        if element is not root and id(element) not in held and _no_prose(element):
+            continue
+        if _is_article(element):
+            found.append(element)
+        else:
             todo.extend(c for c in reversed(element.children) if isinstance(c, Element))
-        if best is not None:
-            return best
-    return None
+    return found
 
 
 def _digest(root: Element) -> None:
@@ -213,19 +244,19 @@ def _alone(parent: Element, at: int) -> bool:
     return True
 
 
-def _counted(root: Element, article: Element | None) -> Iterator[Element]:
+def _counted(root: Element, articles: list[Element]) -> Iterator[Element]:
     """Elements that can give text and may be template.
 
     Inside an article only whole blocks: neither words of a sentence nor parts
     of a list or a table (these count as a whole) go for recurring.
     """
-    todo = [article or root]
+    todo = list(articles or [root])
     while todo:
         parent = todo.pop()
         for at, child in enumerate(parent.children):
-            if isinstance(child, str) or _no_prose(child):
+            if isinstance(child, str) or _no_prose(child, bool(articles)):
                 continue
-            if article is None:
+            if not articles:
                 whole = child.tag not in ("html", "body", "head")
             else:
                 whole = child.tag not in _PARTS if child.tag in _BLOCK else _alone(parent, at)
@@ -246,29 +277,29 @@ def page_subtrees(page: str) -> set[int]:
 def _content(page: str) -> tuple[int, set[int]]:
     """Signed hash of a page's text before any template is deleted, and its ``page_subtrees``."""
     root = parse(page)
-    article = _article(root)
+    articles = _articles(root)
     _digest(root)
     found = {
         _signed(e.digest)
-        for e in _counted(root, article)
+        for e in _counted(root, articles)
         if any(isinstance(c, Element) or c.strip() for c in e.children)
     }
-    return _signed(xxhash.xxh3_64_intdigest(_text(article or root, set()))), found
+    return _signed(xxhash.xxh3_64_intdigest(_text(root, articles, set()))), found
 
 
 def extract(page: str, template: frozenset[int] | set[int]) -> str:
     """Text blocks of a page without its template subtrees."""
     root = parse(page)
-    article = _article(root)
+    articles = _articles(root)
     gone: set[int] = set()
     if template:
         _digest(root)
-        gone = {id(e) for e in _counted(root, article) if _signed(e.digest) in template}
-    return _text(article or root, gone)
+        gone = {id(e) for e in _counted(root, articles) if _signed(e.digest) in template}
+    return _text(root, articles, gone)
 
 
-def _text(top: Element, gone: set[int]) -> str:
-    """The text blocks of ``top`` without the elements whose ids are ``gone``."""
+def _text(root: Element, articles: list[Element], gone: set[int]) -> str:
+    """The text blocks of the articles, or of a page without any, without the elements whose ids are ``gone``."""
     blocks: list[str] = []
     run: list[str] = []
 
@@ -278,17 +309,19 @@ def _text(top: Element, gone: set[int]) -> str:
         if text:
             blocks.append(text)
 
-    todo: list = [top]
+    tops = articles or [root]
+    starts = {id(e) for e in tops}
+    todo: list = list(reversed(tops))
     while todo:
         node = todo.pop()
         if node is None:
             end()
         elif isinstance(node, str):
             run.append(node)
-        elif node is top or not (id(node) in gone or _no_prose(node)):
+        elif id(node) in starts or not (id(node) in gone or _no_prose(node, bool(articles))):
             if node.tag in ("br", "wbr"):
                 run.append(" " if node.tag == "br" else "")
-            elif node.tag in _BLOCK or node is top:
+            elif node.tag in _BLOCK or id(node) in starts:
                 end()
                 todo.append(None)
             todo.extend(reversed(node.children))

@@ -171,6 +171,21 @@ def test_html_templates_inside_articles(spark):
         assert got == {i: f"Text {i} of Acme\nsalt\n{i}" for i in range(8)} | {10 + i: "One\nTwo" for i in range(8)}
 
 
+def test_html_class_names_and_articles():
+    """Known names count as a whole, what holds the article stays, an article keeps its header, all articles count."""
+    body = "<p class='notice-period'>A</p><div class='elementor-widget-text-editor'>B</div><p id='market-share'>C</p>"
+    for around in ("wrap no-sidebar", "has-sidebar", "sidebar", "widget"):
+        page = f"<div class='{around}'><article><header class='header'><h1>H</h1></header>{body}</article></div><footer>F</footer>"
+        assert htmltext.extract(page, set()) == "H\nA\nB\nC"
+        assert htmltext.extract(f"<form><main>{page}</main></form>", set()) == "H\nA\nB\nC"
+    assert htmltext.extract("<body><div class='wrap no-sidebar'><p>x</p></div></body>", set()) == "x"
+    several = "<header>S</header><main><p>Lead</p><article>One</article><article>Two longer</article></main>"
+    assert htmltext.extract(several, set()) == "Lead\nOne\nTwo longer"
+    assert htmltext.extract("<article>One</article><p>x</p><article>Two longer</article>", set()) == "One\nTwo longer"
+    aside = "<main><p>The text of this page</p><div class='related'><article>Other</article></div></main>"
+    assert htmltext.extract(aside, set()) == "The text of this page"
+
+
 def test_html_real_pages_keep_whole_articles(spark):
     import html
     import re
