@@ -5,7 +5,8 @@ Elias-Fano trie of quantised, smoothed probabilities, memory-maps its levels
 and answers the n-grams of the documents:
 
 1. word counts give the training total, the vocabulary size, and the words so
-   frequent that their children must be dealt to several shards;
+   frequent that their children must be dealt to several shards; the distinct
+   children of these are counted over the whole training text;
 2. documents are dealt into groups; a group sends each shard its distinct
    words and bigrams with their training counts, packed;
 3. a shard adds up what all groups sent, builds its trie, and sends every
@@ -29,8 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartoledger.llm.common import checkpointed, pieces, word_hashes
-from cartoledger.llm.trie import Trie, dequantise
+from cartoledger.llm.common import checkpointed, pieces, release, word_hashes
+from cartoledger.llm.trie import Trie, dequantise, quantise
 
 DISCOUNT = 0.75
 # Bytes of text per group and per shard.
@@ -50,7 +51,7 @@ def tokens(data: bytes) -> np.ndarray:
 class Group:
     """Distinct words and bigrams of a group of texts, in the order in which shards are asked; order of texts is free."""
 
-    def __init__(self, texts: list[bytes], learn: list[bool], shards: int, hot: dict[int, tuple[int, int]]) -> None:
+    def __init__(self, texts: list[bytes], learn: list[bool], shards: int, hot: dict[int, tuple[int, int, int]]) -> None:
         rows = [tokens(t) for t in texts]
         self.sizes = np.array([len(r) for r in rows], np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
@@ -70,7 +71,7 @@ class Group:
 
         home = (self.words % np.uint64(shards)).astype(np.int64)
         splits = np.ones(len(self.words), np.int64)
-        for word, (_, n) in hot.items():
+        for word, (_, n, _) in hot.items():
             i = int(np.searchsorted(self.words, np.uint64(word)))
             if i < size and self.words[i] == np.uint64(word):
                 splits[i] = n
@@ -162,10 +163,12 @@ def _answer(table: pa.Table, hot: dict) -> pa.Table:
     sums = np.bincount(owner, seen, len(context))
     kinds = np.bincount(owner, learned, len(context))
     whole = sums.copy()
-    for word, (n, _) in hot.items():
+    dealt = {}
+    for word, (n, _, all_kinds) in hot.items():
         i = int(np.searchsorted(context, np.uint64(word)))
         if i < len(context) and context[i] == np.uint64(word):
-            whole[i] = n  # this shard holds some of the children only
+            whole[i] = n  # this shard holds some of the children only, perhaps none that was learned
+            dealt[i] = DISCOUNT * all_kinds / n
     known = sums > 0
     place = np.cumsum(known) - 1
     probability = np.maximum(seen - DISCOUNT, 0)[learned] / whole[owner[learned]]
@@ -179,7 +182,9 @@ def _answer(table: pa.Table, hot: dict) -> pa.Table:
             probability,
         )
         found = trie.find(context)
-        rests = trie.rests(found)[context_at]
+        rests = trie.rests(found)
+        rests[list(dealt)] = quantise(np.array(list(dealt.values()), np.float64))
+        rests = rests[context_at]
         codes = trie.codes(found[owner], own_child)[pair_at]
         del trie
     rows, at = [], [0, 0, 0]
@@ -247,6 +252,30 @@ def _word_counts(docs: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def _kinds_of(docs: DataFrame, hot: list[int]) -> dict[int, int]:
+    """Number of distinct children that the training texts have after each hot word; counted by (word, child)."""
+    schema = pa.schema([("word", pa.int64()), ("child", pa.int64())])
+    wanted = np.sort(np.array(hot, np.uint64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text", 16_000_000):
+            rows = [tokens(t) for t in batch.column("text").to_pylist()]
+            everything = np.concatenate(rows)
+            before = np.ones(len(everything), bool)  # whether a token has one after it
+            before[np.cumsum([len(r) for r in rows]) - 1] = False
+            place = np.minimum(np.searchsorted(wanted, everything), len(wanted) - 1)
+            at = np.flatnonzero(before & (wanted[place] == everything))
+            children, child_at = np.unique(everything[at + 1], return_inverse=True)
+            size = np.int64(max(1, len(children)))
+            pairs = np.unique(place[at] * size + child_at)
+            columns = [wanted[pairs // size], children[pairs % size]]
+            yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns], schema=schema)
+
+    pairs = docs.where("learn").select("text").mapInArrow(run, "word long, child long").distinct()
+    counted = pairs.groupBy("word").agg(F.count(F.lit(1)).alias("kinds")).collect()
+    return {int(np.int64(r["word"]).view(np.uint64)): r["kinds"] for r in counted}
+
+
 def score(
     docs: DataFrame,
     learn: Column,
@@ -279,6 +308,10 @@ def score(
         int(np.int64(r["word"]).view(np.uint64)): (r["n"], min(parts, math.ceil(r["n"] / limit)))
         for r in vocabulary.where(F.col("n") > limit).collect()
     }
+    if hot:
+        all_kinds = _kinds_of(own, list(hot))
+        release(docs.sparkSession)
+        hot = {word: (n, splits, all_kinds.get(word, 0)) for word, (n, splits) in hot.items()}
 
     dealt = own.withColumn("g", F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)).cast("int"))
     asks = dealt.groupBy("g").applyInArrow(

@@ -235,6 +235,19 @@ def test_lm_equals_plain_model(spark, part_bytes, hot_share):
         assert abs(r["score"] - whole) <= slack * n
 
 
+@pytest.mark.parametrize("part_bytes,hot_share", [(3_000, 0.01), (400, 0.02)])
+def test_lm_dealt_contexts_keep_their_weight(spark, part_bytes, hot_share):
+    """Dealt-out contexts score as whole ones do, also beside one frequent child and where a shard learned no child."""
+    draw = random.Random(5)
+    texts = [" ".join(f"the {'end' if draw.randrange(2) else f'w{draw.randrange(400)}'}" for _ in range(draw.randrange(1, 40))) for _ in range(90)]
+    docs = helpers.table(spark, texts)
+    got = {r["doc_id"]: r for r in lm.score(docs, docs["doc_id"] % 3 != 0, part_bytes=part_bytes, hot_share=hot_share).collect()}
+    model = helpers.bigram_model(texts, [i % 3 != 0 for i in range(len(texts))])
+    for i, t in enumerate(texts):
+        n, *_, whole = model(t)
+        assert abs(got[i]["score"] - whole) <= 0.03 * n
+
+
 def test_lm_awkward_rows(spark):
     docs = helpers.awkward(spark)
     out = lm.score(docs, docs["doc_id"].isNotNull(), part_bytes=20_000)
