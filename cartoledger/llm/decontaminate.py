@@ -1,7 +1,8 @@
 """Benchmark decontamination by SimHash windows and a multi-index over Hamming blocks.
 
 For each benchmark item, document windows of the item's own size (in words) get
-a SimHash over their word shingles. Eight byte blocks index the items' SimHashes:
+a SimHash over their word shingles; a document shorter than the item is one
+window as a whole. Eight byte blocks index the items' SimHashes:
 two that differ in at most ``radius`` bits differ in at most ``radius // 8``
 bits in some block, and every such block value is listed, so no fingerprint
 within the radius is missed. Candidates are verified by the exact weighted
@@ -100,9 +101,12 @@ class Index:
         best: dict[int, tuple] = {}
         by_length: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for n, items, prints, lists, bags in self.sizes:
-            if n > len(words):
-                break
             k = min(self.size, n)
+            size = min(n, len(words))  # an item longer than the text meets the whole text
+            inside = size - k + 1  # shingles of a window
+            least = math.ceil(self.threshold * (n - k + 1) - 1e-9)
+            if inside < max(1, least):
+                break
             if k not in by_length:
                 own = mix64(ngram_hashes(hashes, k))
                 found = self.hits(own)
@@ -110,8 +114,7 @@ class Index:
             own, sums = by_length[k]
             if sums is None:
                 continue
-            inside = n - k + 1  # shingles of a window of n words
-            starts = np.flatnonzero(sums[inside:] - sums[:-inside] >= math.ceil(self.threshold * inside - 1e-9))
+            starts = np.flatnonzero(sums[inside:] - sums[:-inside] >= least)
             for run in np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1):
                 for at in range(0, len(run), _RUN):
                     part = run[at : at + _RUN]
@@ -131,7 +134,7 @@ class Index:
                         bag = Counter(piece[w : w + inside].tolist())
                         score = similarity(bag, bags[i])
                         if score >= self.threshold:
-                            row = (items[i], score, first + int(w), n, int(apart[w, i]))
+                            row = (items[i], score, first + int(w), size, int(apart[w, i]))
                             old = best.get(items[i])
                             if old is None or (-row[1], row[2]) < (-old[1], old[2]):
                                 best[items[i]] = row
@@ -164,7 +167,8 @@ def contaminated(
 
     The benchmark is the stated query set: it is searched in blocks of bounded
     size, each sent to the executors and held against all documents. Items and
-    documents without a word match nothing; null ids of items are passed over;
+    documents without a word match nothing; an item with more words than a
+    document is held against the whole document; null ids of items are passed over;
     an item repeated under several ids matches under each; repeated rows of
     ``docs`` give repeated results.
     """

@@ -120,6 +120,20 @@ def leaks(text, items, threshold=0.8, size=5):
     return out
 
 
+def short_leaks(text, items, threshold=0.8, size=5):
+    """item -> weighted Jaccard similarity of the whole text to each item with more words, at least the threshold."""
+    ws, out = words(lower(text)), {}
+    for item, t in items:
+        own = words(lower(t))
+        k = min(size, len(own))
+        if k <= len(ws) < len(own):
+            a, b = (Counter(tuple(x[i : i + k]) for i in range(len(x) - k + 1)) for x in (ws, own))
+            score = sum((a & b).values()) / sum((a | b).values())
+            if score >= threshold:
+                out[item] = score
+    return out
+
+
 def quality(text, limits, window=8):
     """Figures of the quality rules, word by word."""
     ws = words(text)

@@ -212,3 +212,19 @@ def test_decontamination_awkward_rows(spark):
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
     assert decontaminate.drop_contaminated(docs, bench.limit(0)).count() == docs.count()
     assert decontaminate.drop_contaminated(docs, bench).where(F.col("doc_id") == 4).count() == 0
+
+
+def test_items_longer_than_the_document(spark):
+    """Whole items with words cut off at an end or deleted are found like longer documents; others are not."""
+    items = [(i, " ".join(f"q{i}x{j}" for j in range(n))) for i, n in enumerate((3, 5, 15, 20, 40, 50, 59))]
+    cuts = (lambda w: w[:-1], lambda w: w[1:], lambda w: w[1:-1], lambda w: w[:-2], lambda w: w[:9] + w[10:], lambda w: w[:25] + w[26:], lambda w: w[: len(w) // 2])
+    texts = [" ".join(cut(t.upper().split())) for _, t in items for cut in cuts]
+    docs = helpers.table(spark, texts)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.contaminated(docs, benchmark).collect()
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in found}
+    want = {(i, item): s for i, t in enumerate(texts) for item, s in (helpers.leaks(t, items) | helpers.short_leaks(t, items)).items()}
+    assert len(want) >= 15 and got == pytest.approx(want)
+    assert all((r["start_word"], r["n_words"]) == (0, len(texts[r["doc_id"]].split())) for r in found)
+    kept = {r["doc_id"] for r in decontaminate.drop_contaminated(docs, benchmark).collect()}
+    assert kept == set(range(len(texts))) - {i for i, _ in want}
