@@ -18,8 +18,8 @@ from cartoledger.llm.common import name_checkpoint_dir
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 # Target shares of all tokens after filtering.
 TARGETS = {"good": 0.97, "poor": 0.03, "toxic": 0.0}
-# Documents whose fitted rate is below this are hardly wanted at all and go.
-LEAST_RATE = 0.1
+# Documents whose fitted rate is not above this go: the others are wanted, however seldom, to meet the targets.
+LEAST_RATE = 0.0
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,9 +51,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the rate at which to draw them; those hardly wanted are gone."""
+    """Documents with the rate at which to draw them; those that the fit puts at rate zero are gone."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return mixing.with_rates(docs.select(*COLUMNS), labels, TARGETS).where(F.col("rate") >= LEAST_RATE)
+    return mixing.with_rates(docs.select(*COLUMNS), labels, TARGETS).where(F.col("rate") > LEAST_RATE)
 
 
 STAGES = [

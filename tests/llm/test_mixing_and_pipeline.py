@@ -100,6 +100,20 @@ def test_pipeline_equals_plain_composition(spark):
     assert all(abs(got[i]["rate"] - rates[i]) < 1e-3 for i in got)
 
 
+def test_kept_rows_meet_targets_with_a_large_poor_source(spark, tmp_path):
+    """A third of the rows is poor: their rate is low, but they stay and make up their share."""
+    kinds = [("poor", 0, 0)] * 100 + [("toxic", 1, 1)] * 20 + [("good", 1, 0)] * 180
+    rows = [(i, " ".join(f"{k}{(7 * i + 3 * j) % 50}" for j in range(40)), "en", k, 0) for i, (k, _, _) in enumerate(kinds)]
+    labels = [(i, quality, toxic) for i, (_, quality, toxic) in enumerate(kinds)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    got = corpus_pipeline.source_mixing(spark, spark.createDataFrame(rows, helpers.DOCS), str(tmp_path)).collect()
+    assert {r["doc_id"] for r in got if r["source"] == "poor"} == set(range(100))
+    tokens = sum(r["rate"] * r["n_tokens"] for r in got)
+    for d in NAMES:
+        share = sum(r["rate"] * r["n_tokens"] * r[f"p_{d}"] for r in got) / tokens
+        assert share == pytest.approx(corpus_pipeline.TARGETS[d], abs=0.005)
+
+
 def test_stages_keep_the_columns(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
