@@ -129,9 +129,94 @@ SELECT d.doc_id, CAST(coalesce(total.n, 0) AS BIGINT) AS n_lines,
 FROM documents d LEFT JOIN rest USING (doc_id) LEFT JOIN total USING (doc_id)
 """
 
+
+def _vectors(scale: int) -> str:
+    """Kept rows of ``embeddings`` with ``q``, the integer components as doubles."""
+    return f"""
+v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * {scale})) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)"""
+
+
+def _vector_codes(rounds: int = 4, entries: int = 256) -> str:
+    nearest = """
+a{r} AS (
+  SELECT vec_id, p, arg_min(e, d * 1000 + e) AS e, min(d) AS d FROM (
+    SELECT s.vec_id, s.p, b.e, CAST(s.n + b.n - 2 * list_dot_product(s.c, b.c) AS BIGINT) AS d
+    FROM s JOIN b{r} b USING (p)
+  ) GROUP BY vec_id, p
+)"""
+    move = """
+m{r} AS (
+  SELECT p, e, list(x ORDER BY i) AS c FROM (
+    SELECT a.p, a.e, i, floor(sum(s.c[i]) / count(*)) AS x
+    FROM a{q} a JOIN s USING (vec_id, p), range(1, (SELECT w FROM wide) + 1) g(i) GROUP BY a.p, a.e, i
+  ) GROUP BY p, e
+),
+b{r} AS (
+  SELECT p, e, c, list_dot_product(c, c) AS n FROM (
+    SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM b{q} b LEFT JOIN m{r} m ON m.p = b.p AND m.e = b.e
+  )
+)"""
+    steps = [nearest.format(r=0)]
+    for r in range(1, rounds + 1):
+        steps += [move.format(r=r, q=r - 1), nearest.format(r=r)]
+    return f"""
+WITH {_vectors(1024)},
+wide AS (SELECT CAST(max(len(q)) // 4 AS BIGINT) AS w FROM v),
+s AS (
+  SELECT vec_id, p, c, list_dot_product(c, c) AS n
+  FROM (SELECT vec_id, p, list_slice(q, p * w + 1, p * w + w) AS c FROM v, wide, range(4) t(p))
+),
+b0 AS (
+  SELECT s.p, f.e, s.c, s.n
+  FROM s JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM v) f USING (vec_id) WHERE f.e < {entries}
+),{",".join(steps)},
+book AS (
+  SELECT sha256(string_agg(t, ',' ORDER BY p, e)) AS h
+  FROM (SELECT p, e, array_to_string(list_transform(c, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ',') AS t FROM b{rounds})
+),
+coded AS (
+  SELECT vec_id, string_agg(lpad(lower(to_hex(CAST(e AS BIGINT))), 2, '0'), '' ORDER BY p) AS code,
+    CAST(sum(d) AS BIGINT) AS error
+  FROM a{rounds} GROUP BY vec_id
+)
+SELECT c.vec_id, c.code, c.error, CAST(sum(c.error) OVER (PARTITION BY v.label) AS BIGINT) AS label_error,
+  book.h AS codebooks_sha256
+FROM coded c JOIN v USING (vec_id), book
+"""
+
+
+_NEGATIVES = f"""
+WITH {_vectors(256)},
+t AS (
+  SELECT vec_id, q, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label FROM v WHERE label IS NOT NULL
+),
+s AS (
+  SELECT a.vec_id AS anchor_id, o.vec_id AS other_id, a.label = o.label AS same,
+    CAST(list_dot_product(a.q, o.q) AS BIGINT) AS score
+  FROM t a JOIN t o ON a.vec_id % 100 = 0 AND a.vec_id <> o.vec_id
+),
+p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) AS k FROM s WHERE same
+  ) WHERE k <= 5
+),
+n AS (
+  SELECT p.*, s.other_id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) AS k
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score
+)
+SELECT anchor_id, positive_id, CAST(k AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE k <= 5
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_substring_dedup": _substring_dedup(),
     "op5_quality_rules": _quality(Rules()),
     "op6_chat_format": _CHAT,
     "op7_line_dedup": _LINES,
+    "op11_vector_codes": _vector_codes(),
+    "op12_hard_negatives": _NEGATIVES,
 }

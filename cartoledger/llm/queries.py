@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartoledger.llm import (
+    bpe,
     chat,
     decontaminate,
+    hardnegatives,
     htmltext,
     langid,
     linededup,
@@ -18,6 +20,7 @@ from cartoledger.llm import (
     quality,
     simhash,
     substrings,
+    vectorcodes,
 )
 
 # Target shares of all tokens in the mixed corpus.
@@ -129,3 +132,34 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op10_lm_scoring"] = op10_lm_scoring
+
+
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of every vector under four codebooks of 256 entries after four rounds."""
+    found = vectorcodes.compress(_table(spark, sf_dir, "embeddings"), 4, 256, 4, 1024)
+    digits = F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0")))
+    return found.rows.select(
+        "vec_id", F.array_join(digits, "").alias("code"), "error", "label_error",
+        F.lit(found.digest()).alias("codebooks_sha256"),
+    )
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth row, with one label in seven made wrong."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    wrong = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardnegatives.mine(vectors.withColumn("label", wrong), F.col("vec_id") % 100 == 0, 5, 5, (80, 100), 256)
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text as ids of a public byte-level vocabulary, and back."""
+    import public_tokenizers
+
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    encoded = bpe.encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, ranks).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256")
+    )
+
+
+QUERIES |= {f.__name__: f for f in (op11_vector_codes, op12_hard_negatives, op13_byte_bpe)}

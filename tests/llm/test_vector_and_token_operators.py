@@ -1,0 +1,284 @@
+"""Vector codes, hard negatives and byte-level BPE: against plain versions and a public tokenizer library."""
+
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from cartoledger.llm import bpe, hardnegatives, vectorcodes
+from tests.llm import helpers
+
+SF = "/root/testdata/sf0.001"
+VECTORS = T.StructType(
+    [T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType()))]
+    + [T.StructField("label", T.IntegerType())]
+    + [T.StructField(c, T.StringType()) for c in ("q", "row", "stripe", "block", "cluster", "error", "codes", "k", "pos")]
+)
+
+
+def vector_table(spark, rows):
+    return spark.createDataFrame([(*r, *"abcdefghi") for r in rows], VECTORS)
+
+
+def finite(v):
+    return v is not None and all(x is not None and np.isfinite(x) for x in v)
+
+
+def floors(v, scale):
+    return [int(np.floor(float(np.float32(x)) * scale)) for x in v]
+
+
+def plain_codes(rows, parts, entries, rounds, scale):
+    """(sorted (vec_id, codes, error, label_error), codebooks), by comparing every part with every entry."""
+    kept = [(i, floors(v, scale), label) for i, v, label in rows if finite(v) and v]
+    first = sorted(kept, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    width = len(first[0][1])
+    kept = [r for r in kept if len(r[1]) == width]
+    first = [r for r in first if len(r[1]) == width][:entries]
+    w = width // parts
+    books = [[r[1][p * w : (p + 1) * w] for r in first] for p in range(parts)]
+
+    def assigned():
+        for i, v, label in kept:
+            out = []
+            for p in range(parts):
+                own = v[p * w : (p + 1) * w]
+                out.append(min((sum((a - b) ** 2 for a, b in zip(own, e, strict=True)), k) for k, e in enumerate(books[p])))
+            yield i, v, label, [k for _, k in out], sum(d for d, _ in out)
+
+    for _ in range(rounds):
+        rows_now = list(assigned())
+        for p in range(parts):
+            for k in range(len(books[p])):
+                mine = [v[p * w : (p + 1) * w] for _, v, _, c, _ in rows_now if c[p] == k]
+                if mine:
+                    books[p][k] = [sum(col) // len(mine) for col in zip(*mine, strict=True)]
+    last = list(assigned())
+    by_label = {}
+    for _, _, label, _, error in last:
+        by_label[label] = by_label.get(label, 0) + error
+    return sorted((str(i), c, e, by_label[label]) for i, _, label, c, e in last), books
+
+
+def random_rows(n, width, seed, spread=1.0):
+    rng = np.random.default_rng(seed)
+    centers = rng.normal(size=(6, width))
+    own = centers[rng.integers(0, 6, n)] + rng.normal(size=(n, width)) * spread
+    return [(i, own[i].astype(np.float32).tolist(), int(rng.integers(0, 4))) for i in range(n)]
+
+
+@pytest.mark.parametrize(("spread", "block_rows"), [(0.01, 50), (0.5, 7), (3.0, 2048)])
+def test_vector_codes_equal_plain_version(spark, spread, block_rows):
+    rows = random_rows(150, 8, 3, spread)
+    got = vectorcodes.compress(vector_table(spark, rows).repartition(3), 4, 16, 3, 64, block_rows=block_rows)
+    want, books = plain_codes(rows, 4, 16, 3, 64)
+    assert sorted((str(r["vec_id"]), r["codes"], r["error"], r["label_error"]) for r in got.rows.collect()) == want
+    assert [b.astype(int).tolist() for b in got.books] == books
+
+
+def test_vector_codes_awkward_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = random_rows(40, 4, 5)
+    copies = [(100 + i, [0.5, 0.25, -0.125, 1.0], 7) for i in range(60)]
+    bad = [(200, None, 1), (201, [1.0, None, 0.0, 0.0], 1), (202, [nan, 0.0, 0.0, 0.0], 1), (203, [inf, 0.0, 0.0, 0.0], 1)]
+    odd = [(204, [], 1), (205, [1.0, 2.0], 1), (None, [0.1, 0.2, 0.3, 0.4], None), (3, rows[3][1], None), (3, rows[3][1], 2)]
+    rows = rows + copies + bad + odd
+    got = vectorcodes.compress(vector_table(spark, rows), 2, 32, 4, 1024, block_rows=16)
+    want, books = plain_codes(rows, 2, 32, 4, 1024)
+    assert sorted((str(r["vec_id"]), r["codes"], r["error"], r["label_error"]) for r in got.rows.collect()) == want
+    assert [b.astype(int).tolist() for b in got.books] == books
+    none = vectorcodes.compress(vector_table(spark, bad))
+    assert none.rows.count() == 0 and none.books == [] and none.rows.columns == got.rows.columns
+    with pytest.raises(ValueError, match="equal parts"):
+        vectorcodes.compress(vector_table(spark, [(1, [1.0, 2.0, 3.0], 1)]), 2)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 120), st.integers(1, 5), st.integers(1, 12), st.integers(0, 10**6))
+def test_cover_tree_assigns_as_all_pairs(n, width, entries, seed):
+    rng = np.random.default_rng(seed)
+    scale = 10 ** rng.integers(0, 4)
+    points = rng.integers(-scale, scale + 1, (n, width)).astype(float)
+    book = rng.integers(-scale, scale + 1, (entries, width)).astype(float)
+    tree = vectorcodes.Tree.unpack(vectorcodes.build(points).pack(), width)
+    apart = ((points[:, None] - book[None]) ** 2).sum(2)
+    own, error = vectorcodes.codes(tree, book)
+    assert own.tolist() == apart.argmin(1).tolist() and error.tolist() == apart.min(1).tolist()
+    count, total = vectorcodes.sums(tree, book)
+    assert count.tolist() == np.bincount(own, minlength=entries).tolist()
+    assert all(total[k].tolist() == points[own == k].sum(0).tolist() for k in range(entries))
+    # Every ball holds its points, its children cover it, and children of one ball lie over half its reach apart.
+    for b in range(len(tree.low)):
+        far = np.sqrt(((tree.points[tree.low[b] : tree.high[b]] - tree.points[tree.center[b]]) ** 2).sum(1))
+        assert abs(far.max() - tree.radius[b]) < 1e-6
+        kids = np.flatnonzero(tree.parent == b)
+        if len(kids):
+            assert sorted((tree.low[k], tree.high[k]) for k in kids)[0][0] == tree.low[b]
+            assert sum(tree.high[k] - tree.low[k] for k in kids) == tree.high[b] - tree.low[b]
+            at = tree.points[tree.center[kids]]
+            gaps = np.sqrt(((at[:, None] - at[None]) ** 2).sum(2))[~np.eye(len(kids), dtype=bool)]
+            assert (gaps > tree.radius[b] / 2 - 1e-6).all()
+
+
+def test_whole_balls_are_assigned(spark):
+    """Rows close to the entries are decided by ball, not one by one."""
+    rng = np.random.default_rng(2)
+    centers = rng.integers(-1000, 1000, (10, 8))
+    points = (centers[rng.integers(0, 10, 1000)] + rng.integers(-3, 4, (1000, 8))).astype(float)
+    tree = vectorcodes.build(points)
+    balls, single = vectorcodes.assign(tree, centers.astype(float))
+    assert len(single) == 0 and (tree.high[balls[:, 0]] - tree.low[balls[:, 0]]).sum() == len(tree.points)
+    assert len(balls) < 50
+
+
+def plain_negatives(rows, every, positives=5, negatives=5, scale=256):
+    own = [(i, floors(v, scale), label) for i, v, label in rows if finite(v) and label is not None and i is not None]
+    width = max((len(v) for _, v, _ in own), default=0)
+    own = [(i, v + [0] * (width - len(v)), label) for i, v, label in own]
+    out = []
+    for a, (i, v, label) in enumerate(own):
+        if i % every:
+            continue
+        score = [sum(x * y for x, y in zip(v, w, strict=True)) for _, w, _ in own]
+        same = [b for b in range(len(own)) if b != a and own[b][2] == label]
+        for p in sorted(same, key=lambda b: (-score[b], own[b][0]))[:positives]:
+            fit = [b for b in range(len(own)) if own[b][2] != label and 80 * score[p] <= 100 * score[b] <= 100 * score[p]]
+            for k, b in enumerate(sorted(fit, key=lambda b: (-score[b], own[b][0]))[:negatives], 1):
+                out.append((i, own[p][0], k, own[b][0], score[p], score[b]))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("spread", [0.05, 0.4, 2.0])
+def test_hard_negatives_equal_plain_version(spark, spread):
+    rows = random_rows(400, 8, 11, spread)
+    got = hardnegatives.mine(vector_table(spark, rows).repartition(3), F.col("vec_id") % 20 == 0)
+    want = plain_negatives(rows, 20)
+    assert sorted(tuple(r) for r in got.collect()) == want and want
+    small = hardnegatives.mine(
+        vector_table(spark, rows), F.col("vec_id") % 20 == 0, stripe_values=24, block_values=1000, least_block_rows=10
+    )
+    assert sorted(tuple(r) for r in small.collect()) == want
+
+
+def test_hard_negatives_awkward_rows(spark):
+    nan = float("nan")
+    rows = random_rows(60, 4, 13, 0.3)
+    rows += [(100 + i, [0.5, 0.25, -0.125, 1.0], i % 2) for i in range(70)]  # copies: ties by id, and copies of an anchor
+    rows += [(300, None, 1), (310, [1.0, None, 0.0, 0.0], 1), (320, [nan, 0.0, 0.0, 0.0], 1), (330, [1.0, 1.0, 1.0, 1.0], None)]
+    rows += [(340, [0.0] * 4, 1), (350, [], 2), (360, [0.5, 0.5], 0), (None, [1.0, 1.0, 1.0, 1.0], 1)]
+    rows += [(20, rows[20][1], 2), (20, rows[20][1], 2), (370, [-9.0, 4.0, 0.0, 1.0], 9)]
+    got = hardnegatives.mine(vector_table(spark, rows), F.col("vec_id") % 10 == 0, stripe_values=40, block_values=100)
+    assert sorted(tuple(r) for r in got.collect()) == plain_negatives(rows, 10)
+    none = hardnegatives.mine(vector_table(spark, []), F.col("vec_id") % 10 == 0)
+    assert none.count() == 0 and none.columns == got.columns
+    assert hardnegatives.mine(vector_table(spark, rows[:9]), F.col("vec_id") == 999).count() == 0
+
+
+def test_walk_stops_when_certified():
+    """With directions apart, a member looks at its neighbourhood only."""
+    rng = np.random.default_rng(1)
+    rows = np.concatenate([rng.normal(size=(5000, 16)) * 20, np.eye(16)[[0] * 20] * 400 + rng.integers(-5, 5, (20, 16))])
+    rows = np.rint(rows)
+    members = np.rint(np.eye(16)[[0, 0]] * 300 + rng.integers(-5, 5, (2, 16)))
+    wanted = [[hardnegatives.Best(5)] for _ in members]
+    ids = np.arange(len(rows))
+    looked = hardnegatives.walk(members, wanted, rows, ids, np.array([-1, -1]), ids)
+    assert looked < len(rows)
+    for m, (best,) in zip(members, wanted, strict=True):
+        scores = rows @ m
+        assert best.ids.tolist() == sorted(ids, key=lambda i: (-scores[i], i))[:5]
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.integers(1, 9), st.integers(1, 60), st.integers(0, 10**6))
+def test_bounds_hold(width, n, seed):
+    rng = np.random.default_rng(seed)
+    members, rows = (rng.integers(-20, 21, (k, width)).astype(float) for k in (5, n))
+    center, half = hardnegatives.center_of(members)
+    most = hardnegatives.angular_bounds(rows, center, half)
+    lengths = np.sqrt((members**2).sum(1))
+    assert (members @ rows.T <= lengths[:, None] * np.maximum(most, 0)[None] + 1e-6).all()
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    reference = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return ranks, reference
+
+
+def ids_of(packed):
+    return np.frombuffer(packed, "<u4").tolist()
+
+
+def test_bpe_equals_library(vocabulary):
+    ranks, reference = vocabulary
+    own = bpe.Encoder(ranks, public_tokenizers.PATTERN)
+    rng = random.Random(4)
+    texts = ["", "a" * 20_000, "ab" * 9_000, "漢字" * 3_000, " " * 5_000, "<|endoftext|>", "\x1c\x85᠎ x "]
+    texts += ["".join(rng.choice("abcdefgh") for _ in range(30_000))]
+    bits = ["a", "the ", "ing", "é", "ß", " ", "\n", "  ", "漢", "1", "'s", "!", "\t", "zz", "́", "\U0001f600"]
+    texts += ["".join(rng.choice(bits) for _ in range(rng.randrange(200))) for _ in range(500)]
+    texts += ["".join(f"a{chr(c)}1 {chr(c)} " for c in range(0x3100) if not 0xD800 <= c < 0xE000)]
+    for text in texts:
+        assert ids_of(own.encode(text)) == reference.encode_ordinary(text)
+    assert not own.queue.buckets and not any(map(any, own.queue.levels))
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(max_size=80))
+def test_bpe_equals_library_on_any_text(vocabulary, text):
+    ranks, reference = vocabulary
+    assert ids_of(bpe.Encoder(ranks, public_tokenizers.PATTERN).encode(text)) == reference.encode_ordinary(text)
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 299_999), st.integers(0, 50)), max_size=60))
+def test_rank_queue_pops_in_order(entries):
+    queue = bpe.RankQueue(300_000)
+    for rank, at in entries:
+        queue.push(rank, at)
+    assert [queue.pop() for _ in entries] == sorted(entries)
+    assert queue.pop() is None
+
+
+def test_bpe_tables(spark, vocabulary):
+    ranks, reference = vocabulary
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+    want = {r["doc_id"]: r["text"] for r in docs.select("doc_id", "text").collect()}
+    got = {r["doc_id"]: r for r in bpe.decode(encoded, ranks).collect()}
+    lists = {r["doc_id"]: r["ids"] for r in bpe.unpacked(encoded).collect()}
+    assert len(got) == len(want)
+    for i, text in want.items():
+        ids = reference.encode_ordinary(text or "")
+        assert lists[i] == ids_of(got[i]["ids"]) == ids and got[i]["n_tokens"] == len(ids)
+        assert got[i]["data"] == (text or "").encode()
+
+
+def test_bpe_awkward_rows(spark, vocabulary):
+    ranks, reference = vocabulary
+    docs = helpers.awkward(spark)
+    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+    want = sorted((str(r["doc_id"]), reference.encode_ordinary(r["text"] or "")) for r in docs.collect())
+    assert sorted((str(r["doc_id"]), ids_of(r["ids"])) for r in encoded.collect()) == want
+    texts = sorted((r["text"] or "").encode() for r in docs.collect())
+    assert sorted(r["data"] for r in bpe.decode(encoded, ranks).collect()) == texts
+    assert bpe.encode(docs.limit(0), ranks, public_tokenizers.PATTERN).count() == 0
+    raw = spark.createDataFrame([(1, bytearray(b"a\xffb"))], "doc_id long, text binary")
+    assert bpe.decode(bpe.encode(raw, ranks, public_tokenizers.PATTERN), ranks).first()["data"] == "a�b".encode()
+    with pytest.raises(ValueError, match="taken"):
+        bpe.decode(encoded.withColumn("data", F.lit(1)), ranks)
+
+
+def test_bpe_vocabulary_is_checked(tmp_path):
+    path = tmp_path / "v"
+    path.write_bytes(b"YQ== 0\n")
+    with pytest.raises(ValueError, match="no token"):
+        bpe.read_ranks(str(path))
