@@ -328,7 +328,7 @@ def _text(root: Element, articles: list[Element], gone: set[int]) -> str:
         elif node.tag in _BLOCK:
             end()
     end()
-    return "\n".join(blocks)
+    return "\n\n".join(blocks)
 
 
 def host_of(url: str | None) -> str:
@@ -380,7 +380,7 @@ def main_text(
 ) -> DataFrame:
     """``(page_id, url, text, n_chars)``, one row per row of ``pages``.
 
-    Blocks are joined by a line feed, white space inside a block is one space,
+    Blocks are joined by two line feeds, white space inside a block is one space,
     character references are decoded. A null or empty page has the empty text;
     a null or broken url belongs to the host without a name; pages of equal
     text count once, so copies of a page do not erase it; an empty table gives

@@ -8,10 +8,10 @@ of the smallest encoding wins. Narrow margins are rejected.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +20,7 @@ from pyspark.sql import Window
 from cartoledger.llm.common import pieces
 
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def dictionaries(
@@ -28,26 +28,37 @@ def dictionaries(
     lang_col: str = "lang",
     text_col: str = "text",
     id_col: str = "doc_id",
-    rows: int = 300,
-    row_chars: int = 300,
+    rows: int = 2000,
+    budget: int = 96_000,
 ) -> dict[str, bytes]:
-    """Raw dictionary per language from a bounded sample: ``rows`` texts of ``row_chars`` characters each.
-
-    The sample takes the rows of least hash of the id, so it is the same
-    however the table is partitioned; only these rows leave their tasks.
-    Rows without a language or letters are passed over.
+    """Raw dictionary per language from a bounded sample of whole texts, short ones included.
+
+    Per language, texts are taken in the order of the hash of their id until
+    ``budget`` bytes are full (the last one is taken whole) or ``rows`` are
+    taken; those longer than a sixteenth of the budget come after all others,
+    so that a few long texts do not make up a dictionary. The sample is the same
+    however the table is partitioned, and only the sampled rows leave their
+    tasks: the least hashes of 32 shares of a language first, then those of the
+    language. Rows without a language or a letter are passed over.
     """
-    pick = F.row_number().over(Window.partitionBy("lang").orderBy("rank", "text"))
+    order = ["long", "rank", "text"]
+    share = Window.partitionBy("lang", F.pmod("rank", F.lit(32))).orderBy(*order)
+    whole = Window.partitionBy("lang").orderBy(*order)
     sample = (
         labelled.select(
             labelled[lang_col].alias("lang"),
             F.xxhash64(labelled[id_col].cast("string")).alias("rank"),
-            F.substring(labelled[text_col], 1, row_chars).alias("text"),
+            labelled[text_col].alias("text"),
+            (F.octet_length(labelled[text_col]) > budget // 16).alias("long"),
         )
         .where("lang is not null and text is not null")
-        .where(F.length("text") >= 40)
-        .withColumn("n", pick)
+        .where(F.col("text").rlike(r"\p{L}"))
+        .withColumn("n", F.row_number().over(share))
+        .where(F.col("n") <= rows)
+        .withColumn("n", F.row_number().over(whole))
         .where(F.col("n") <= rows)
+        .withColumn("bytes", F.sum(F.octet_length("text").cast("long")).over(whole) - F.octet_length("text"))
+        .where(F.col("bytes") < budget)
         .orderBy("lang", "n")
     )
     texts: dict[str, list[bytes]] = {}
@@ -117,7 +128,7 @@ def identify(
     schema = pa.schema(
         [("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()), ("accepted", pa.bool_())]
     )
-    shared = docs.sparkSession.sparkContext.broadcast(raw)  # bounded by rows * row_chars per language
+    shared = docs.sparkSession.sparkContext.broadcast(raw)  # bounded by the budget per language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(shared.value, level, block)

@@ -211,8 +211,9 @@ def dedup_lines(
     similarity: tuple[int, int] = SIMILARITY,
     id_col: str = "doc_id",
     text_col: str = "text",
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``(doc_id, text, n_lines, n_removed)``, one row per row of ``docs``.
+    """``(doc_id, text, n_lines, n_removed)``, one row per row of ``docs``, and the columns named in ``carry``.
 
     Lines are separated by line feeds; lines without a word stay and are not
     counted. A removed line goes with its line feed. Rows that share an id are
@@ -220,7 +221,7 @@ def dedup_lines(
     and do not touch other rows; a null text stays null.
     """
     num, den = similarity
-    plain = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+    plain = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"), *carry)
     known = plain.where("doc_id is not null and text is not null")
 
     # Each step is written in the shared folder and read again; the shuffles behind it are then not needed any more
@@ -257,8 +258,9 @@ def dedup_lines(
         F.array_join(left, "\n").alias("text"),
         n_lines.alias("n_lines"),
         (F.size(lines) - F.size(left)).alias("n_removed"),
+        *carry,
     )
     rest = plain.where("doc_id is null or text is null").select(
-        "doc_id", "text", n_lines.alias("n_lines"), F.lit(0).alias("n_removed")
+        "doc_id", "text", n_lines.alias("n_lines"), F.lit(0).alias("n_removed"), *carry
     )
     return done.union(rest.withColumn("n_lines", F.coalesce("n_lines", F.lit(0)).cast("int")))

@@ -50,17 +50,32 @@ def fingerprint(data: bytes, size: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(
-    docs: DataFrame, size: int = 3, seed: int = 42, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    size: int = 3,
+    seed: int = 42,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    row_key: Column | None = None,
 ) -> DataFrame:
-    """``(doc_id, fp)``, one row per row of ``docs``; ``fp`` holds the 64 bits as a signed long."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+    """``(doc_id, fp)``, one row per row of ``docs``; ``fp`` holds the 64 bits as a signed long.
+
+    With ``row_key``, a long, the rows carry it as ``key``.
+    """
+    names = ["doc_id", "fp"] if row_key is None else ["doc_id", "key", "fp"]
+    schema = pa.schema([(c, pa.int64()) for c in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
             bits = np.array([fingerprint(t, size, seed) for t in batch.column("text").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(bits.view(np.int64))], schema=schema)
+            own = [batch.column(c) for c in names[:-1]]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(bits.view(np.int64))], schema=schema)
 
-    return text_of(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
+    if row_key is None:
+        own = text_of(docs, id_col, text_col)
+    else:
+        text = F.coalesce(docs[text_col].cast("binary"), F.lit(b""))
+        own = docs.select(docs[id_col].cast("long").alias("doc_id"), row_key.alias("key"), text.alias("text"))
+    return own.mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 def byte_groups(shared: int, group: int = GROUP) -> list[tuple[int, ...]]:
@@ -161,20 +176,37 @@ def near_duplicates(
     texts have fingerprint zero and link like any other; null ids take part
     but never name a component unless nothing else is there.
     """
-    marked = fingerprints(docs, size, seed, id_col, text_col)
-    marked = checkpointed(marked)
-    firsts = marked.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    roots = components(links(firsts.select("fp"), distance, pair_list)).withColumnRenamed("node", "fp")
-    rooted = firsts.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    marked = checkpointed(fingerprints(docs, size, seed, id_col, text_col))
+    rooted = _rooted(marked, distance, pair_list)
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.join(least, "root").select("fp", "component_id")
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def _rooted(marked: DataFrame, distance: int, pair_list: int) -> DataFrame:
+    """``(fp, first, root)`` per distinct fingerprint of ``marked``: its least id and its component."""
+    firsts = marked.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    roots = components(links(firsts.select("fp"), distance, pair_list)).withColumnRenamed("node", "fp")
+    return firsts.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def keep_first(
     docs: DataFrame, size: int = 3, distance: int = 3, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` that name their component (one document of each group); null ids stay."""
-    marked = near_duplicates(docs, size, distance, 42, id_col, text_col)
-    gone = marked.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, docs[id_col].cast("long") == gone["doc_id"], "left_anti")
+    """One document of each component: rows of ``docs``, all columns unchanged.
+
+    The row of the least id stays; rows without an id come last, and rows of
+    equal id are told apart by a hash of all their columns, so every component
+    keeps one document whatever ids repeat or are null. Rows equal in every
+    column are one document and stay or go together.
+    """
+    key = F.xxhash64(*docs.columns)
+    marked = checkpointed(fingerprints(docs, size, 42, id_col, text_col, key))
+    roots = _rooted(marked, distance, PAIR_LIST).select("fp", "root")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    rows = marked.join(roots, "fp").select("root", "doc_id", "key").distinct()
+    best = rows.groupBy("root").agg(F.min(place).alias("best"))
+    gone = rows.join(best, "root").where(~place.eqNullSafe(F.col("best")))
+    gone = gone.select(F.col("doc_id").alias("i"), F.col("key").alias("k"))
+    same = docs[id_col].cast("long").eqNullSafe(F.col("i")) & (key == F.col("k"))
+    return docs.join(gone, same, "left_anti")

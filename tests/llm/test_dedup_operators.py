@@ -228,3 +228,23 @@ def test_items_longer_than_the_document(spark):
     assert all((r["start_word"], r["n_words"]) == (0, len(texts[r["doc_id"]].split())) for r in found)
     kept = {r["doc_id"] for r in decontaminate.drop_contaminated(docs, benchmark).collect()}
     assert kept == set(range(len(texts))) - {i for i, _ in want}
+
+
+def test_keep_first_with_repeated_and_null_ids(spark):
+    """Every component keeps one document, whatever ids repeat or are null; rows equal in all columns are one."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    rows = [(1, a, "s1"), (2, a, "s2"), (2, b, "s3"), (None, c, "s4"), (None, c, "s5"), (None, c, "s4"), (3, d, "s6"), (3, d, "s6")]
+    rows += [(4, b, "s7"), (None, a, "s8"), (5, None, "s9"), (6, "", "s9")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted(tuple(r) for r in simhash.keep_first(docs).select("text", "doc_id").fillna("-", "text").collect())
+    assert [g for g in got if g[0] != c] == sorted([("-", 5), (a, 1), (b, 2), (d, 3), (d, 3)])
+    assert 1 <= sum(g[0] == c for g in got) <= 2 and all(g[1] is None for g in got if g[0] == c)
+    kept = simhash.keep_first(docs)
+    assert kept.schema == docs.schema and simhash.keep_first(docs.limit(0)).count() == 0
+
+
+def test_line_dedup_carries_columns(spark):
+    rows = [(None, "x y", "en", "a"), (None, "x y", "de", "b"), (1, "p q\nr s", "fr", "c"), (1, "p q\nr s", "es", "d"), (2, None, "en", "e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    out = linededup.dedup_lines(docs, carry=("lang", "source"))
+    assert sorted(r["source"] + r["lang"] for r in out.collect()) == ["aen", "bde", "cfr", "des", "een"]

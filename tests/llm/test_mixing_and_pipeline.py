@@ -126,7 +126,7 @@ def test_stages_keep_the_columns(spark):
 def test_query_equals_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     want = con.sql(ORACLE_SQL[name])
     got = QUERIES[name](spark, SF)
@@ -137,10 +137,11 @@ def test_query_equals_sql(spark, name):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_runs(spark, name):
-    key = {"op6_chat_format": "conversations", "op8_html_extraction": "pages"}.get(name, "documents")
+    key = {"op6_chat_format": "conversations", "op8_html_extraction": "pages", "op11_vector_codes": "embeddings"}
+    key = key.get(name, "documents")
     got = QUERIES[name](spark, SF)
     n = got.count()
     if name == "op6_chat_format":
         assert n == spark.read.parquet(f"{SF}/{key}.parquet").select("conv_id").distinct().count() + 1
-    elif name != "op3_decontamination":
+    elif name not in ("op3_decontamination", "op12_hard_negatives"):
         assert n == spark.read.parquet(f"{SF}/{key}.parquet").count()

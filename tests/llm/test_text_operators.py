@@ -82,8 +82,54 @@ def test_language_awkward_rows(spark):
 
 def test_language_sample_is_bounded(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    raw = langid.dictionaries(docs, rows=10, row_chars=50)
-    assert all(len(v) <= 10 * 50 * 4 + 10 for v in raw.values())
+    texts = {r["text"].lower().encode() for r in docs.where("text is not null").collect()}
+    longest = max(len(t) for t in texts)
+    raw = langid.dictionaries(docs, rows=40, budget=5000)
+    assert all(len(v) <= 5000 + longest + 40 for v in raw.values())
+    assert all(len(v) >= 5000 for v in raw.values())
+    few = langid.dictionaries(docs.where("not contains(text, '\n')"), rows=3, budget=10**6)
+    assert all(len(v.split(b"\n")) == 3 and set(v.split(b"\n")) <= texts for v in few.values())
+
+
+def test_language_of_short_texts_is_learned(spark):
+    """A language whose labelled texts all have a few words gets a dictionary and is predicted."""
+    english = [(i, f"the house and the garden of number {i} were sold to a friend of the family", "en") for i in range(60)]
+    short = [(100 + i, t, "xx") for i, t in enumerate(["zuku balo", "balo mibi", "mibi zuku", "zuku zuku balo"])]
+    docs = spark.createDataFrame([*english, *short, (200, "1234567", "no")], "doc_id long, text string, lang string")
+    raw = langid.dictionaries(docs)
+    assert set(raw) == {"en", "xx"} and b"zuku balo" in raw["xx"]
+    test = spark.createDataFrame([(1, "balo zuku mibi balo zuku"), (2, "the garden of the family")], "doc_id long, text string")
+    assert {r[0]: r[1] for r in langid.identify(test, raw).collect()} == {1: "xx", 2: "en"}
+
+
+def test_language_numerals_are_no_letters(spark):
+    raw = {"de": b"der die und das ist nicht mit ein eine auf", "en": b"the and of that with this from are was for"}
+    docs = spark.createDataFrame([(1, "½ ² Ⅷ 12 _"), (2, "ª")], "doc_id long, text string")
+    assert {r[0]: r[1] == "und" for r in langid.identify(docs, raw).collect()} == {1: True, 2: False}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_language_verdict_equals_plain_version(spark, seed):
+    """Sizes, order, score and margin by plain calls of the compressor."""
+    import math
+
+    import zstandard
+
+    rng = random.Random(seed)
+    raw = {k: " ".join(rng.choices(v, k=80)).encode() for k, v in {"aa": ["ba", "be", "bi"], "bb": ["to", "ta", "bi"], "cc": ["ki"]}.items()}
+    texts = [" ".join(rng.choices(["ba", "be", "TO", "ta", "ki", "bi", "x1"], k=rng.randrange(1, 3000))) for _ in range(12)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in langid.identify(docs, raw, block=512).collect():
+        data = texts[r["doc_id"]].lower().encode()
+        sizes = {}
+        for lang, words in raw.items():
+            given = zstandard.ZstdCompressionDict(words, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            coder = zstandard.ZstdCompressor(6, dict_data=given, write_content_size=False, write_checksum=False, write_dict_id=False)
+            sizes[lang] = sum(len(coder.compress(data[i : i + 512])) for i in range(0, len(data), 512))
+        best, second = sorted((n, lang) for lang, n in sizes.items())[:2]
+        gap = second[0] - best[0]
+        assert r["lang_pred"] == best[1] and r["accepted"] == (gap >= 2 and gap >= 0.005 * best[0])
+        assert math.isclose(r["score"], 1 / sum(2.0 ** max(-1000, -8 * (n - best[0])) for n in sizes.values()))
 
 
 CONTROL = st.lists(st.sampled_from(["<", "|", "\\", "<|", "<\\|", "<|im_end|>", "\n", "a", "é", "<|im_start|>", "\\n"]), max_size=8)
@@ -132,12 +178,12 @@ text</b>&nbsp;here<p>Two<br>lines<script>var a="</p>";</script><div class="ad">B
 
 
 def test_html_main_text():
-    want = "Head & line\nOne bold text here\nTwo lines\nSaid by all.\na\nb\n1\n2"
+    want = "Head & line\n\nOne bold text here\n\nTwo lines\n\nSaid by all.\n\na\n\nb\n\n1\n\n2"
     assert htmltext.extract(PAGE, set()) == want
     for page in ("", "<", "<p", "</p>", "<p><p></b></i>", "<script>x", "<a href='>'>", "&amp", "<!-- x", "<article>" * 3000 + "x"):
         htmltext.extract(page, set())
         htmltext.page_subtrees(page)
-    assert htmltext.extract("a &lt; b<p>c", set()) == "a < b\nc"
+    assert htmltext.extract("a &lt; b<p>c", set()) == "a < b\n\nc"
 
 
 def test_html_templates(spark):
@@ -150,8 +196,8 @@ def test_html_templates(spark):
     rows += [(20, None, "<p>x</p>"), (21, "http://[broken", None), (22, "http://a.example/z", ""), (22, "http://a.example/z", "")]
     pages = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, text string")
     got = {r["page_id"]: r["text"] for r in htmltext.main_text(pages, min_pages=5, min_share=0.3).collect()}
-    assert got[0] == "own 0\nText 0" and got[1] == "Text 1"  # box and span recur on 8 of 9 pages of a.example
-    assert got[9] == "Host box\nText 9 few".replace(" few", "\nfew")  # on 4 pages of b.example only
+    assert got[0] == "own 0\n\nText 0" and got[1] == "Text 1"  # box and span recur on 8 of 9 pages of a.example
+    assert got[9] == "Host box\n\nText 9\n\nfew"  # on 4 pages of b.example only
     assert got[20] == "x" and got[21] == "" and got[22] == ""
     far = {r["page_id"]: r["text"] for r in htmltext.main_text(pages, min_pages=5, min_share=0.3, broadcast_rows=0).collect()}
     assert far == got
@@ -168,7 +214,7 @@ def test_html_templates_inside_articles(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     for limit in (200_000, 0):
         got = {r["page_id"]: r["text"] for r in htmltext.main_text(pages, broadcast_rows=limit).collect()}
-        assert got == {i: f"Text {i} of Acme\nsalt\n{i}" for i in range(8)} | {10 + i: "One\nTwo" for i in range(8)}
+        assert got == {i: f"Text {i} of Acme\n\nsalt\n\n{i}" for i in range(8)} | {10 + i: "One\n\nTwo" for i in range(8)}
 
 
 def test_html_class_names_and_articles():
@@ -176,12 +222,12 @@ def test_html_class_names_and_articles():
     body = "<p class='notice-period'>A</p><div class='elementor-widget-text-editor'>B</div><p id='market-share'>C</p>"
     for around in ("wrap no-sidebar", "has-sidebar", "sidebar", "widget"):
         page = f"<div class='{around}'><article><header class='header'><h1>H</h1></header>{body}</article></div><footer>F</footer>"
-        assert htmltext.extract(page, set()) == "H\nA\nB\nC"
-        assert htmltext.extract(f"<form><main>{page}</main></form>", set()) == "H\nA\nB\nC"
+        assert htmltext.extract(page, set()) == "H\n\nA\n\nB\n\nC"
+        assert htmltext.extract(f"<form><main>{page}</main></form>", set()) == "H\n\nA\n\nB\n\nC"
     assert htmltext.extract("<body><div class='wrap no-sidebar'><p>x</p></div></body>", set()) == "x"
     several = "<header>S</header><main><p>Lead</p><article>One</article><article>Two longer</article></main>"
-    assert htmltext.extract(several, set()) == "Lead\nOne\nTwo longer"
-    assert htmltext.extract("<article>One</article><p>x</p><article>Two longer</article>", set()) == "One\nTwo longer"
+    assert htmltext.extract(several, set()) == "Lead\n\nOne\n\nTwo longer"
+    assert htmltext.extract("<article>One</article><p>x</p><article>Two longer</article>", set()) == "One\n\nTwo longer"
     aside = "<main><p>The text of this page</p><div class='related'><article>Other</article></div></main>"
     assert htmltext.extract(aside, set()) == "The text of this page"
 
@@ -195,7 +241,7 @@ def test_html_real_pages_keep_whole_articles(spark):
         article = re.search(r"<article>(.*?)</article>", r["html"], re.S)
         parts = re.split(r"</?(?:p|h1)>", re.sub(r"</?b>|<br>", "", article[1]) if article else "")
         blocks = [" ".join(html.unescape(p).split()) for p in parts]
-        assert r["text"] == "\n".join(b for b in blocks if b) and r["n_chars"] == len(r["text"])
+        assert r["text"] == "\n\n".join(b for b in blocks if b) and r["n_chars"] == len(r["text"])
 
 
 @settings(max_examples=60, deadline=None)
