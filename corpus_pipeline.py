@@ -30,13 +30,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that resemble an earlier line; ``n_chars`` follows the text.
 
-    Equal ids are one document here: the other columns are those of one of its rows.
+    Every row keeps its own other columns; rows of equal id are judged as one document.
     """
-    shorter = linededup.dedup_lines(docs)
-    rest = docs.groupBy("doc_id").agg(F.min(F.struct("lang", "source")).alias("rest"))
-    joined = shorter.join(rest, shorter["doc_id"].eqNullSafe(rest["doc_id"])).select(shorter["*"], rest["rest"])
-    return joined.select(
-        "doc_id", "text", "rest.lang", "rest.source", F.length("text").cast("long").alias("n_chars")
+    shorter = linededup.dedup_lines(docs, carry=("lang", "source"))
+    return shorter.select(
+        "doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars")
     )
 
 
