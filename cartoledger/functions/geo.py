@@ -163,7 +163,7 @@ def segments_cross(a: Column, b: Column) -> Column:
     return (o1 * o2 < F.lit(0.0)) & (o3 * o4 < F.lit(0.0))
 
 
-def _on_segment(e: Column, px: Column, py: Column) -> Column:
+def on_segment(e: Column, px: Column, py: Column) -> Column:
     """The point lies on the closed segment."""
     return (
         (_orient(e.x1, e.y1, e.x2, e.y2, px, py) == F.lit(0.0))
@@ -175,7 +175,7 @@ def _on_segment(e: Column, px: Column, py: Column) -> Column:
 def segments_touch(a: Column, b: Column) -> Column:
     """An end of one segment lies on the other."""
     return (
-        _on_segment(a, b.x1, b.y1) | _on_segment(a, b.x2, b.y2) | _on_segment(b, a.x1, a.y1) | _on_segment(b, a.x2, a.y2)
+        on_segment(a, b.x1, b.y1) | on_segment(a, b.x2, b.y2) | on_segment(b, a.x1, a.y1) | on_segment(b, a.x2, a.y2)
     )
 
 

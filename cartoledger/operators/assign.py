@@ -5,32 +5,41 @@ it overlaps the project's activity period, the project is visible, its box has
 coordinates and is at most 100 km2, and the box meets the project region.
 
 Plan: the project level (activity x visible description x valid region within
-the world) is built once per run by ``project_areas``, one row per project.
-Joined to the contributors it gives the project side, keyed by uid and small;
-it is broadcast behind a measured bound, so the large changeset table streams
-through a hash join without being shuffled. The time test and a cheap
-region-extent test ride on that join as a residual; the exact edge test runs
-afterwards against the region edges, again broadcast behind a bound. Beyond
-either bound the join shuffles on its key and AQE splits hot users or projects.
+the world) is built once per run by ``project_areas``, one row per project, and
+its regions are indexed by cell (``regioncells``). Joined to the contributors
+the project level gives the project side, keyed by uid and small; it is
+broadcast behind a measured bound, so the large changeset table streams through
+a hash join without being shuffled. The time test and a cheap region-extent
+test ride on that join as a residual. What is left meets the index by an
+equi-join on (project, level, cell), and only the edges of that block are
+tested. Beyond the bounds both joins shuffle: on uid with the rows of heavy
+users dealt to several tasks, and on the cell, which spreads a large project.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from .joins import bounded_broadcast, bounded_broadcast_by
+from ..session import stage
+from . import regioncells
+from .joins import bounded_broadcast, bounded_broadcast_by, fits_broadcast, spread
+
+# Edges of a cell that are compared with each other at once; a cell with more is split, down to MAX_SPLIT halvings.
+CELL_EDGES = 64
+SPLIT = 3
+MAX_SPLIT = 18
 
 
 def region_edges(region: DataFrame) -> DataFrame:
-    """Regions with their edge list and extent: hot_project, edges, rx0, ry0, rx1, ry1."""
+    """Regions with their edge list, extent and index depth: hot_project, edges, rx0, ry0, rx1, ry1, depth."""
     x0, y0, x1, y1 = geo.region_extent("geom")
     return region.select(
         "hot_project",
         geo.region_edges("geom").alias("edges"),
         x0.alias("rx0"), y0.alias("ry0"), x1.alias("rx1"), y1.alias("ry1"),
-    )
+    ).select("*", regioncells.depth(F.col("edges")).alias("depth"))
 
 
 def _features(region: DataFrame) -> DataFrame:
@@ -38,42 +47,103 @@ def _features(region: DataFrame) -> DataFrame:
     return region.select("hot_project", "geom", F.xxhash64(F.to_json("geom")).alias("_f"))
 
 
-def _conflicting(features: DataFrame) -> DataFrame:
-    """``_f`` of the features with two edges that no valid region has (see ``geo.edges_conflict``).
+def _leaf_cells(features: DataFrame) -> DataFrame:
+    """Edges ``(_f, level, cx, cy, eid, e)`` by cells: any two edges that meet share one.
 
-    Edges are bucketed on a grid sized per feature (about sqrt(E) cells a side)
-    and only edges sharing a cell are compared: an equi-join on
-    (feature, cell), not a comparison of every pair in a region.
+    A feature of few edges is one cell. Larger ones are split into cells along
+    the lines of their edges, and cells that still hold many edges are split
+    again, so cells follow the density of the edges and a long edge is written
+    out only where others crowd round it.
     """
     x0, y0, x1, y1 = geo.region_extent("geom")
-    r = features.select(
+    edges = features.select(
         "_f", geo.region_edges("geom").alias("edges"),
         x0.alias("rx0"), y0.alias("ry0"), x1.alias("rx1"), y1.alias("ry1"),
-    ).withColumn("_n", F.size("edges"))
-    side = F.greatest(F.col("rx1") - F.col("rx0"), F.col("ry1") - F.col("ry0"))
-    cells_a_side = F.greatest(F.ceil(F.sqrt(F.col("_n").cast("double"))), F.lit(1))
-    r = r.withColumn("_cell", F.when(side > F.lit(0.0), side / cells_a_side).otherwise(F.lit(1.0)))
-    e = r.select("_f", "rx0", "ry0", "_cell", F.posexplode("edges").alias("eid", "e"))
-
-    def cell(v, origin):
-        return F.floor((v - F.col(origin)) / F.col("_cell"))
-
-    e = e.select(
-        "_f", "eid", "e",
-        F.explode(F.sequence(cell(F.least("e.x1", "e.x2"), "rx0"), cell(F.greatest("e.x1", "e.x2"), "rx0"))).alias("cx"),
-        cell(F.least("e.y1", "e.y2"), "ry0").alias("_cy0"),
-        cell(F.greatest("e.y1", "e.y2"), "ry0").alias("_cy1"),
-    ).select("_f", "eid", "e", "cx", F.explode(F.sequence("_cy0", "_cy1")).alias("cy"))
-    a, b = e.alias("a"), e.alias("b")
-    pairs = a.join(
-        b,
-        (F.col("a._f") == F.col("b._f"))
-        & (F.col("a.cx") == F.col("b.cx"))
-        & (F.col("a.cy") == F.col("b.cy"))
-        & (F.col("a.eid") < F.col("b.eid"))
-        & geo.edges_conflict(F.col("a.e"), F.col("b.e")),
+    ).select(
+        "_f", "rx0", "ry0", "rx1", "ry1", F.size("edges").alias("_n"), F.lit(0).alias("level"),
+        F.lit(0).alias("cx"), F.lit(0).alias("cy"), F.posexplode("edges").alias("eid", "e"),
+    )
+    columns = ["_f", "level", "cx", "cy", "eid", "e"]
+    leaves = edges.where(F.col("_n") <= CELL_EDGES).select(columns)
+    crowded = edges.where(F.col("_n") > CELL_EDGES).drop("_n")
+    if not crowded.head(1):
+        return leaves
+    level = 0
+    while True:
+        level += SPLIT
+        own = crowded.withColumnsRenamed({"cx": "_px", "cy": "_py"}).withColumn("level", F.lit(level))
+        first = [F.shiftleft(c, SPLIT) for c in ("_px", "_py")]
+        within = [first[0], first[0] + (1 << SPLIT) - 1, first[1], first[1] + (1 << SPLIT) - 1]
+        cells = stage(regioncells.cross_cells(own, 1, within).drop("_px", "_py"), f"edge_cells_{level}")
+        full = cells.groupBy("_f", "cx", "cy").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CELL_EDGES)
+        if level >= MAX_SPLIT or not full.head(1):
+            return leaves.unionByName(cells.select(columns))
+        leaves = leaves.unionByName(cells.join(full, ["_f", "cx", "cy"], "left_anti").select(columns))
+        crowded = cells.join(full, ["_f", "cx", "cy"], "left_semi").select(cells.columns)
+
+
+def _meeting_points(a: Column, b: Column) -> Column:
+    """Where two rings of one polygon touch, from an edge of each: ``array<struct<part,ring,x,y>>``, a row per ring and point."""
+
+    def at(e: Column, x: Column, y: Column) -> Column:
+        return F.when(geo.on_segment(e, x, y), F.struct(x.alias("x"), y.alias("y")))
+
+    points = F.array(at(b, a.x1, a.y1), at(b, a.x2, a.y2), at(a, b.x1, b.y1), at(a, b.x2, b.y2))
+    points = F.array_distinct(F.filter(points, lambda p: p.isNotNull()))
+    return F.flatten(
+        F.transform(
+            points,
+            lambda p: F.array(
+                *[F.struct(e.part.alias("part"), e.ring.alias("ring"), p.x.alias("x"), p.y.alias("y")) for e in (a, b)]
+            ),
+        )
     )
-    return pairs.select(F.col("a._f").alias("_f")).distinct()
+
+
+def _cut_apart(touches: DataFrame) -> DataFrame:
+    """``_f`` of the features with a polygon whose rings cut its interior in pieces.
+
+    Rings and the points where they touch make a graph (``touches``: a row per
+    ring and point). The interior is in one piece exactly if the graph has no
+    cycle: ends are taken off until none is left, and what stays is on a cycle
+    or between two.
+    """
+    polygon, ring, point = ["_f", "part"], ["_f", "part", "ring"], ["_f", "part", "x", "y"]
+    left = stage(touches.distinct(), "ring_touches")
+    n = left.count()
+    while n:
+        for node in (ring, point):
+            inner = left.groupBy(*node).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).drop("n")
+            left = left.join(inner, node, "left_semi")
+        left = stage(left.select(*polygon, "ring", "x", "y"), "ring_touches")
+        before, n = n, left.count()
+        if n == before:
+            break
+    return left.select("_f").distinct()
+
+
+def _conflicting(features: DataFrame) -> DataFrame:
+    """``_f`` of the features with two edges that no valid region has, or with an interior in pieces.
+
+    Only edges that share a cell are compared (``geo.edges_conflict``): an
+    equi-join on (feature, cell), not a comparison of every pair in a region.
+    """
+    cells = _leaf_cells(features)
+    a, b = cells.alias("a"), cells.alias("b")
+    x, y = F.col("a.e"), F.col("b.e")
+    conflict = geo.edges_conflict(x, y)
+    touch = (x.part == y.part) & (x.ring != y.ring) & geo.segments_touch(x, y)
+    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("_f", "level", "cx", "cy")]
+    pairs = a.join(b, same[0] & same[1] & same[2] & same[3] & (F.col("a.eid") < F.col("b.eid")) & (conflict | touch))
+    points = F.when(~conflict, _meeting_points(x, y))
+    found = pairs.select(F.col("a._f").alias("_f"), conflict.alias("bad"), points.alias("points"))
+    found = stage(
+        found.groupBy("_f").agg(F.max("bad").alias("bad"), F.array_distinct(F.flatten(F.collect_list("points"))).alias("points")),
+        "edge_conflicts",
+    )
+    bad = found.where("bad").select("_f")
+    touches = found.where("not bad").select("_f", F.explode("points").alias("p")).select("_f", "p.*")
+    return bad.union(_cut_apart(touches)) if touches.head(1) else bad
 
 
 def _shape_ok():
@@ -83,7 +153,7 @@ def _shape_ok():
 
 def region_valid(region: DataFrame) -> DataFrame:
     """``ST_IsValid`` per feature: closed rings of 4+ points that neither cross, overlap nor touch
-    themselves, holes inside their shell, polygons outside each other."""
+    themselves, holes inside their shell, polygons outside each other, interiors in one piece."""
     features = _features(region)
     bad = _conflicting(features).withColumn("_bad", F.lit(True))
     return features.join(bad, "_f", "left").select(
@@ -126,22 +196,25 @@ def _box_meets_extent():
     )
 
 
-def _meets_region():
-    return geo.region_meets_box("edges", "min_lon", "min_lat", "max_lon", "max_lat")
+def _by_cells(cand: DataFrame, cells: DataFrame, cells_total: int | None = None) -> DataFrame:
+    """Rows of ``cand`` (boxes with their region's extent and depth) that meet the region, by the cell index."""
+    index = bounded_broadcast_by(cells, F.size("edges") + 1, known_total=cells_total)
+    return regioncells.clipped(cand).join(index, regioncells.KEY).where(regioncells.block_meets_box())
+
+
+EXTENT = ["rx0", "ry0", "rx1", "ry1", "depth"]
 
 
 def meets_box(region: DataFrame, changeset: DataFrame, contributor: DataFrame) -> DataFrame:
     """G6 on candidate pairs: (changeset, hot_project) where the author contributes and the box meets the region.
 
     Candidates come from the equi-join on uid; no period, area or validity test.
+    Features of one project make up its region.
     """
-    regions = region_edges(region)
-    proj = contributor.select("uid", "hot_project").join(
-        regions.select("hot_project", "rx0", "ry0", "rx1", "ry1"), "hot_project"
-    )
+    regions = region_edges(region.groupBy("hot_project").agg(F.flatten(F.collect_list("geom")).alias("geom")))
+    proj = contributor.select("uid", "hot_project").join(regions.select("hot_project", *EXTENT), "hot_project")
     cand = _boxes(changeset).join(bounded_broadcast(proj), "uid").where(_box_meets_extent())
-    edges = bounded_broadcast_by(regions.select("hot_project", "edges"), F.size("edges"))
-    return cand.join(edges, "hot_project").where(_meets_region()).select("changeset", "hot_project")
+    return _by_cells(cand, regioncells.region_cells(regions)).select("changeset", "hot_project")
 
 
 def in_period(changeset: DataFrame, contributor: DataFrame, activity: DataFrame) -> DataFrame:
@@ -164,7 +237,7 @@ def in_period(changeset: DataFrame, contributor: DataFrame, activity: DataFrame)
 def project_areas(region: DataFrame, activity: DataFrame, description: DataFrame) -> DataFrame:
     """J4-J6 + P5 + G4 + G5 at project level: visible projects with a usable region.
 
-    One row per project: hot_project, a_first, a_last, edges, rx0, ry0, rx1, ry1.
+    One row per project: hot_project, a_first, a_last, edges, rx0, ry0, rx1, ry1, depth.
     Small (one row per project) and worth storing once per run.
     """
     visible = description.where(~F.col("is_private") & ~F.col("is_draft")).select("hot_project")
@@ -175,7 +248,7 @@ def project_areas(region: DataFrame, activity: DataFrame, description: DataFrame
 def project_side(areas: DataFrame, contributor: DataFrame) -> DataFrame:
     """One row per (uid, project) a contributor may be assigned to, with period and region extent."""
     return contributor.select("uid", "hot_project").join(
-        areas.select("hot_project", "a_first", "a_last", "rx0", "ry0", "rx1", "ry1"), "hot_project"
+        areas.select("hot_project", "a_first", "a_last", *EXTENT), "hot_project"
     )
 
 
@@ -196,25 +269,33 @@ def assign_to_areas(
     areas: DataFrame,
     contributor: DataFrame,
     max_m2: float = geo.MAX_BOX_AREA_M2,
-    edges_total: int | None = None,
+    cells: DataFrame | None = None,
+    cells_total: int | None = None,
 ) -> DataFrame:
     """``assign_rows`` with the project level already built by ``project_areas``.
 
     The changeset rows stream through two broadcast joins (each behind a
     measured bound) and keep their columns, so consumers need no join back to
-    ``changeset``. ``edges_total`` is the measured number of region edges in
-    ``areas``, if known.
+    ``changeset``. ``cells`` is the cell index of the regions and
+    ``cells_total`` its measured size (edges and rows), where they are stored.
     """
     proj = project_side(areas, contributor)
     boxes = changeset.where(geo.box_is_small("min_lat", "max_lat", "min_lon", "max_lon", max_m2))
+    on = F.lit(True)
+    if fits_broadcast(proj):
+        proj = F.broadcast(proj)
+    else:
+        boxes, proj = spread(boxes, proj, "uid")
+        on = boxes["_salt"] == proj["_salt"]
     cand = boxes.join(
-        bounded_broadcast(proj),
+        proj,
         (boxes["uid"] == proj["uid"])
+        & on
         & _overlaps_period(boxes["first_date"], boxes["last_date"], proj["a_first"], proj["a_last"])
         & _box_meets_extent(),
-    ).select(*[boxes[c] for c in changeset.columns], proj["hot_project"])
-    edges = bounded_broadcast_by(areas.select("hot_project", "edges"), F.size("edges"), known_total=edges_total)
-    return cand.join(edges, "hot_project").where(_meets_region()).select(*changeset.columns, "hot_project")
+    ).select(*[boxes[c] for c in changeset.columns], *[proj[c] for c in ("hot_project", *EXTENT)])
+    cells = regioncells.region_cells(areas) if cells is None else cells
+    return _by_cells(cand, cells, cells_total).select(*changeset.columns, "hot_project")
 
 
 def assign(

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..operators import assign, changesets, checks, contributions, contributors, history, sessions, stats
+from ..operators import assign, changesets, checks, contributions, contributors, history, regioncells, sessions, stats
 from ..session import stage, stage_with_metrics
 from ..sources import adapter, files
 
@@ -151,26 +151,32 @@ class Pipeline:
 
     @cached_property
     def areas(self) -> DataFrame:
-        """Visible projects with a valid region within the world: period, edges, extent.
+        """Visible projects with a valid region within the world: period, edges, extent."""
+        return self._stage(assign.project_areas(self.i.region, self.i.activity, self.i.description), "project_areas")
 
-        When stored, the write also measures the total number of edges, the
-        bound the assignment needs before broadcasting them.
+    @cached_property
+    def cells(self) -> DataFrame:
+        """Cell index of the regions of ``areas``.
+
+        When stored, the write also measures its edges and rows, the bound the
+        assignment needs before broadcasting it.
         """
-        df = assign.project_areas(self.i.region, self.i.activity, self.i.description)
+        df = regioncells.region_cells(self.areas)
         if not self.staged:
             return df
-        stored, m = stage_with_metrics(
-            df, "project_areas", [F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("edges")], self.run_id
-        )
-        self.area_edges = int(m["edges"])
+        size = F.coalesce(F.sum(F.size("edges") + 1), F.lit(0)).alias("n")
+        stored, m = stage_with_metrics(df, "region_cells", [size], self.run_id)
+        self.cells_total = int(m["n"])
         return stored
 
     @cached_property
     def assigned(self) -> DataFrame:
         """Changeset rows with hot_project (J8 + J10 in one pass)."""
+        cells = self.cells
         return self._stage(
             assign.assign_to_areas(
-                self.changeset, self.areas, self.contributor, edges_total=getattr(self, "area_edges", None)
+                self.changeset, self.areas, self.contributor, cells=cells,
+                cells_total=getattr(self, "cells_total", None),
             ),
             "assigned",
         )
@@ -349,6 +355,7 @@ def run(inputs: Inputs, out_dir: str, check: bool = True) -> dict[str, str]:
     if check:
         require("changeset_not_null", checks.null_violations_of(p.changeset, "changeset"))
     p.areas = put("project_areas", p.areas, ["hot_project"])
+    p.cells = put("project_region_cells", p.cells, regioncells.KEY)
     p.assigned = put("changeset_assigned", p.assigned)
     put("changeset_hot_project", p.changeset_project)
     paths["way_id_list"] = f"{out}/way_id_list"

@@ -20,7 +20,7 @@ def test_run_writes_all_tables(spark, tmp_path):
         "changeset_assigned", "changeset_hot_project", "changeset_editor", "changeset_comment", "user_hmp_session_rows",
         "user_hmp_session_changeset", "user_hmp_session", "user_first_hot_contribution", "user_prior_experience",
         "user_hot_contributions", "changeset_meta", "changeset_meta_tags", "uid_list", "way_ids", "way_id_list",
-        "way_deletions", "project_areas", "user_hmp_session_size",
+        "way_deletions", "project_areas", "project_region_cells", "user_hmp_session_size",
         *(f"{k}_edit_history" for k in ("node", "way", "rel")), *(f"{k}_tag_edit_history" for k in ("node", "way", "rel")),
     }
     assert set(paths) == expected
