@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 
+from numpy.polynomial.legendre import leggauss
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,6 +31,12 @@ MAX_BOX_AREA_M2 = 100.0 * 1000.0 * 1000.0
 # ---------------------------------------------------------------------------
 
 _E = math.sqrt(WGS84_E2)
+# Degrees of longitude up to which the closed form of a geodesic side is used, and from which sides follow the parallels.
+NARROW_LON = 2.0
+WIDEST_LON = 179.0
+# Gauss nodes over half a side, and steps of the fixed point.
+_NODES = 24
+CIRCLE_STEPS = 6
 
 
 def _c(x) -> Column:
@@ -54,33 +61,108 @@ def bbox_wkt(min_lat, max_lat, min_lon, max_lon, decimals: int = 7) -> Column:
 
 # --------------------------------------------------------------------------- G2, G8
 
-def _authalic_q(lat: Column) -> Column:
-    s = F.sin(F.radians(lat))
+def _q_of_sine(s: Column) -> Column:
     return s / (F.lit(1.0) - F.lit(WGS84_E2) * s * s) + F.log((F.lit(1.0) + F.lit(_E) * s) / (F.lit(1.0) - F.lit(_E) * s)) / F.lit(2.0 * _E)
 
 
+def _authalic_q(lat: Column) -> Column:
+    return _q_of_sine(F.sin(F.radians(lat)))
+
+
 def _band_area(lat1: Column, lat2: Column, lon1: Column, lon2: Column) -> Column:
-    """Area of the lat/lon rectangle on the ellipsoid, 0 for empty or inverted boxes."""
+    """Area between two parallels and two meridians on the ellipsoid, 0 for empty or inverted boxes."""
     area = F.lit(WGS84_B * WGS84_B) * F.radians(lon2 - lon1) / F.lit(2.0) * (_authalic_q(lat2) - _authalic_q(lat1))
     return F.when(lat1 >= lat2, F.lit(0.0)).when(lon1 >= lon2, F.lit(0.0)).otherwise(area)
 
 
+def _bulge(lat: Column, width: Column) -> Column:
+    """Area between the geodesic that joins two points of a parallel, ``width`` radians apart, and the parallel.
+
+    That of a sphere with the ellipsoid's radius across the meridian there: exact
+    in the leading term, and short by the order of e^2 width^2 of itself.
+    """
+    s = F.sin(F.radians(lat))
+    across = F.lit(WGS84_B**2 / (1.0 - WGS84_E2)) / (F.lit(1.0) - F.lit(WGS84_E2) * s * s)
+    return across * (F.lit(2.0) * F.atan(s * F.tan(width / F.lit(2.0))) - width * s)
+
+
+def _narrow_area(lat1: Column, lat2: Column, lon1: Column, lon2: Column) -> Column:
+    """Area of a box with geodesic sides up to ``NARROW_LON`` wide, 0 for empty or inverted boxes."""
+    width = F.radians(lon2 - lon1)
+    area = _band_area(lat1, lat2, lon1, lon2) + _bulge(lat2, width) - _bulge(lat1, width)
+    return F.when((lat1 >= lat2) | (lon1 >= lon2), F.lit(0.0)).otherwise(area)
+
+
+def half_side_nodes() -> list[tuple[float, float]]:
+    """Gauss nodes and weights on the unit interval."""
+    return [((1 + float(x)) / 2, float(w) / 2) for x, w in zip(*leggauss(_NODES))]
+
+
+def _under_geodesic(lat: Column, width: Column) -> Column:
+    """Area between the equator and the geodesic that joins two points of a parallel, ``width`` radians apart.
+
+    On the sphere of reduced latitudes the geodesic is a great circle with its
+    top in the middle, and longitude grows by sqrt(1 - e^2 cos^2) of the circle's
+    own. The circle's half width comes from a fixed point (each step gains two
+    to three digits), the area from one more sum over the same Gauss nodes.
+    """
+    one, half = F.lit(1.0), width / F.lit(2.0)
+    flat = F.lit(math.sqrt(1.0 - WGS84_E2))
+    nodes = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(w).alias("w")) for x, w in half_side_nodes()])
+    tan_low = flat * F.tan(F.radians(lat))
+
+    def rate(tan_reduced: Column) -> Column:
+        return F.sqrt(one - F.lit(WGS84_E2) / (one + tan_reduced * tan_reduced))
+
+    def over_nodes(circle: Column, value) -> Column:
+        return F.aggregate(
+            nodes, F.lit(0.0), lambda total, n: total + n.w * value(tan_low / F.cos(circle) * F.cos(circle * n.x))
+        )
+
+    circle = F.aggregate(F.array(*[F.lit(0)] * CIRCLE_STEPS), half, lambda c, _: half / over_nodes(c, rate))
+
+    def below(tan_reduced: Column) -> Column:
+        t = tan_reduced / flat
+        return _q_of_sine(t / F.sqrt(one + t * t)) * rate(tan_reduced)
+
+    area = F.transform(F.array(circle), lambda c: F.lit(WGS84_B**2) * c * over_nodes(c, below))[0]
+    along = F.lit(WGS84_B**2) * half * _authalic_q(lat)
+    return F.when((width >= F.lit(math.radians(WIDEST_LON))) | (F.abs(lat) >= F.lit(89.999999)), along).otherwise(area)
+
+
+def _wide_area(lat1: Column, lat2: Column, width: Column) -> Column:
+    """Area of a box of any width with geodesic sides, without the strip at the equator where the box meets it."""
+    gap = F.lit(EQUATOR_GAP_LAT)
+    under = F.transform(F.array(lat1, lat2, gap), lambda lat: _under_geodesic(lat, width))
+
+    def parts(u: Column) -> Column:
+        south = F.when(lat1 < -gap, -u[2] - u[0]).otherwise(F.lit(0.0))
+        north = F.when(lat2 > gap, u[1] - u[2]).otherwise(F.lit(0.0))
+        return F.when((lat1 <= F.lit(0.0)) & (lat2 >= F.lit(0.0)), south + north).otherwise(u[1] - u[0])
+
+    return F.transform(F.array(under), parts)[0]
+
+
 def bbox_area_m2(min_lat, max_lat, min_lon, max_lon) -> Column:
-    """Area in m2 of a lat/lon box on the WGS84 ellipsoid.
+    """Area in m2 of a lat/lon box on the WGS84 ellipsoid, with geodesic sides.
 
     Rules, in order: inverted or flat latitude -> 0; inverted or flat longitude -> 0;
     a box that meets the equator is measured as its parts south of -0.0001 and
-    north of +0.0001 (each 0 if empty); else the whole box. Edges run along
-    parallels (closed form), where PostGIS would use geodesics: see README.
+    north of +0.0001 (each 0 if empty); else the whole box. The sides along
+    meridians are geodesics themselves; the other two join the corners by the
+    shortest way: a closed form up to ``NARROW_LON`` degrees, beyond that a sum over
+    Gauss nodes. From ``WIDEST_LON`` degrees on, where the shortest way may pass a
+    pole or go round the other side, sides run along the parallels.
     """
     a, b, c, d = _c(min_lat), _c(max_lat), _c(min_lon), _c(max_lon)
     gap = F.lit(EQUATOR_GAP_LAT)
-    split = _band_area(a, -gap, c, d) + _band_area(gap, b, c, d)
+    split = _narrow_area(a, -gap, c, d) + _narrow_area(gap, b, c, d)
     return (
         F.when(a >= b, F.lit(0.0))
         .when(c >= d, F.lit(0.0))
+        .when(d - c > F.lit(NARROW_LON), _wide_area(a, b, F.radians(d - c)))
         .when((a <= F.lit(0.0)) & (b >= F.lit(0.0)), split)
-        .otherwise(_band_area(a, b, c, d))
+        .otherwise(_narrow_area(a, b, c, d))
     )
 
 

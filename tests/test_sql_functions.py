@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from cartoledger.functions import geo
 from cartoledger.functions import sql as sqlfn
 
@@ -14,6 +16,9 @@ def test_sql_functions_equal_column_helpers(spark):
         a, b = sorted(rnd.uniform(-80, 80) for _ in range(2))
         c, d = sorted(rnd.uniform(-170, 170) for _ in range(2))
         data.append((a, b, c, d))
+    for _ in range(50):
+        a, c = rnd.uniform(-80, 80), rnd.uniform(-170, 170)
+        data.append((a, a + rnd.random(), c, c + rnd.random()))
     df = spark.createDataFrame(data, "min_lat double, max_lat double, min_lon double, max_lon double")
     df.createOrReplaceTempView("boxes")
     via_sql = spark.sql(
@@ -23,6 +28,7 @@ def test_sql_functions_equal_column_helpers(spark):
         geo.bbox_area_m2("min_lat", "max_lat", "min_lon", "max_lon").alias("a"),
         geo.bbox_wkt("min_lat", "max_lat", "min_lon", "max_lon").alias("w"),
     ).collect()
-    assert [tuple(r) for r in via_sql] == [tuple(r) for r in via_col]
+    assert [r.w for r in via_sql] == [r.w for r in via_col]
+    assert [r.a for r in via_sql] == [r.a if r.a is None else pytest.approx(r.a, rel=1e-12) for r in via_col]
     world = spark.sql("SELECT get_world_bbox() AS w").first().w
     assert world == "POLYGON((-180.0000000 -90.0000000,180.0000000 -90.0000000,180.0000000 90.0000000,-180.0000000 90.0000000,-180.0000000 -90.0000000))"
