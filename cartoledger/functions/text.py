@@ -51,17 +51,38 @@ def editor_label(value, editors=DEFAULT_EDITORS) -> Column:
     return F.coalesce(hit, F.lit(OTHER_EDITOR))
 
 
-_SENTINEL = "\u0000"
+# Letters after a backslash in COPY text and the bytes they stand for.
+COPY_ESCAPES = {"b": 0x08, "f": 0x0C, "n": 0x0A, "r": 0x0D, "t": 0x09, "v": 0x0B}
 
 
 def unescape_copy_text(col) -> Column:
-    """Undo PostgreSQL COPY text escaping with native string functions.
+    """Undo PostgreSQL COPY text escaping, in one pass over the text.
 
-    ``\\\\`` is swapped for a sentinel first so that ``\\\\n`` stays a backslash
-    followed by ``n``; then the named escapes; then backslash + other char is that char.
+    The text is cut into plain runs and escapes: ``\\x`` with one or two hex
+    digits and a backslash with one to three octal digits are bytes (of UTF-8,
+    so several of them may make up a character), a backslash with one of
+    ``b f n r t v`` is that control character, and with any other character,
+    a line feed or a tab included, the character itself.
     """
-    c = F.replace(_c(col), F.lit("\\\\"), F.lit(_SENTINEL))
-    for esc, ch in (("\\t", "\t"), ("\\n", "\n"), ("\\r", "\r"), ("\\b", "\b"), ("\\f", "\f"), ("\\v", "\v")):
-        c = F.replace(c, F.lit(esc), F.lit(ch))
-    c = F.regexp_replace(c, r"\\(.)", "$1")
-    return F.replace(c, F.lit(_SENTINEL), F.lit("\\"))
+    c = _c(col)
+    tokens = F.regexp_extract_all(c, F.lit(r"(?s)[^\\]+|\\x[0-9A-Fa-f]{1,2}|\\[0-7]{1,3}|\\.|\\$"), 0)
+
+    def hex_of(t: Column) -> Column:
+        rest = F.substring(t, 2, 1_000_000_000)
+        number = F.when(rest.rlike("^x[0-9A-Fa-f]"), F.upper(F.substring(t, 3, 2))).when(
+            rest.rlike("^[0-7]"), F.conv(rest, 8, 16)
+        )
+        out = F.when(~t.startswith("\\"), F.hex(t)).when(number.isNotNull(), F.right(F.concat(F.lit("0"), number), F.lit(2)))
+        for letter, byte in COPY_ESCAPES.items():
+            out = out.when(rest == letter, F.lit(f"{byte:02X}"))
+        return out.otherwise(F.hex(rest))
+
+    decoded = F.unhex(F.array_join(F.transform(tokens, hex_of), "")).cast("string")
+    return F.when(F.instr(c, "\\") > 0, decoded).otherwise(c)
+
+
+def copy_fields(line) -> Column:
+    """The fields of a COPY text row, still escaped: cut at tabs that no backslash precedes."""
+    return F.regexp_extract_all(
+        F.concat(_c(line), F.lit("\t")), F.lit(r"(?s)([^\t\\]*+(?:\\.[^\t\\]*+)*+)\t"), 1
+    )

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import geo
 from ..operators import assign, changesets, checks, contributions, contributors, history, regioncells, sessions, stats
 from ..session import stage, stage_with_metrics
-from ..sources import adapter, files
+from ..sources import adapter, files, tables
 
 
 class Inputs:
@@ -246,6 +246,14 @@ class Pipeline:
     def inventory(self) -> DataFrame:
         return stats.inventory(self.derived_tables())
 
+    def sizes(self) -> DataFrame:
+        """Bytes on disk and rows of every derived table, stored for it where it is not yet."""
+        folders = {}
+        for name, df in self.derived_tables().items():
+            files_ = stage(df, f"sized_{name}", self.run_id).inputFiles()
+            folders[name] = files_[0].rsplit("/", 1)[0] if files_ else None
+        return tables.sizes(self.i.spark, {k: v for k, v in folders.items() if v})
+
     # history filters (stages 6 and 9)
     def user_edits(self, kind: str) -> DataFrame:
         return history.user_edits(self.i.history, self.uid_list, kind)
@@ -291,10 +299,9 @@ class Pipeline:
         return out
 
 
-def save(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
-    """Materialise a derived table as Parquet and return the stored table."""
-    df.write.mode(mode).parquet(path)
-    return df.sparkSession.read.parquet(path)
+def save(df: DataFrame, path: str) -> DataFrame:
+    """Store a derived table in place of an older one, as a whole, and return the stored table."""
+    return tables.replace_table(df, path)
 
 
 class ConstraintError(RuntimeError):
@@ -315,15 +322,16 @@ def run(inputs: Inputs, out_dir: str, check: bool = True) -> dict[str, str]:
     stored tables (R2). Input constraints are checked first and keys of derived
     tables as they are written (``check=False`` leaves that out). Tables that
     need the edit histories are written where those are given. What the
-    sessionizer keeps aside is removed at the end. Returns table name -> path.
+    sessionizer keeps aside is removed at the end. Returns table name -> folder of
+    its Parquet files; ``tables.read_table`` finds the current ones of ``out_dir/name``.
     """
     out = out_dir.rstrip("/")
     paths: dict[str, str] = {}
     p = Pipeline(inputs, staged=False)
 
     def put(name: str, df: DataFrame, unique: list[str] | None = None) -> DataFrame:
-        paths[name] = f"{out}/{name}"
-        stored = save(df, paths[name])
+        stored = save(df, f"{out}/{name}")
+        paths[name] = tables.table_folder(inputs.spark, f"{out}/{name}")
         if check and unique:
             require(name, checks.duplicates(stored, unique))
         return stored

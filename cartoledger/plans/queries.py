@@ -216,6 +216,10 @@ def table_inventory(spark, sf_dir):
     return _p(spark, sf_dir).inventory()
 
 
+def table_sizes(spark, sf_dir):
+    return _p(spark, sf_dir).sizes()
+
+
 def check_unique_username(spark, sf_dir):
     return checks.duplicates(adapter.uid_username(spark, sf_dir), ["username"])
 
@@ -298,6 +302,7 @@ QUERIES: dict[str, Query] = {
         ("stats_monthly", stats_monthly),
         ("stats_top_projects", stats_top_projects),
         ("table_inventory", table_inventory),
+        ("table_sizes", table_sizes),
         ("check_unique_username", check_unique_username),
         ("check_unique_contributor", check_unique_contributor),
         ("check_unique_session", check_unique_session),

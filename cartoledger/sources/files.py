@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import unescape_copy_text
+from ..functions.text import copy_fields, unescape_copy_text
 from ..schemas import SCHEMAS
+from .records import escaped_records, quoted_records
 
 # A value no real field holds; marks a quoted empty string while reading CSV.
 _EMPTY = "\u0001EMPTY\u0001"
@@ -47,35 +48,52 @@ def _schema(schema_or_table) -> T.StructType:
     return SCHEMAS[schema_or_table] if isinstance(schema_or_table, str) else schema_or_table
 
 
+def _csv_options(**more) -> dict:
+    return {"sep": "\t", "quote": '"', "escape": '"', "nullValue": "", "emptyValue": _EMPTY, "mode": "FAILFAST", **more}
+
+
 def read_tsv(spark: SparkSession, path: str, schema, multiline: bool = False) -> DataFrame:
-    """S1. ``multiline`` is needed only when quoted values hold newlines; it makes files unsplittable."""
+    """S1. With ``multiline``, quoted values may hold line feeds.
+
+    Files are split either way: then lines are first put together to records
+    (``records.quoted_records``), each of which is parsed on its own.
+    """
     schema = _schema(schema)
-    raw = spark.read.csv(
-        path,
-        schema=_all_strings(schema),
-        sep="\t",
-        header=True,
-        quote='"',
-        escape='"',
-        nullValue="",
-        emptyValue=_EMPTY,
-        multiLine=multiline,
-        mode="FAILFAST",
-    )
+    strings = _all_strings(schema)
+    if multiline:
+        records = quoted_records(spark, path).where((F.col("record") > 1) & (F.col("text") != ""))
+        parsed = F.from_csv("text", strings.simpleString()[len("struct<") : -1].replace(":", " "), _csv_options())
+        raw = records.select(parsed.alias("r")).select("r.*")
+    else:
+        raw = spark.read.csv(path, schema=strings, header=True, **_csv_options())
     restored = raw.select(
         *[F.when(F.col(f.name) == F.lit(_EMPTY), F.lit("")).otherwise(F.col(f.name)).alias(f.name) for f in schema.fields]
     )
     return _cast_to(restored, schema)
 
 
-def read_copy_text(spark: SparkSession, path: str, schema) -> DataFrame:
-    """S2. Text columns are unescaped with native string functions (no UDF)."""
+def read_copy_text(spark: SparkSession, path: str, schema, escaped_newlines: bool = False) -> DataFrame:
+    """COPY text rows. All escapes are undone with native functions; an empty field is NULL.
+
+    With ``escaped_newlines``, a backslash before a line feed makes it part of
+    the value (``records.escaped_records``). A row with more or fewer fields than
+    the schema is an error. What follows an end marker (backslash and full stop
+    alone on a line) is ignored with ``escaped_newlines``; otherwise only the marker itself.
+    """
     schema = _schema(schema)
-    raw = spark.read.csv(
-        path, schema=_all_strings(schema), sep="\t", header=False, quote="", escape="", nullValue="", mode="FAILFAST"
-    )
-    unescaped = raw.select(*[unescape_copy_text(f.name).alias(f.name) for f in schema.fields])
-    return _cast_to(unescaped, schema)
+    if escaped_newlines:
+        records = escaped_records(spark, path)
+        end = records.where(F.col("text") == "\\.").groupBy("file").agg(F.min("record").alias("end"))
+        own = records.join(end, "file", "left").where(F.col("end").isNull() | (F.col("record") < F.col("end")))
+    else:
+        own = spark.read.option("lineSep", "\n").text(path).select(F.col("value").alias("text"))
+    n = len(schema.fields)
+    own = own.where((F.col("text") != "") & (F.col("text") != "\\.")).select(copy_fields("text").alias("fields"))
+    wrong = F.raise_error(F.concat(F.lit(f"a row has not {n} fields but "), F.size("fields")))
+    fields = F.when(F.size("fields") == n, F.col("fields")).otherwise(wrong)
+    own = own.select(fields.alias("fields"))
+    text = [F.nullif(F.col("fields")[i], F.lit("")) for i in range(n)]
+    return _cast_to(own.select(*[unescape_copy_text(c).alias(f.name) for c, f in zip(text, schema.fields)]), schema)
 
 
 _XML_SCHEMA = T.StructType(
@@ -184,5 +202,5 @@ def read_input(spark: SparkSession, name: str, path: str, multiline: bool = Fals
     if fmt == "tsv":
         return read_tsv(spark, path, table, multiline=multiline)
     if fmt == "copy":
-        return read_copy_text(spark, path, table)
+        return read_copy_text(spark, path, table, escaped_newlines=multiline)
     return read_region_features(spark, path)
