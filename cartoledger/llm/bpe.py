@@ -2,7 +2,7 @@
 
 A text is cut by the pre-token pattern; inside a pre-token, adjacent tokens
 merge in the order of the rank of their joined bytes, leftmost first. The
-pairs wait in a queue of one bucket per rank: a hierarchy of bitmaps names the
+pairs wait in a queue of one bucket per rank: a two-level hierarchy of bitmaps names the
 least rank in use by find-first-set, its bucket gives the leftmost position in
 the linked list of tokens, and entries whose pair has changed since are
 skipped. A pre-token of n bytes costs O(n log n) however long it is.
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import os
+import struct
 from collections.abc import Iterator
 from heapq import heappop, heappush
 
@@ -24,12 +25,16 @@ from pyspark.sql import types as T
 
 from cartoledger.llm.common import pieces
 
-WORD = 64
+# Ranks to a bitmap: 2 ** WORD_BITS.
+WORD_BITS = 8
+WORD_MASK = (1 << WORD_BITS) - 1
 # A vocabulary travels to every worker, so its file is bounded.
 MAX_FILE_BYTES = 64_000_000
 # Pre-tokens remembered per task: at most so many, none longer than so many characters.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 REMEMBERED_CHARS = 64
+# Bytes of a pre-token whose positions fit a bitmap.
+SHORT = 256
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -48,13 +53,16 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class RankQueue:
-    """Positions by rank; ``pop`` gives the leftmost position of the least rank."""
+    """Positions by rank; ``pop`` gives the leftmost position of the least rank.
 
-    def __init__(self, size: int):
-        self.levels: list[list[int]] = []
-        while not self.levels or size > 1:
-            size = -(-size // WORD)
-            self.levels.append([0] * size)
+    ``words`` marks the ranks in use, 256 to a bitmap, and ``top`` the bitmaps in use.
+    """
+
+    __slots__ = ("top", "words", "buckets")
+
+    def __init__(self) -> None:
+        self.top = 0
+        self.words: dict[int, int] = {}
         self.buckets: dict[int, list[int]] = {}
 
     def push(self, rank: int, at: int) -> None:
@@ -63,31 +71,27 @@ class RankQueue:
             heappush(bucket, at)
             return
         self.buckets[rank] = [at]
-        for level in self.levels:
-            rank, bit = divmod(rank, WORD)
-            known = level[rank]
-            level[rank] = known | 1 << bit
-            if known:
-                break
+        word = rank >> WORD_BITS
+        known = self.words.get(word, 0)
+        if not known:
+            self.top |= 1 << word
+        self.words[word] = known | 1 << (rank & WORD_MASK)
 
     def pop(self) -> tuple[int, int] | None:
-        rank = 0
-        for level in reversed(self.levels):
-            bits = level[rank]
-            if not bits:
-                return None
-            rank = rank * WORD + (bits & -bits).bit_length() - 1
+        if not self.top:
+            return None
+        word = (self.top & -self.top).bit_length() - 1
+        bits = self.words[word]
+        least = bits & -bits
+        rank = word << WORD_BITS | least.bit_length() - 1
         bucket = self.buckets[rank]
-        at = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            word = rank
-            for level in self.levels:
-                word, bit = divmod(word, WORD)
-                level[word] ^= 1 << bit
-                if level[word]:
-                    break
-        return rank, at
+        if len(bucket) > 1:
+            return rank, heappop(bucket)
+        del self.buckets[rank]
+        self.words[word] = bits ^ least
+        if bits == least:
+            self.top &= self.top - 1
+        return rank, bucket[0]
 
 
 class Encoder:
@@ -96,8 +100,13 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.split = regex.compile(pattern).findall
-        self.queue = RankQueue(max(ranks.values()) + 1)
         self.singles = [ranks[bytes([b])] for b in range(256)]
+        self.doubles = [[ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)]
+        # The queue of short pre-tokens, empty between them: bitmaps of ranks, and of positions per rank.
+        size = max(ranks.values()) + 1
+        self.words = [0] * ((size >> WORD_BITS) + 1)
+        self.places = [0] * size
+        self.bit = [1 << i for i in range(max(WORD_MASK + 1, SHORT, len(self.words)))]
         self.known: dict[str, bytes] = {}
 
     def merge(self, piece: bytes) -> list[int]:
@@ -105,32 +114,110 @@ class Encoder:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        rank_of, queue, n = self.ranks.get, self.queue, len(piece)
-        ids = [self.singles[b] for b in piece]
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        # Rank of the pair that starts at a position now; an entry of the queue that says another rank is stale.
-        pair = [-1] * n
+        return self._merge_short(piece) if len(piece) <= SHORT else self._merge_long(piece)
 
-        def watch(at: int, end: int) -> None:
-            rank = rank_of(piece[at:end], -1)
-            pair[at] = rank
+    def _merge_short(self, piece: bytes) -> list[int]:
+        """The queue with positions in bitmaps too, written out where it is used: most pre-tokens are short."""
+        rank_of, n = self.ranks.get, len(piece)
+        words, places, bit, singles, doubles = self.words, self.places, self.bit, self.singles, self.doubles
+        ids = [singles[b] for b in piece]
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        pair = [doubles[a][b] for a, b in zip(piece, piece[1:])]
+        pair.append(-1)
+        top = 0
+        for at, rank in enumerate(pair):
             if rank >= 0:
-                queue.push(rank, at)
+                held = places[rank]
+                places[rank] = held | bit[at]
+                if not held:
+                    word = rank >> WORD_BITS
+                    words[word] |= bit[rank & WORD_MASK]
+                    top |= bit[word]
+        while top:
+            word = (top & -top).bit_length() - 1
+            bits = words[word]
+            least = bits & -bits
+            rank = (word << WORD_BITS) + least.bit_length() - 1
+            held = places[rank]
+            first = held & -held
+            places[rank] = held ^ first
+            if held == first:
+                words[word] = bits ^ least
+                if bits == least:
+                    top ^= bit[word]
+            at = first.bit_length() - 1
+            if pair[at] != rank:
+                continue
+            gone = after[at]
+            end = after[gone]
+            ids[at] = rank
+            after[at] = end
+            pair[gone] = pair[at] = -1
+            if end < n:
+                before[end] = at
+                rank = rank_of(piece[at : after[end]])
+                if rank is not None:
+                    pair[at] = rank
+                    held = places[rank]
+                    places[rank] = held | bit[at]
+                    if not held:
+                        word = rank >> WORD_BITS
+                        words[word] |= bit[rank & WORD_MASK]
+                        top |= bit[word]
+            if at:
+                at = before[at]
+                rank = rank_of(piece[at:end])
+                if rank is None:
+                    pair[at] = -1
+                else:
+                    pair[at] = rank
+                    held = places[rank]
+                    places[rank] = held | bit[at]
+                    if not held:
+                        word = rank >> WORD_BITS
+                        words[word] |= bit[rank & WORD_MASK]
+                        top |= bit[word]
+        out, at = [], 0
+        while at < n:
+            out.append(ids[at])
+            at = after[at]
+        return out
 
+    def _merge_long(self, piece: bytes) -> list[int]:
+        """The queue with positions in a heap per rank."""
+        rank_of, n = self.ranks.get, len(piece)
+        queue = RankQueue()
+        push, pop = queue.push, queue.pop
+        ids = [self.singles[b] for b in piece]
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        # Rank of the pair that starts at a position now; an entry of the queue that says another rank is stale.
+        pair: list[int | None] = [None] * n
         for at in range(n - 1):
-            watch(at, at + 2)
-        while (least := queue.pop()) is not None:
+            rank = rank_of(piece[at : at + 2])
+            if rank is not None:
+                pair[at] = rank
+                push(rank, at)
+        while (least := pop()) is not None:
             rank, at = least
             if pair[at] != rank:
                 continue
             gone = after[at]
             end = after[gone]
-            ids[at], after[at], pair[gone], pair[at] = rank, end, -1, -1
+            ids[at] = rank
+            after[at] = end
+            pair[gone] = None
             if end < n:
                 before[end] = at
-                watch(at, after[end])
+                pair[at] = rank = rank_of(piece[at : after[end]])
+                if rank is not None:
+                    push(rank, at)
+            else:
+                pair[at] = None
             if at:
-                watch(before[at], end)
+                left = before[at]
+                pair[left] = rank = rank_of(piece[left:end])
+                if rank is not None:
+                    push(rank, left)
         out, at = [], 0
         while at < n:
             out.append(ids[at])
@@ -138,7 +225,8 @@ class Encoder:
         return out
 
     def _packed(self, piece: str) -> bytes:
-        found = np.array(self.merge(piece.encode()), "<u4").tobytes()
+        ids = self.merge(piece.encode())
+        found = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= REMEMBERED_CHARS:
             if len(self.known) >= REMEMBERED:
                 self.known.clear()
