@@ -40,22 +40,10 @@ def _words(text: Column) -> Column:
     return F.split(F.translate(F.coalesce(text, F.lit("")), blanks, " " * len(blanks)), " ")
 
 
-def _with_features(
-    docs: DataFrame, text_col: str = "text", words: str = "words", features: str = "features"
-) -> DataFrame:
-    """Adds the words, and the hash buckets of the words, of their heads, and of the share of distinct words in tenths.
-
-    Words are hashed first, so that repeats are dropped among integers. A
-    bucket may occur twice in ``features`` (a short word is its own head).
-    """
-    taken = {"h": free_name(docs, "hashed_words"), "d": free_name(docs, "distinct_words")}
+def _with_words(docs: DataFrame, text_col: str, words: str, distinct: str) -> DataFrame:
+    """Adds the words and the distinct words of a text."""
     own = docs.withColumn(words, F.array_remove(_words(docs[text_col]), ""))
-    own = own.withColumn(taken["h"], F.transform(words, _feature))
-    own = own.withColumn(taken["d"], F.array_distinct(taken["h"]))
-    ratio = F.floor(F.size(taken["d"]) * 10 / F.greatest(F.size(words), F.lit(1)))
-    style = _feature(F.concat(F.lit("\x01"), ratio.cast("string")))  # no word starts with that character
-    heads = F.array_distinct(F.transform(words, lambda w: _feature(F.substring(w, 1, PREFIX))))
-    return own.withColumn(features, F.concat(taken["d"], heads, F.array(style))).drop(*taken.values())
+    return own.withColumn(distinct, F.array_distinct(words))
 
 
 def _feature(word: Column) -> Column:
@@ -63,6 +51,22 @@ def _feature(word: Column) -> Column:
     return F.xxhash64(word).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
 
 
+def _head(word: Column) -> Column:
+    return F.substring(word, 1, PREFIX)
+
+
+def _style(words: str, distinct: str) -> Column:
+    """Bucket of the share of distinct words in tenths; no word starts with its first character."""
+    ratio = F.floor(F.size(distinct) * 10 / F.greatest(F.size(words), F.lit(1)))
+    return _feature(F.concat(F.lit("\x01"), ratio.cast("string")))
+
+
+def _features(words: str, distinct: str) -> Column:
+    """Distinct buckets of the words, of their heads, and of the style."""
+    heads = F.transform(distinct, lambda w: _feature(_head(w)))
+    return F.array_distinct(F.concat(F.transform(distinct, _feature), heads, F.array(_style(words, distinct))))
+
+
 @dataclass(frozen=True)
 class Model:
     """Bernoulli naive Bayes over the presence of features: at most ``BUCKETS`` features."""
@@ -103,8 +107,8 @@ def train(
         .limit(sample_rows)
     )
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
-    present = _with_features(texts.join(F.broadcast(own), "doc_id")).select(
-        "rank", F.explode(F.array_append(F.array_distinct("features"), F.lit(-1))).alias("bucket")
+    present = _with_words(texts.join(F.broadcast(own), "doc_id"), "text", "words", "distinct").select(
+        "rank", F.explode(F.array_append(_features("words", "distinct"), F.lit(-1))).alias("bucket")
     )
     # Per feature and domain the number of documents that have it; bucket -1 counts the documents.
     counted = present.groupBy("bucket").agg(
@@ -153,25 +157,34 @@ def with_posteriors(docs: DataFrame, model: Model, text_col: str = "text") -> Da
     A null or empty text has no token; what its posteriors are follows from
     the absence of all features.
     """
-    names = {k: free_name(docs, k) for k in ("words", "features", *(f"s_{d}" for d in DOMAINS))}
-    found = _with_features(docs, text_col, names["words"], names["features"])
-    marks = [0] * BUCKETS
-    for bucket in model.buckets:
-        marks[bucket] = 1
-    marked = _constant(marks, "tinyint")
-    present = F.array_distinct(F.filter(names["features"], lambda b: F.get(marked, b) == 1))
-    found = found.withColumn(names["features"], present)
-    # Of a document's features only the few marked ones are left; their weights are found by place.
-    buckets = _constant(model.buckets or [-1], "int")
+    names = {k: free_name(docs, k) for k in ("words", "distinct", "present", *(f"s_{d}" for d in DOMAINS))}
+    found = _with_words(docs, text_col, names["words"], names["distinct"])
+    # Place of a bucket's weights, from 1; 0 for a bucket that marks no domain.
+    places = [0] * BUCKETS
+    for place, bucket in enumerate(model.buckets, 1):
+        places[bucket] = place
+    place_of = _constant(places, "int")
+
+    def own(word: Column) -> Column:
+        return F.get(place_of, _feature(word))
+
+    def head(word: Column) -> Column:
+        return F.get(place_of, _feature(_head(word)))
+
+    # Few of a text's words are marked: one pass finds them, and only they are looked up.
+    marked = F.filter(names["distinct"], lambda w: (own(w) > 0) | (head(w) > 0))
+    found = found.withColumn(names["present"], marked)
+    present = F.concat(
+        F.transform(names["present"], own),
+        F.transform(names["present"], head),
+        F.array(F.get(place_of, _style(names["words"], names["distinct"]))),
+    )
+    found = found.withColumn(names["present"], F.array_distinct(F.filter(present, lambda p: p > 0)))
     for d in DOMAINS:
-        weights = _constant(model.weights[d] or [0.0], "double")
+        weights = _constant([0.0, *model.weights[d]], "double")
         found = found.withColumn(
             names[f"s_{d}"],
-            F.aggregate(
-                names["features"],
-                F.lit(model.offsets[d]),
-                lambda s, b: s + F.get(weights, F.array_position(buckets, b).cast("int") - 1),
-            ),
+            F.aggregate(names["present"], F.lit(model.offsets[d]), lambda s, p: s + F.get(weights, p)),
         )
     logs = {d: F.col(names[f"s_{d}"]) for d in DOMAINS}
     most = F.greatest(*logs.values())
