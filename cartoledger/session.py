@@ -35,28 +35,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a fallback is set only when it is unset."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder named by ``spark.checkpoint.dir``, else that of the context; a fallback is set only without either."""
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         return current
     if fallback is None:
         raise RuntimeError("spark.checkpoint.dir is unset; pass a shared folder as fallback")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    try:
-        spark.sparkContext.setCheckpointDir(fallback)
-    except Exception:  # noqa: BLE001 - sessions without a SparkContext (Spark Connect) keep the conf only
-        pass
-    return fallback
+    spark.sparkContext.setCheckpointDir(fallback)  # the setting itself cannot be changed in a running session
+    return spark.sparkContext.getCheckpointDir()
 
 
 def _stage_root(spark: SparkSession) -> str:
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        return current.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local["):
-        # Only a session of a single process may fall back to a folder of its own.
-        return checkpoint_dir(spark, "/tmp/cartoledger-checkpoints")
-    raise RuntimeError("spark.checkpoint.dir is unset: name a shared folder for intermediate tables")
+    # Only a session of a single process may fall back to a folder of its own.
+    alone = spark.conf.get("spark.master", "").startswith("local[")
+    return checkpoint_dir(spark, "/tmp/cartoledger-checkpoints" if alone else None).rstrip("/")
 
 
 def stage_with_metrics(df, name: str, metrics: list, run_id: str | None = None):
