@@ -37,14 +37,13 @@ def dictionaries(
     ``budget`` bytes are full (the last one is taken whole) or ``rows`` are
     taken; those longer than a sixteenth of the budget come after all others,
     so that a few long texts do not make up a dictionary. The sample is the same
-    however the table is partitioned, and only the sampled rows leave their
-    tasks: the least hashes of 32 shares of a language first, then those of the
-    language. Rows without a language or a letter are passed over.
+    however the table is partitioned. A count per language comes first, and only
+    texts whose hash is low enough for about twice ``rows`` of them leave their
+    tasks, so no task gets more however large a language is. Rows without a
+    language or a letter are passed over.
     """
-    order = ["long", "rank", "text"]
-    share = Window.partitionBy("lang", F.pmod("rank", F.lit(32))).orderBy(*order)
-    whole = Window.partitionBy("lang").orderBy(*order)
-    sample = (
+    whole = Window.partitionBy("lang").orderBy("long", "rank", "text")
+    own = (
         labelled.select(
             labelled[lang_col].alias("lang"),
             F.xxhash64(labelled[id_col].cast("string")).alias("rank"),
@@ -53,12 +52,18 @@ def dictionaries(
         )
         .where("lang is not null and text is not null")
         .where(F.col("text").rlike(r"\p{L}"))
-        .withColumn("n", F.row_number().over(share))
-        .where(F.col("n") <= rows)
+    )
+    # A row per language, as many as there are dictionaries.
+    counts = [(r["lang"], min(1.0, (2 * rows + 64) / r["n"])) for r in own.groupBy("lang").agg(F.count("*").alias("n")).collect()]
+    if not counts:
+        return {}
+    shares = F.broadcast(labelled.sparkSession.createDataFrame(counts, "lang string, share double"))
+    sample = (
+        own.join(shares, "lang")
+        .where(F.col("rank") / F.lit(2.0**64) + F.lit(0.5) <= F.col("share"))
         .withColumn("n", F.row_number().over(whole))
-        .where(F.col("n") <= rows)
         .withColumn("bytes", F.sum(F.octet_length("text").cast("long")).over(whole) - F.octet_length("text"))
-        .where(F.col("bytes") < budget)
+        .where((F.col("n") <= rows) & (F.col("bytes") < budget))
         .orderBy("lang", "n")
     )
     texts: dict[str, list[bytes]] = {}
