@@ -1,10 +1,12 @@
 """Line deduplication by an exact set-similarity join; DataFrame functions only.
 
-A line is the set of its words. Words are ordered by rarity (frequency class,
-then hash); two sets of similarity ``t`` or more share a word among the first
-``n - ceil(t * n) + 1`` of each (prefix filter), and sizes and positions of the
-shared word bound the overlap still possible (length and positional filters),
-and parity bits the difference. Candidates are verified on the words themselves. A line goes if an earlier
+A line is the set of its words, each named by 64 bits of its hash. Words are
+ordered by rarity (frequency class, then hash); two sets of similarity ``t`` or
+more share a word among the first ``n - ceil(t * n) + 1`` of each (prefix
+filter), and sizes and positions of the shared word bound the overlap still
+possible (length and positional filters), and parity bits the difference. All
+of them are part of the condition of the posting join, so only pairs that pass
+leave it. These are verified on their whole sets. A line goes if an earlier
 line (smaller doc_id, then line number) has at least the similarity: one such
 line is enough, so lines settled by the earliest line like them need no other
 partner, and a large family of similar lines is not spread out into its pairs.
@@ -18,50 +20,43 @@ from pyspark.sql import functions as F
 from cartoledger.llm.common import release
 from cartoledger.session import stage
 
-# Frequency classes belong to hash buckets of words: a table of fixed size. Words
-# are counted in finer buckets; a class is that of its most frequent fine bucket.
-BUCKETS = 1 << 16
-FINE_BUCKETS = 1 << 19
+# Frequency classes belong to hash buckets of words: a table of fixed size.
+BUCKETS = 1 << 17
 # Keys per line set by which it meets the earliest set like it.
 LEADER_KEYS = 4
 # Similarity threshold as a fraction.
 SIMILARITY = (4, 5)
+_BLANKS = "\t\x0b\x0c\r"
+_PLACE = ("doc_id", "line_no")
 
 
-def _words(line: Column) -> Column:
-    """Distinct words of a line."""
-    blanks = "\t\x0b\x0c\r"
-    return F.array_distinct(F.array_remove(F.split(F.translate(line, blanks, " " * len(blanks)), " "), ""))
+def _spaced(text: Column) -> Column:
+    """The text with every blank but the line feed as a space; texts without one are not rewritten."""
+    return F.when(text.rlike(f"[{_BLANKS}]"), F.translate(text, _BLANKS, " " * len(_BLANKS))).otherwise(text)
 
 
-def _bucket(hashed: Column, buckets: int = BUCKETS) -> Column:
-    return hashed.bitwiseAND(F.lit(buckets - 1)).cast("int")
+def _hashes(line: Column) -> Column:
+    """Hashes of the distinct words of a spaced line, ascending."""
+    hashed = F.transform(F.split(line, " "), lambda w: F.xxhash64(w))
+    return F.sort_array(F.array_distinct(F.array_remove(hashed, F.xxhash64(F.lit("")))))
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+def _bucket(hashed: Column) -> Column:
+    return hashed.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
 
 
 def frequency_classes(docs: DataFrame) -> Column:
-    """Frequency class (bit length of the count) of each word bucket, as a constant array.
+    """Frequency class (four to a doubling) of each word bucket, as a constant array.
 
     Counts all words of all documents; partial sums leave each task, and the
     table has ``BUCKETS`` entries at any scale.
     """
-    blanks = "\t\n\x0b\x0c\r"
-    words = F.split(F.translate("text", blanks, " " * len(blanks)), " ")
-    counted = (
-        docs.select(F.explode(words).alias("word"))
-        .select(_bucket(F.xxhash64("word"), FINE_BUCKETS).alias("fine"))
-        .groupBy("fine")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy(F.col("fine").bitwiseAND(F.lit(BUCKETS - 1)).alias("bucket"))
-        .agg(F.max("n").alias("n"))
-        .collect()
-    )
+    words = F.explode(F.split(F.replace(_spaced(F.col("text")), F.lit("\n"), F.lit(" ")), " "))
+    counted = docs.select(words.alias("word")).select(_bucket(F.xxhash64("word")).alias("bucket"))
+    counted = counted.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     classes = [0] * BUCKETS
-    for row in counted:
-        classes[row["bucket"]] = int(row["n"]).bit_length()
+    for row in counted.select("bucket", F.round(4 * F.log2("n")).cast("int").alias("level")).collect():
+        classes[row["bucket"]] = row["level"]
     return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<tinyint>")
 
 
@@ -73,37 +68,34 @@ def _sets(docs: DataFrame, classes: Column, num: int, den: int) -> DataFrame:
     Equal sets (all copies of a line, however many) meet here as partial
     aggregates, so no later step sees a group of copies.
     """
-    hashed = F.transform(F.col("words"), lambda w: F.xxhash64(w))
+    sets = (
+        docs.select("doc_id", F.posexplode(F.split(_spaced(F.col("text")), "\n")).alias("line_no", "line"))
+        .where(F.trim("line") != "")
+        .select("doc_id", "line_no", _hashes(F.col("line")).alias("words"))
+    )
+    n = F.size("words")
+    # A set can only resemble another one if a set one larger may: t * (n + 1) <= n.
+    alone = num * (n + 1) > den * n
     ranked = F.transform(
-        hashed,
+        "words",
         lambda h: F.shiftleft(F.coalesce(F.get(classes, _bucket(h)), F.lit(0)).cast("long"), 56).bitwiseOR(
             F.shiftrightunsigned(h, 8)
         ),
     )
-    sets = (
-        _lines(docs)
-        .select("doc_id", "line_no", _words(F.col("line")).alias("words"))
-        .where(F.size("words") > 0)
-        .select("doc_id", "line_no", F.sort_array(ranked).alias("ranks"))
-    )
-    n = F.size("ranks")
-    # A set can only resemble another one if a set one larger may: t * (n + 1) <= n.
-    alone = num * (n + 1) > den * n
-    prefix = F.slice("ranks", 1, F.when(alone, 0).otherwise(n - F.ceil(n * num / den).cast("int") + 1))
+    prefix = F.slice(F.sort_array(ranked), 1, F.when(alone, 0).otherwise(n - F.ceil(n * num / den).cast("int") + 1))
     # Postings carry 32 bits of a word's hash: two words that share them add candidates, none is lost.
     short = F.transform(prefix, lambda r: (r.bitwiseAND(F.lit(0xFFFFFFFF)) - F.lit(1 << 31)).cast("int"))
     # The least hashes of the whole set, common words or rare: similar sets mostly share some of them.
-    plain = F.transform("ranks", lambda r: r.bitwiseAND(F.lit((1 << 56) - 1)))
-    leaders = F.slice(F.sort_array(plain), 1, LEADER_KEYS)
+    leaders = F.slice("words", 1, F.when(alone, 0).otherwise(LEADER_KEYS))
     return (
         sets.select(
-            F.xxhash64("ranks").alias("s1"),
-            F.xxhash64(F.lit(1), "ranks").alias("s2"),
-            F.struct("doc_id", "line_no").alias("place"),
+            F.xxhash64("words").alias("s1"),
+            F.xxhash64(F.lit(1), "words").alias("s2"),
+            F.struct(*_PLACE).alias("place"),
             n.cast("int").alias("n"),
-            F.expr("aggregate(ranks, 0L, (s, r) -> s ^ shiftleft(1L, cast(r & 63 as int)))").alias("parity"),
+            F.expr("aggregate(words, 0L, (s, h) -> s ^ shiftleft(1L, cast(h & 63 as int)))").alias("parity"),
             short.alias("prefix"),
-            F.when(alone, F.array().cast("array<bigint>")).otherwise(leaders).alias("leaders"),
+            leaders.alias("leaders"),
         )
         .groupBy("s1", "s2")
         .agg(F.min("place").alias("place"), *[F.first(c).alias(c) for c in ("n", "parity", "prefix", "leaders")])
@@ -111,97 +103,70 @@ def _sets(docs: DataFrame, classes: Column, num: int, den: int) -> DataFrame:
     )
 
 
-def _leader_pairs(sets: DataFrame) -> DataFrame:
-    """Each set with the earliest set that shares one of its least hashes.
+def _possible(a: str, b: str, num: int, den: int) -> Column:
+    """Whether sizes and parity bits allow the similarity: similar sets differ in few words, so in few bits (exact bounds)."""
+    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
+    apart = F.bit_count(F.col(f"{a}.parity").bitwiseXOR(F.col(f"{b}.parity")))
+    return (na * den >= nb * num) & (nb * den >= na * num) & (apart * (den + num) <= (na + nb) * (den - num))
+
+
+def _pair(a: str, b: str) -> list[Column]:
+    return [F.col(f"{s}.{c}").alias(f"{t}_{c}") for s, t in ((a, "a"), (b, "b")) for c in _PLACE]
+
+
+def _leader_pairs(sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Each set with the earliest set that shares one of its least hashes, where the pair is possible.
 
     These are few pairs, and they settle most members of a large family of
     similar lines. The earliest is a plain aggregate joined back, so a hot key
     is split like any skewed join.
     """
-    keyed = sets.select("doc_id", "line_no", F.explode("leaders").alias("key"))
-    place = F.struct("doc_id", "line_no")
-    heads = keyed.groupBy("key").agg(F.min(place).alias("head"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    return (
-        keyed.join(heads.drop("m"), "key")
-        .where(F.col("head") < place)
-        .select(
-            F.col("head.doc_id").alias("a_doc"),
-            F.col("head.line_no").alias("a_line"),
-            F.col("doc_id").alias("b_doc"),
-            F.col("line_no").alias("b_line"),
-        )
-        .distinct()
-    )
+    own = F.struct(*_PLACE, "n", "parity").alias("own")
+    keyed = sets.select(F.explode("leaders").alias("key"), own)
+    heads = keyed.groupBy("key").agg(F.min("own").alias("head"), F.count(F.lit(1)).alias("m")).where("m > 1")
+    pairs = keyed.join(heads.drop("m"), "key").where(F.col("head") < F.col("own"))
+    return pairs.where(_possible("head", "own", num, den)).select(*_pair("head", "own")).distinct()
 
 
 def _candidates(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of sets, ``b`` later and not yet ``done``, that pass the prefix, length and positional filters."""
+    """Pairs of sets, ``b`` later and not yet ``done``, that pass the prefix, length, positional and parity filters."""
     post = sets.where(F.size("prefix") > 0).select(
-        "doc_id", "line_no", "n", "done", F.posexplode("prefix").alias("p", "token")
+        *_PLACE, "n", "parity", "done", F.posexplode("prefix").alias("p", "token")
     )
     a, b = post.alias("a"), post.alias("b")
     na, nb = F.col("a.n"), F.col("b.n")
-    later = (F.col("a.doc_id") < F.col("b.doc_id")) | (
-        (F.col("a.doc_id") == F.col("b.doc_id")) & (F.col("a.line_no") < F.col("b.line_no"))
-    )
-    length = (na * den >= nb * num) & (nb * den >= na * num)
+    later = F.struct(*[F.col(f"a.{c}") for c in _PLACE]) < F.struct(*[F.col(f"b.{c}") for c in _PLACE])
     reach = F.least(na - F.col("a.p"), nb - F.col("b.p"))
     positional = reach * (num + den) >= (na + nb) * num
     # Both sides name the condition, so that one shuffle of the postings serves both.
     open_ = ~F.col("b.done") | (na < 0)
-    return (
-        a.join(b, (F.col("a.token") == F.col("b.token")) & open_ & later & length & positional)
-        .select(
-            F.col("a.doc_id").alias("a_doc"),
-            F.col("a.line_no").alias("a_line"),
-            F.col("b.doc_id").alias("b_doc"),
-            F.col("b.line_no").alias("b_line"),
-        )
-        .distinct()
-    )
-
-
-def _plausible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs whose parity bits allow the similarity: similar sets differ in few words, so in few bits (exact bound).
-
-    It spares most pairs the look at their texts.
-    """
-    for side in ("a", "b"):
-        own = sets.select(
-            F.col("doc_id").alias(f"{side}_doc"),
-            F.col("line_no").alias(f"{side}_line"),
-            F.col("n").alias(f"{side}_n"),
-            F.col("parity").alias(f"{side}_parity"),
-        )
-        pairs = pairs.join(own, [f"{side}_doc", f"{side}_line"])
-    apart = F.bit_count(F.col("a_parity").bitwiseXOR(F.col("b_parity")))
-    return pairs.where(apart * (den + num) <= (F.col("a_n") + F.col("b_n")) * (den - num)).select(
-        "a_doc", "a_line", "b_doc", "b_line"
-    )
+    meet = (F.col("a.token") == F.col("b.token")) & open_ & _possible("a", "b", num, den) & positional & later
+    return a.join(b, meet).select(*_pair("a", "b")).distinct()
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, num: int, den: int) -> DataFrame:
-    """``(doc_id, line_no)`` of the later lines whose words reach the similarity with an earlier one."""
+    """``(doc_id, line_no)`` of the later lines whose word sets reach the similarity with an earlier one."""
     wanted = (
-        pairs.select(F.col("a_doc").alias("doc_id"), F.col("a_line").alias("line_no"))
-        .union(pairs.select("b_doc", "b_line"))
+        pairs.select(F.col("a_doc_id").alias("doc_id"), F.col("a_line_no").alias("line_no"))
+        .union(pairs.select("b_doc_id", "b_line_no"))
         .groupBy("doc_id")
         .agg(F.collect_set("line_no").alias("wanted"))
     )
-    texts = (
-        docs.join(wanted, "doc_id")
-        .select("doc_id", F.split("text", "\n").alias("lines"), F.explode("wanted").alias("line_no"))
-        .select("doc_id", "line_no", _words(F.get("lines", F.col("line_no"))).alias("words"))
+    sets = (
+        docs.select("doc_id", "text")
+        .join(wanted, "doc_id")
+        .select("doc_id", F.split(_spaced(F.col("text")), "\n").alias("lines"), F.explode("wanted").alias("line_no"))
+        .where(F.col("line_no") < F.size("lines"))  # rows of one id are of different lengths
+        .select(*_PLACE, _hashes(F.get("lines", F.col("line_no"))).alias("words"))
     )
-    a = texts.select(F.col("doc_id").alias("a_doc"), F.col("line_no").alias("a_line"), F.col("words").alias("a_words"))
-    b = texts.select(F.col("doc_id").alias("b_doc"), F.col("line_no").alias("b_line"), F.col("words").alias("b_words"))
+    a, b = (sets.select(*[F.col(c).alias(f"{s}_{c}") for c in (*_PLACE, "words")]) for s in "ab")
     common = F.size(F.array_intersect("a_words", "b_words"))
     whole = F.size("a_words") + F.size("b_words") - common
     return (
-        pairs.join(a, ["a_doc", "a_line"])
-        .join(b, ["b_doc", "b_line"])
+        pairs.join(a, ["a_doc_id", "a_line_no"])
+        .join(b, ["b_doc_id", "b_line_no"])
         .where(common * den >= whole * num)
-        .select(F.col("b_doc").alias("doc_id"), F.col("b_line").alias("line_no"))
+        .select(F.col("b_doc_id").alias("doc_id"), F.col("b_line_no").alias("line_no"))
         .distinct()
     )
 
@@ -230,13 +195,13 @@ def dedup_lines(
     sets = stage(_sets(known, frequency_classes(known), num, den), "line_sets")
     release(spark)
     # First the likeliest partner of each set; what that leaves open meets all others.
-    leaders = stage(_plausible(_leader_pairs(sets), sets, num, den), "line_leaders")
+    leaders = stage(_leader_pairs(sets, num, den), "line_leaders")
     release(spark)
     early = stage(_verified(leaders, known, num, den), "lines_early")
     release(spark)
     marked = sets.join(early.withColumn("hit", F.lit(True)), ["doc_id", "line_no"], "left")
     marked = marked.withColumn("done", F.coalesce("hit", F.lit(False))).drop("hit")
-    pairs = stage(_plausible(_candidates(marked, num, den), sets, num, den), "line_pairs")
+    pairs = stage(_candidates(marked, num, den), "line_pairs")
     release(spark)
     late = stage(_verified(pairs, known, num, den), "lines_late")
     release(spark)
@@ -247,11 +212,10 @@ def dedup_lines(
         .agg(F.collect_set("line_no").alias("kept"))
     )
     lines = F.split("text", "\n")
-    has_word = F.transform(lines, lambda x: F.length(F.translate(x, " \t\x0b\x0c\r", "")) > 0)
+    with_word = f"[^ {_BLANKS}]"
+    has_word = F.transform(lines, lambda x: x.rlike(with_word))
     joined = known.join(kept, "doc_id", "left").withColumn("kept", F.coalesce("kept", F.array().cast("array<int>")))
-    left = F.filter(
-        lines, lambda x, i: (F.length(F.translate(x, " \t\x0b\x0c\r", "")) == 0) | F.array_contains("kept", i)
-    )
+    left = F.filter(lines, lambda x, i: ~x.rlike(with_word) | F.array_contains("kept", i))
     n_lines = F.size(F.filter(has_word, lambda x: x))
     done = joined.select(
         "doc_id",
