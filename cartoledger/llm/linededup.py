@@ -152,12 +152,13 @@ def _verified(pairs: DataFrame, docs: DataFrame, num: int, den: int) -> DataFram
         .groupBy("doc_id")
         .agg(F.collect_set("line_no").alias("wanted"))
     )
+    # Only wanted lines leave a document, without the rest of its text.
+    lines = F.transform(F.split(_spaced(F.col("text")), "\n"), lambda x, i: F.struct(i.alias("line_no"), x.alias("line")))
     sets = (
         docs.select("doc_id", "text")
         .join(wanted, "doc_id")
-        .select("doc_id", F.split(_spaced(F.col("text")), "\n").alias("lines"), F.explode("wanted").alias("line_no"))
-        .where(F.col("line_no") < F.size("lines"))  # rows of one id are of different lengths
-        .select(*_PLACE, _hashes(F.get("lines", F.col("line_no"))).alias("words"))
+        .select("doc_id", F.inline(F.filter(lines, lambda x: F.array_contains("wanted", x["line_no"]))))
+        .select(*_PLACE, _hashes(F.col("line")).alias("words"))
     )
     a, b = (sets.select(*[F.col(c).alias(f"{s}_{c}") for c in (*_PLACE, "words")]) for s in "ab")
     common = F.size(F.array_intersect("a_words", "b_words"))
