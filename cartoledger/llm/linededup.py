@@ -28,6 +28,7 @@ LEADER_KEYS = 4
 SIMILARITY = (4, 5)
 _BLANKS = "\t\x0b\x0c\r"
 _PLACE = ("doc_id", "line_no")
+_PARITY = ("parity", "parity_2")
 
 
 def _spaced(text: Column) -> Column:
@@ -60,10 +61,16 @@ def frequency_classes(docs: DataFrame) -> Column:
     return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<tinyint>")
 
 
+def _parity(half: int) -> Column:
+    """One of two words of 64 bits; each word of the line flips one of the 128."""
+    bit = f"if((h & 64) = {64 * half}, shiftleft(1L, cast(h & 63 as int)), 0L)"
+    return F.expr(f"aggregate(words, 0L, (s, h) -> s ^ {bit})")
+
+
 def _sets(docs: DataFrame, classes: Column, num: int, den: int) -> DataFrame:
     """One row per distinct word set: its first place, size, parity bits and prefix in order of rarity.
 
-    Each word flips one of 64 parity bits, so two sets differ in at least as many words as bits.
+    Each word flips one of 128 parity bits, so two sets differ in at least as many words as bits.
 
     Equal sets (all copies of a line, however many) meet here as partial
     aggregates, so no later step sees a group of copies.
@@ -93,20 +100,22 @@ def _sets(docs: DataFrame, classes: Column, num: int, den: int) -> DataFrame:
             F.xxhash64(F.lit(1), "words").alias("s2"),
             F.struct(*_PLACE).alias("place"),
             n.cast("int").alias("n"),
-            F.expr("aggregate(words, 0L, (s, h) -> s ^ shiftleft(1L, cast(h & 63 as int)))").alias("parity"),
+            _parity(0).alias("parity"),
+            _parity(1).alias("parity_2"),
             short.alias("prefix"),
             leaders.alias("leaders"),
         )
         .groupBy("s1", "s2")
-        .agg(F.min("place").alias("place"), *[F.first(c).alias(c) for c in ("n", "parity", "prefix", "leaders")])
-        .select("place.doc_id", "place.line_no", "n", "parity", "prefix", "leaders")
+        .agg(F.min("place").alias("place"), *[F.first(c).alias(c) for c in ("n", *_PARITY, "prefix", "leaders")])
+        .select("place.doc_id", "place.line_no", "n", *_PARITY, "prefix", "leaders")
     )
 
 
 def _possible(a: str, b: str, num: int, den: int) -> Column:
     """Whether sizes and parity bits allow the similarity: similar sets differ in few words, so in few bits (exact bounds)."""
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
-    apart = F.bit_count(F.col(f"{a}.parity").bitwiseXOR(F.col(f"{b}.parity")))
+    first, second = (F.bit_count(F.col(f"{a}.{p}").bitwiseXOR(F.col(f"{b}.{p}"))) for p in _PARITY)
+    apart = first + second
     return (na * den >= nb * num) & (nb * den >= na * num) & (apart * (den + num) <= (na + nb) * (den - num))
 
 
@@ -121,7 +130,7 @@ def _leader_pairs(sets: DataFrame, num: int, den: int) -> DataFrame:
     similar lines. The earliest is a plain aggregate joined back, so a hot key
     is split like any skewed join.
     """
-    own = F.struct(*_PLACE, "n", "parity").alias("own")
+    own = F.struct(*_PLACE, "n", *_PARITY).alias("own")
     keyed = sets.select(F.explode("leaders").alias("key"), own)
     heads = keyed.groupBy("key").agg(F.min("own").alias("head"), F.count(F.lit(1)).alias("m")).where("m > 1")
     pairs = keyed.join(heads.drop("m"), "key").where(F.col("head") < F.col("own"))
@@ -131,7 +140,7 @@ def _leader_pairs(sets: DataFrame, num: int, den: int) -> DataFrame:
 def _candidates(sets: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs of sets, ``b`` later and not yet ``done``, that pass the prefix, length, positional and parity filters."""
     post = sets.where(F.size("prefix") > 0).select(
-        *_PLACE, "n", "parity", "done", F.posexplode("prefix").alias("p", "token")
+        *_PLACE, "n", *_PARITY, "done", F.posexplode("prefix").alias("p", "token")
     )
     a, b = post.alias("a"), post.alias("b")
     na, nb = F.col("a.n"), F.col("b.n")
