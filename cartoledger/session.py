@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
+_REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # Settings the pipeline prefers. Operators never depend on them for results:
 # they use explicit TIMESTAMP_NTZ casts and UTC-free arithmetic throughout.
 RECOMMENDED_CONF = {
@@ -51,6 +55,23 @@ def _stage_root(spark: SparkSession) -> str:
     return checkpoint_dir(spark, "/tmp/cartoledger-checkpoints" if alone else None).rstrip("/")
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession):
+    """While open, the shuffle files of a write or an action go as soon as it ends, whenever the collector runs.
+
+    What was written needs them no longer, and no later query reads the shuffles of another.
+    """
+    before = spark.conf.get(_REMOVE_SHUFFLES, None)
+    spark.conf.set(_REMOVE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_REMOVE_SHUFFLES)
+        else:
+            spark.conf.set(_REMOVE_SHUFFLES, before)
+
+
 def stage_with_metrics(df, name: str, metrics: list, run_id: str | None = None):
     """``stage`` that also returns aggregate ``metrics`` (Columns) computed while writing.
 
@@ -64,7 +85,8 @@ def stage_with_metrics(df, name: str, metrics: list, run_id: str | None = None):
     spark = df.sparkSession
     path = f"{_stage_root(spark)}/cartoledger/{run_id or uuid.uuid4().hex}/{name}"
     seen = Observation(f"stage_{name}_{uuid.uuid4().hex[:8]}")
-    df.observe(seen, *metrics).write.mode("overwrite").parquet(path)
+    with shuffles_removed(spark):
+        df.observe(seen, *metrics).write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path), dict(seen.get)
 
 
@@ -79,7 +101,8 @@ def stage(df, name: str, run_id: str | None = None):
 
     spark = df.sparkSession
     path = f"{_stage_root(spark)}/cartoledger/{run_id or uuid.uuid4().hex}/{name}"
-    df.write.mode("overwrite").parquet(path)
+    with shuffles_removed(spark):
+        df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
