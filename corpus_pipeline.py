@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cartoledger.llm import decontaminate, linededup, mixing, quality, simhash
 from cartoledger.llm.common import name_checkpoint_dir
+from cartoledger.session import shuffles_removed
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 # Target shares of all tokens after filtering.
@@ -72,6 +73,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = f"{spark.sparkContext.getCheckpointDir()}/corpus-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        stage(spark, docs, sf_dir).write.parquet(f"{root}/{name}")
+        kept = stage(spark, docs, sf_dir)
+        with shuffles_removed(spark):
+            kept.write.parquet(f"{root}/{name}")
         docs = spark.read.parquet(f"{root}/{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
