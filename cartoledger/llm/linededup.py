@@ -17,7 +17,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartoledger.llm.common import release
 from cartoledger.session import stage
 
 # Frequency classes belong to hash buckets of words: a table of fixed size.
@@ -199,22 +198,15 @@ def dedup_lines(
     plain = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"), *carry)
     known = plain.where("doc_id is not null and text is not null")
 
-    # Each step is written in the shared folder and read again; the shuffles behind it are then not needed any more
-    # (released in statements of their own: a call still holds its arguments while it runs).
-    spark = docs.sparkSession
+    # Each step is written in the shared folder and read again; the shuffles behind it go with the write.
     sets = stage(_sets(known, frequency_classes(known), num, den), "line_sets")
-    release(spark)
     # First the likeliest partner of each set; what that leaves open meets all others.
     leaders = stage(_leader_pairs(sets, num, den), "line_leaders")
-    release(spark)
     early = stage(_verified(leaders, known, num, den), "lines_early")
-    release(spark)
     marked = sets.join(early.withColumn("hit", F.lit(True)), ["doc_id", "line_no"], "left")
     marked = marked.withColumn("done", F.coalesce("hit", F.lit(False))).drop("hit")
     pairs = stage(_candidates(marked, num, den), "line_pairs")
-    release(spark)
     late = stage(_verified(pairs, known, num, den), "lines_late")
-    release(spark)
     kept = (
         sets.select("doc_id", "line_no")
         .join(early.union(late), ["doc_id", "line_no"], "left_anti")
