@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 from collections.abc import Iterator
 
@@ -70,12 +69,6 @@ def name_checkpoint_dir(spark: SparkSession) -> None:
         sc.setCheckpointDir(named)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of finished jobs now: it does so when their handles are garbage."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage by a reliable checkpoint in the shared folder (survives lost executors)."""
     name_checkpoint_dir(df.sparkSession)
