@@ -14,6 +14,9 @@ partner, and a large family of similar lines is not spread out into its pairs.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,8 +24,10 @@ from cartoledger.session import stage
 
 # Frequency classes belong to hash buckets of words: a table of fixed size.
 BUCKETS = 1 << 17
-# Keys per line set by which it meets the earliest set like it.
-LEADER_KEYS = 4
+# Words to a key by which a line set meets the earliest set like it.
+LEADER_WORDS = 3
+# Words of 64 bits that mark the lines to verify: a table of fixed size.
+MARKS = 1 << 17
 # Similarity threshold as a fraction.
 SIMILARITY = (4, 5)
 _BLANKS = "\t\x0b\x0c\r"
@@ -51,7 +56,7 @@ def frequency_classes(docs: DataFrame) -> Column:
     Counts all words of all documents; partial sums leave each task, and the
     table has ``BUCKETS`` entries at any scale.
     """
-    words = F.explode(F.split(F.replace(_spaced(F.col("text")), F.lit("\n"), F.lit(" ")), " "))
+    words = F.explode(F.split("text", f"[ \n{_BLANKS}]"))
     counted = docs.select(words.alias("word")).select(_bucket(F.xxhash64("word")).alias("bucket"))
     counted = counted.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     classes = [0] * BUCKETS
@@ -60,10 +65,25 @@ def frequency_classes(docs: DataFrame) -> Column:
     return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<tinyint>")
 
 
-def _parity(half: int) -> Column:
-    """One of two words of 64 bits; each word of the line flips one of the 128."""
-    bit = f"if((h & 64) = {64 * half}, shiftleft(1L, cast(h & 63 as int)), 0L)"
-    return F.expr(f"aggregate(words, 0L, (s, h) -> s ^ {bit})")
+def _parity(words: Column) -> Column:
+    """64 bits, of which each word flips one."""
+    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
+    return F.aggregate(words, F.lit(0).cast("long"), lambda s, h: s.bitwiseXOR(bit(h)))
+
+
+def _leader_keys(n: Column, below: Column) -> Column:
+    """Keys of the words at both ends of the ascending hashes and on both sides of zero, of which the first ``below`` lie below.
+
+    A key names several words, common or rare: sets that share one are mostly alike, and like sets mostly share one.
+    """
+    k = LEADER_WORDS
+    ends = [
+        F.slice("words", 1, k),
+        F.slice("words", F.greatest(n - k + 1, F.lit(1)), k),
+        F.slice("words", F.greatest(below - k + 1, F.lit(1)), F.least(below, F.lit(k))),
+        F.slice("words", below + 1, k),
+    ]
+    return F.array_compact(F.array(*[F.when(F.size(e) > 0, F.xxhash64(F.lit(i), e)) for i, e in enumerate(ends)]))
 
 
 def _sets(docs: DataFrame, classes: Column, num: int, den: int) -> DataFrame:
@@ -91,16 +111,16 @@ def _sets(docs: DataFrame, classes: Column, num: int, den: int) -> DataFrame:
     prefix = F.slice(F.sort_array(ranked), 1, F.when(alone, 0).otherwise(n - F.ceil(n * num / den).cast("int") + 1))
     # Postings carry 32 bits of a word's hash: two words that share them add candidates, none is lost.
     short = F.transform(prefix, lambda r: (r.bitwiseAND(F.lit(0xFFFFFFFF)) - F.lit(1 << 31)).cast("int"))
-    # The least hashes of the whole set, common words or rare: similar sets mostly share some of them.
-    leaders = F.slice("words", 1, F.when(alone, 0).otherwise(LEADER_KEYS))
+    leaders = F.when(alone, F.array().cast("array<long>")).otherwise(_leader_keys(n, F.col("below")))
     return (
-        sets.select(
+        sets.withColumn("below", F.size(F.filter("words", lambda h: h < 0)))
+        .select(
             F.xxhash64("words").alias("s1"),
             F.xxhash64(F.lit(1), "words").alias("s2"),
             F.struct(*_PLACE).alias("place"),
             n.cast("int").alias("n"),
-            _parity(0).alias("parity"),
-            _parity(1).alias("parity_2"),
+            _parity(F.slice("words", 1, F.col("below"))).alias("parity"),
+            _parity(F.slice("words", F.col("below") + 1, n)).alias("parity_2"),
             short.alias("prefix"),
             leaders.alias("leaders"),
         )
@@ -110,11 +130,10 @@ def _sets(docs: DataFrame, classes: Column, num: int, den: int) -> DataFrame:
     )
 
 
-def _possible(a: str, b: str, num: int, den: int) -> Column:
+def _possible(a: str, b: str, num: int, den: int, parity: tuple[str, ...] = _PARITY) -> Column:
     """Whether sizes and parity bits allow the similarity: similar sets differ in few words, so in few bits (exact bounds)."""
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
-    first, second = (F.bit_count(F.col(f"{a}.{p}").bitwiseXOR(F.col(f"{b}.{p}"))) for p in _PARITY)
-    apart = first + second
+    apart = reduce(add, (F.bit_count(F.col(f"{a}.{p}").bitwiseXOR(F.col(f"{b}.{p}"))) for p in parity))
     return (na * den >= nb * num) & (nb * den >= na * num) & (apart * (den + num) <= (na + nb) * (den - num))
 
 
@@ -123,17 +142,17 @@ def _pair(a: str, b: str) -> list[Column]:
 
 
 def _leader_pairs(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Each set with the earliest set that shares one of its least hashes, where the pair is possible.
+    """Each set with the earliest set that shares one of its leader keys, where the pair is possible.
 
     These are few pairs, and they settle most members of a large family of
     similar lines. The earliest is a plain aggregate joined back, so a hot key
     is split like any skewed join.
     """
-    own = F.struct(*_PLACE, "n", *_PARITY).alias("own")
+    own = F.struct(*_PLACE, "n", _PARITY[0]).alias("own")
     keyed = sets.select(F.explode("leaders").alias("key"), own)
     heads = keyed.groupBy("key").agg(F.min("own").alias("head"), F.count(F.lit(1)).alias("m")).where("m > 1")
     pairs = keyed.join(heads.drop("m"), "key").where(F.col("head") < F.col("own"))
-    return pairs.where(_possible("head", "own", num, den)).select(*_pair("head", "own")).distinct()
+    return pairs.where(_possible("head", "own", num, den, _PARITY[:1])).select(*_pair("head", "own")).distinct()
 
 
 def _candidates(sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -146,36 +165,46 @@ def _candidates(sets: DataFrame, num: int, den: int) -> DataFrame:
     later = F.struct(*[F.col(f"a.{c}") for c in _PLACE]) < F.struct(*[F.col(f"b.{c}") for c in _PLACE])
     reach = F.least(na - F.col("a.p"), nb - F.col("b.p"))
     positional = reach * (num + den) >= (na + nb) * num
-    # Both sides name the condition, so that one shuffle of the postings serves both.
-    open_ = ~F.col("b.done") | (na < 0)
+    # Both sides name ``done`` in a condition of both, so that one shuffle of the postings serves both.
+    open_ = ~F.col("b.done") | (F.col("a.done") & (na < 0))
     meet = (F.col("a.token") == F.col("b.token")) & open_ & _possible("a", "b", num, den) & positional & later
     return a.join(b, meet).select(*_pair("a", "b")).distinct()
 
 
+def _marks(places: DataFrame) -> DataFrame:
+    """``MARKS`` words of 64 bits at most, in which each place sets one bit: a table of bounded size to broadcast."""
+    mark, bit = _mark(F.col("doc_id"), F.col("line_no"))
+    return places.select(mark.alias("mark"), bit.alias("bit")).groupBy("mark").agg(F.bit_or("bit").alias("bits"))
+
+
+def _mark(doc_id: Column, line_no: Column) -> tuple[Column, Column]:
+    hashed = F.xxhash64(doc_id, line_no)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(hashed, 58).cast("int"))
+    return hashed.bitwiseAND(F.lit(MARKS - 1)).cast("int"), bit
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, num: int, den: int) -> DataFrame:
     """``(doc_id, line_no)`` of the later lines whose word sets reach the similarity with an earlier one."""
-    wanted = (
-        pairs.select(F.col("a_doc_id").alias("doc_id"), F.col("a_line_no").alias("line_no"))
-        .union(pairs.select("b_doc_id", "b_line_no"))
-        .groupBy("doc_id")
-        .agg(F.collect_set("line_no").alias("wanted"))
+    a_place, b_place = ([F.col(f"{s}_{c}").alias(c) for c in _PLACE] for s in "ab")
+    marks = _marks(pairs.select(*a_place).union(pairs.select(*b_place)))
+    # Lines of which a pair may be leave their document alone; those that only share a mark meet no pair.
+    mark, bit = _mark(F.col("doc_id"), F.col("line_no"))
+    lines = (
+        docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+        .select(*_PLACE, "line", mark.alias("mark"), bit.alias("bit"))
+        .join(F.broadcast(marks), "mark")
+        .where(F.col("bits").bitwiseAND(F.col("bit")) != 0)
     )
-    # Only wanted lines leave a document, without the rest of its text.
-    lines = F.transform(F.split(_spaced(F.col("text")), "\n"), lambda x, i: F.struct(i.alias("line_no"), x.alias("line")))
-    sets = (
-        docs.select("doc_id", "text")
-        .join(wanted, "doc_id")
-        .select("doc_id", F.inline(F.filter(lines, lambda x: F.array_contains("wanted", x["line_no"]))))
-        .select(*_PLACE, _hashes(F.col("line")).alias("words"))
-    )
-    a, b = (sets.select(*[F.col(c).alias(f"{s}_{c}") for c in (*_PLACE, "words")]) for s in "ab")
+    a, b = (lines.select(*[F.col(c).alias(f"{s}_{c}") for c in (*_PLACE, "line")]) for s in "ab")
+    words = [_hashes(_spaced(F.col(f"{s}_line"))).alias(f"{s}_words") for s in "ab"]
     common = F.size(F.array_intersect("a_words", "b_words"))
     whole = F.size("a_words") + F.size("b_words") - common
     return (
         pairs.join(a, ["a_doc_id", "a_line_no"])
         .join(b, ["b_doc_id", "b_line_no"])
+        .select(*b_place, *words)
         .where(common * den >= whole * num)
-        .select(F.col("b_doc_id").alias("doc_id"), F.col("b_line_no").alias("line_no"))
+        .select(*_PLACE)
         .distinct()
     )
 
@@ -207,16 +236,14 @@ def dedup_lines(
     marked = marked.withColumn("done", F.coalesce("hit", F.lit(False))).drop("hit")
     pairs = stage(_candidates(marked, num, den), "line_pairs")
     late = stage(_verified(pairs, known, num, den), "lines_late")
-    kept = (
-        sets.select("doc_id", "line_no")
-        .join(early.union(late), ["doc_id", "line_no"], "left_anti")
-        .groupBy("doc_id")
-        .agg(F.collect_set("line_no").alias("kept"))
-    )
+    first = sets.groupBy("doc_id").agg(F.collect_set("line_no").alias("first"))
+    like = early.union(late).groupBy("doc_id").agg(F.collect_set("line_no").alias("like"))
+    none = F.array().cast("array<int>")
+    kept = F.array_except(F.coalesce("first", none), F.coalesce("like", none))
     lines = F.split("text", "\n")
     with_word = f"[^ {_BLANKS}]"
     has_word = F.transform(lines, lambda x: x.rlike(with_word))
-    joined = known.join(kept, "doc_id", "left").withColumn("kept", F.coalesce("kept", F.array().cast("array<int>")))
+    joined = known.join(first, "doc_id", "left").join(like, "doc_id", "left").withColumn("kept", kept)
     left = F.filter(lines, lambda x, i: ~x.rlike(with_word) | F.array_contains("kept", i))
     n_lines = F.size(F.filter(has_word, lambda x: x))
     done = joined.select(

@@ -165,6 +165,29 @@ def test_lines_awkward_rows(spark):
     assert linededup.dedup_lines(docs.limit(0)).count() == 0
 
 
+def test_lines_of_a_family_of_common_words_meet_their_leader(spark):
+    draw = random.Random(5)
+    kinds = [f"c{i}" for i in range(200)]
+    texts = [" ".join(draw.sample(kinds, 20)) for _ in range(200)]
+    base = draw.sample(kinds, 40)
+    family = [" ".join(draw.sample(base, 38)) for _ in range(40)]
+    docs = helpers.table(spark, texts + family).select("doc_id", "text")
+    sets = linededup._sets(docs, linededup.frequency_classes(docs), 4, 5)
+    pairs = linededup._leader_pairs(sets, 4, 5).where("a_doc_id >= 200")
+    assert pairs.select("b_doc_id").distinct().count() >= 30
+    assert {r[0] for r in pairs.select("b_doc_id").collect()} <= set(range(201, 240))
+
+
+def test_lines_only_those_of_pairs_are_shuffled_to_verify(spark):
+    texts = [f"a{i} b{i} c{i} d{i} e{i}\n" + " ".join(f"x{i}y{j}" for j in range(200)) for i in range(50)]
+    docs = helpers.table(spark, [*texts, "a0 b0 c0 d0 e0 f0"])
+    pairs = spark.createDataFrame([(0, 0, 50, 0), (1, 0, 50, 0)], "a_doc_id long, a_line_no int, b_doc_id long, b_line_no int")
+    found = linededup._verified(pairs, docs, 4, 5)
+    assert [tuple(r) for r in found.collect()] == [(50, 0)]
+    marked = spark.createDataFrame([(7, 3), (7, 3), (8, -1), (None, 2)], "doc_id long, line_no int")
+    assert sum(bin(r["bits"] & (1 << 64) - 1).count("1") for r in linededup._marks(marked).collect()) == 3
+
+
 def test_lines_native_plan(spark):
     plan = linededup.dedup_lines(helpers.table(spark, ["a b", "c d"]))._jdf.queryExecution().toString()
     assert not any(w in plan for w in ("Python", "Pandas", "Arrow"))
