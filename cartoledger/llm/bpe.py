@@ -5,7 +5,8 @@ merge in the order of the rank of their joined bytes, leftmost first. The
 pairs wait in a queue of one bucket per rank: a two-level hierarchy of bitmaps names the
 least rank in use by find-first-set, its bucket gives the leftmost position in
 the linked list of tokens, and entries whose pair has changed since are
-skipped. A pre-token of n bytes costs O(n log n) however long it is.
+skipped. A pre-token of n bytes costs O(n log n) however long it is. One of few
+bytes has no queue: the least rank of its pairs is looked up anew each time.
 """
 
 from __future__ import annotations
@@ -35,6 +36,10 @@ REMEMBERED = 400_000
 REMEMBERED_CHARS = 64
 # Bytes of a pre-token whose positions fit a bitmap.
 SHORT = 256
+# Bytes of a pre-token whose pairs are looked through for the least rank: below that many a queue costs more than it saves.
+TINY = 32
+# Above every rank: no token for a pair.
+NONE = 1 << 62
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -102,6 +107,7 @@ class Encoder:
         self.split = regex.compile(pattern).findall
         self.singles = [ranks[bytes([b])] for b in range(256)]
         self.doubles = [[ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)]
+        self.pairs = {(a, b): rank for a, of in enumerate(self.doubles) for b, rank in enumerate(of) if rank >= 0}
         # The queue of short pre-tokens, empty between them: bitmaps of ranks, and of positions per rank.
         size = max(ranks.values()) + 1
         self.words = [0] * ((size >> WORD_BITS) + 1)
@@ -114,8 +120,26 @@ class Encoder:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
+        if len(piece) <= TINY:
+            return self._merge_tiny(piece)
         return self._merge_short(piece) if len(piece) <= SHORT else self._merge_long(piece)
 
+    def _merge_tiny(self, piece: bytes) -> list[int]:
+        """No queue: the leftmost least of the ranks of all pairs, again and again."""
+        rank_of, singles, pair_of = self.ranks.get, self.singles, self.pairs.get
+        ids = [singles[b] for b in piece]
+        starts = list(range(len(piece) + 1))
+        pair = [pair_of(p, NONE) for p in zip(piece, piece[1:])]
+        while pair and (rank := min(pair)) != NONE:
+            at = pair.index(rank)
+            ids[at] = rank
+            del ids[at + 1], starts[at + 1], pair[at]
+            if at < len(pair):
+                pair[at] = rank_of(piece[starts[at] : starts[at + 2]], NONE)
+            if at:
+                pair[at - 1] = rank_of(piece[starts[at - 1] : starts[at + 1]], NONE)
+        return ids
+
     def _merge_short(self, piece: bytes) -> list[int]:
         """The queue with positions in bitmaps too, written out where it is used: most pre-tokens are short."""
         rank_of, n = self.ranks.get, len(piece)

@@ -237,6 +237,17 @@ def test_bpe_equals_library_on_any_text(vocabulary, text):
     assert ids_of(bpe.Encoder(ranks, public_tokenizers.PATTERN).encode(text)) == reference.encode_ordinary(text)
 
 
+def test_bpe_merges_agree(vocabulary):
+    ranks, _ = vocabulary
+    own = bpe.Encoder(ranks, public_tokenizers.PATTERN)
+    rng = random.Random(8)
+    for kinds in (b"ab", b"etaoinshr ", "éß漢".encode(), bytes(range(256))):
+        for n in (1, 2, 3, 7, 15, bpe.TINY, bpe.TINY + 1):
+            for _ in range(20):
+                piece = bytes(rng.choice(kinds) for _ in range(n))
+                assert own._merge_tiny(piece) == own._merge_short(piece) == own._merge_long(piece)
+
+
 @settings(max_examples=50, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 299_999), st.integers(0, 50)), max_size=60))
 def test_rank_queue_pops_in_order(entries):
