@@ -163,23 +163,15 @@ def with_posteriors(docs: DataFrame, model: Model, text_col: str = "text") -> Da
     places = [0] * BUCKETS
     for place, bucket in enumerate(model.buckets, 1):
         places[bucket] = place
+    # The table is named once, as it is long and every copy would go into the plan's text and into each task.
     place_of = _constant(places, "int")
-
-    def own(word: Column) -> Column:
-        return F.get(place_of, _feature(word))
-
-    def head(word: Column) -> Column:
-        return F.get(place_of, _feature(_head(word)))
-
-    # Few of a text's words are marked: one pass finds them, and only they are looked up.
-    marked = F.filter(names["distinct"], lambda w: (own(w) > 0) | (head(w) > 0))
-    found = found.withColumn(names["present"], marked)
-    present = F.concat(
-        F.transform(names["present"], own),
-        F.transform(names["present"], head),
-        F.array(F.get(place_of, _style(names["words"], names["distinct"]))),
+    features = F.concat(
+        F.transform(names["distinct"], _feature),
+        F.transform(names["distinct"], lambda w: _feature(_head(w))),
+        F.array(_style(names["words"], names["distinct"])),
     )
-    found = found.withColumn(names["present"], F.array_distinct(F.filter(present, lambda p: p > 0)))
+    present = F.filter(F.transform(features, lambda f: F.get(place_of, f)), lambda p: p > 0)
+    found = found.withColumn(names["present"], F.array_distinct(present))
     for d in DOMAINS:
         weights = _constant([0.0, *model.weights[d]], "double")
         found = found.withColumn(

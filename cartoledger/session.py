@@ -6,7 +6,14 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-_REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# While a table is staged: shuffle files go with the write, and the driver keeps a plan's text only up to a bound
+# (constant tables stand in it number by number, and it is made anew whenever the plan adapts).
+_STAGING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.maxPlanStringLength": "100000",
+}
+# No marker file: the driver would start a process to set its mode, and nobody looks for it.
+_NO_MARKER = ("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
 
 # Settings the pipeline prefers. Operators never depend on them for results:
 # they use explicit TIMESTAMP_NTZ casts and UTC-free arithmetic throughout.
@@ -61,15 +68,17 @@ def shuffles_removed(spark: SparkSession):
 
     What was written needs them no longer, and no later query reads the shuffles of another.
     """
-    before = spark.conf.get(_REMOVE_SHUFFLES, None)
-    spark.conf.set(_REMOVE_SHUFFLES, "true")
+    before = {key: spark.conf.get(key, None) for key in _STAGING}
+    for key, value in _STAGING.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(_REMOVE_SHUFFLES)
-        else:
-            spark.conf.set(_REMOVE_SHUFFLES, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def stage_with_metrics(df, name: str, metrics: list, run_id: str | None = None):
@@ -86,7 +95,7 @@ def stage_with_metrics(df, name: str, metrics: list, run_id: str | None = None):
     path = f"{_stage_root(spark)}/cartoledger/{run_id or uuid.uuid4().hex}/{name}"
     seen = Observation(f"stage_{name}_{uuid.uuid4().hex[:8]}")
     with shuffles_removed(spark):
-        df.observe(seen, *metrics).write.mode("overwrite").parquet(path)
+        df.observe(seen, *metrics).write.mode("overwrite").option(*_NO_MARKER).parquet(path)
     return spark.read.schema(df.schema).parquet(path), dict(seen.get)
 
 
@@ -102,7 +111,7 @@ def stage(df, name: str, run_id: str | None = None):
     spark = df.sparkSession
     path = f"{_stage_root(spark)}/cartoledger/{run_id or uuid.uuid4().hex}/{name}"
     with shuffles_removed(spark):
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option(*_NO_MARKER).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

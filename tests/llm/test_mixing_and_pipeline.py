@@ -145,3 +145,11 @@ def test_query_runs(spark, name):
         assert n == spark.read.parquet(f"{SF}/{key}.parquet").select("conv_id").distinct().count() + 1
     elif name not in ("op3_decontamination", "op12_hard_negatives"):
         assert n == spark.read.parquet(f"{SF}/{key}.parquet").count()
+
+
+def test_plan_of_the_posteriors_names_the_table_once(spark):
+    """The table of buckets has 2**17 numbers; each copy would be text of the plan on the driver and data of each task."""
+    model = mixing.Model([5, 77], {d: [1.0, -1.0] for d in mixing.DOMAINS}, {d: -1.0 for d in mixing.DOMAINS})
+    docs = helpers.table(spark, ["a b c", "d e f g", None])
+    plan = mixing.with_posteriors(docs, model)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("0," * 70_000) == 1

@@ -45,3 +45,15 @@ def test_setting_is_put_back(spark):
         assert spark.conf.get(key) == "false"
     finally:
         spark.conf.unset(key)
+
+
+def test_stage_leaves_no_marker_and_bounds_the_plan_text(spark):
+    key = "spark.sql.maxPlanStringLength"
+    before = spark.conf.get(key, None)
+    with shuffles_removed(spark):
+        assert int(spark.conf.get(key)) <= 100_000
+    assert spark.conf.get(key, None) == before
+    staged = stage(spark.range(100), "hundred")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(staged.inputFiles()[0]).getParent()
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    assert staged.count() == 100 and not any(f.getPath().getName() == "_SUCCESS" for f in files)
