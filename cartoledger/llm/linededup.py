@@ -14,7 +14,9 @@ partner, and a large family of similar lines is not spread out into its pairs.
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
+from itertools import accumulate
 from operator import add
 
 from pyspark.sql import Column, DataFrame
@@ -24,6 +26,10 @@ from cartoledger.session import stage
 
 # Frequency classes belong to hash buckets of words: a table of fixed size.
 BUCKETS = 1 << 17
+# Between the words of class 0 and those of the next: no word is of an odd class, so the mark is none itself.
+MARK = 1 << 56
+# Line numbers are ints.
+LINES = 1 << 31
 # Words to a key by which a line set meets the earliest set like it.
 LEADER_WORDS = 3
 # Words of 64 bits that mark the lines to verify: a table of fixed size.
@@ -51,35 +57,48 @@ def _bucket(hashed: Column) -> Column:
 
 
 def frequency_classes(docs: DataFrame) -> Column:
-    """Frequency class (four to a doubling) of each word bucket, as a constant array.
+    """Frequency class of each word bucket, as a constant array.
 
-    Counts all words of all documents; partial sums leave each task, and the
-    table has ``BUCKETS`` entries at any scale.
+    Classes are even bytes, four to a doubling, and half of all words are of
+    class 0 or below. Counts the words of all lines; partial sums leave each
+    task, and the table has ``BUCKETS`` entries at any scale. Blanks but the
+    space are not looked for here: a word beside one counts with it.
     """
-    words = F.explode(F.split("text", f"[ \n{_BLANKS}]"))
-    counted = docs.select(words.alias("word")).select(_bucket(F.xxhash64("word")).alias("bucket"))
+    lines = docs.select(F.explode(F.split("text", "\n")).alias("line"))
+    counted = lines.select(F.explode(F.split("line", " ")).alias("word")).select(_bucket(F.xxhash64("word")).alias("bucket"))
     counted = counted.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-    classes = [0] * BUCKETS
-    for row in counted.select("bucket", F.round(4 * F.log2("n")).cast("int").alias("level")).collect():
-        classes[row["bucket"]] = row["level"]
+    levels, sizes = [0] * BUCKETS, Counter()
+    for row in counted.select("bucket", "n", F.round(4 * F.log2("n")).cast("int").alias("level")).collect():
+        levels[row["bucket"]] = row["level"]
+        sizes[row["level"]] += row["n"]
+    upto = list(accumulate(sizes[level] for level in sorted(sizes)))
+    middle = next((level for level, n in zip(sorted(sizes), upto) if 2 * n >= upto[-1]), 0)
+    classes = (min(max(2 * (level - middle), -128), 126) for level in levels)
     return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<tinyint>")
 
 
+def _ranks(line: Column, classes: Column) -> Column:
+    """Ranks of the distinct words of a spaced line and the mark, ascending: the class, then 56 bits of the hash."""
+    rank = lambda h: F.shiftleft(F.get(classes, _bucket(h)).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
+    hashed = F.transform(F.split(line, " "), lambda w: F.xxhash64(w))
+    words = F.transform(F.array_remove(hashed, F.xxhash64(F.lit(""))), rank)
+    return F.sort_array(F.array_append(F.array_distinct(words), F.lit(MARK)))
+
+
 def _parity(words: Column) -> Column:
     """64 bits, of which each word flips one."""
     bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
     return F.aggregate(words, F.lit(0).cast("long"), lambda s, h: s.bitwiseXOR(bit(h)))
 
 
-def _leader_keys(n: Column, below: Column) -> Column:
-    """Keys of the words at both ends of the ascending hashes and on both sides of zero, of which the first ``below`` lie below.
+def _leader_keys(below: Column) -> Column:
+    """Keys of the rarest words and of the words on both sides of the mark, before which ``below`` words lie.
 
     A key names several words, common or rare: sets that share one are mostly alike, and like sets mostly share one.
     """
     k = LEADER_WORDS
     ends = [
         F.slice("words", 1, k),
-        F.slice("words", F.greatest(n - k + 1, F.lit(1)), k),
         F.slice("words", F.greatest(below - k + 1, F.lit(1)), F.least(below, F.lit(k))),
         F.slice("words", below + 1, k),
     ]
@@ -89,7 +108,8 @@ def _leader_keys(n: Column, below: Column) -> Column:
 def _sets(docs: DataFrame, classes: Column, num: int, den: int) -> DataFrame:
     """One row per distinct word set: its first place, size, parity bits and prefix in order of rarity.
 
-    Each word flips one of 128 parity bits, so two sets differ in at least as many words as bits.
+    Each word flips one of 128 parity bits, so two sets differ in at least as many words as bits;
+    words up to class 0 have 64 of them, the others the rest.
 
     Equal sets (all copies of a line, however many) meet here as partial
     aggregates, so no later step sees a group of copies.
@@ -97,37 +117,45 @@ def _sets(docs: DataFrame, classes: Column, num: int, den: int) -> DataFrame:
     sets = (
         docs.select("doc_id", F.posexplode(F.split(_spaced(F.col("text")), "\n")).alias("line_no", "line"))
         .where(F.trim("line") != "")
-        .select("doc_id", "line_no", _hashes(F.col("line")).alias("words"))
+        .select("doc_id", "line_no", _ranks(F.col("line"), classes).alias("marked"))
+        .select(
+            "doc_id",
+            "line_no",
+            F.array_remove("marked", F.lit(MARK)).alias("words"),
+            (F.array_position("marked", F.lit(MARK)) - 1).cast("int").alias("below"),
+        )
     )
     n = F.size("words")
     # A set can only resemble another one if a set one larger may: t * (n + 1) <= n.
     alone = num * (n + 1) > den * n
-    ranked = F.transform(
-        "words",
-        lambda h: F.shiftleft(F.coalesce(F.get(classes, _bucket(h)), F.lit(0)).cast("long"), 56).bitwiseOR(
-            F.shiftrightunsigned(h, 8)
-        ),
-    )
-    prefix = F.slice(F.sort_array(ranked), 1, F.when(alone, 0).otherwise(n - F.ceil(n * num / den).cast("int") + 1))
+    prefix = F.slice("words", 1, F.when(alone, 0).otherwise(n - F.ceil(n * num / den).cast("int") + 1))
     # Postings carry 32 bits of a word's hash: two words that share them add candidates, none is lost.
     short = F.transform(prefix, lambda r: (r.bitwiseAND(F.lit(0xFFFFFFFF)) - F.lit(1 << 31)).cast("int"))
-    leaders = F.when(alone, F.array().cast("array<long>")).otherwise(_leader_keys(n, F.col("below")))
-    return (
-        sets.withColumn("below", F.size(F.filter("words", lambda h: h < 0)))
-        .select(
-            F.xxhash64("words").alias("s1"),
-            F.xxhash64(F.lit(1), "words").alias("s2"),
-            F.struct(*_PLACE).alias("place"),
-            n.cast("int").alias("n"),
-            _parity(F.slice("words", 1, F.col("below"))).alias("parity"),
-            _parity(F.slice("words", F.col("below") + 1, n)).alias("parity_2"),
-            short.alias("prefix"),
-            leaders.alias("leaders"),
-        )
-        .groupBy("s1", "s2")
-        .agg(F.min("place").alias("place"), *[F.first(c).alias(c) for c in ("n", *_PARITY, "prefix", "leaders")])
-        .select("place.doc_id", "place.line_no", "n", *_PARITY, "prefix", "leaders")
+    leaders = F.when(alone, F.array().cast("array<long>")).otherwise(_leader_keys(F.col("below")))
+    described = sets.select(
+        F.xxhash64("words").alias("s1"),
+        F.xxhash64(F.lit(1), "words").alias("s2"),
+        n.cast("int").alias("n"),
+        _parity(F.slice("words", 1, F.col("below"))).alias("parity"),
+        _parity(F.slice("words", F.col("below") + 1, n)).alias("parity_2"),
+        short.alias("prefix"),
+        leaders.alias("leaders"),
+        _place_number().alias("place"),
     )
+    # All but the place follows from the set, so it may stand in the key; a number as the place lets the groups meet by hash, unsorted.
+    first = described.groupBy([c for c in described.columns if c != "place"]).agg(F.min("place").alias("place"))
+    return first.select(*_place_of(F.col("place")), "n", *_PARITY, "prefix", "leaders")
+
+
+def _place_number() -> Column:
+    """``doc_id`` and ``line_no`` as one number of the same order."""
+    return F.col("doc_id").cast("decimal(20,0)") * F.lit(LINES).cast("decimal(10,0)") + F.col("line_no").cast("decimal(10,0)")
+
+
+def _place_of(place: Column) -> list[Column]:
+    line = F.pmod(place, F.lit(LINES).cast("decimal(10,0)"))
+    doc = F.call_function("div", place - line, F.lit(LINES).cast("decimal(10,0)"))
+    return [doc.alias("doc_id"), line.cast("int").alias("line_no")]
 
 
 def _possible(a: str, b: str, num: int, den: int, parity: tuple[str, ...] = _PARITY) -> Column:

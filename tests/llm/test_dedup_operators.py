@@ -188,6 +188,19 @@ def test_lines_only_those_of_pairs_are_shuffled_to_verify(spark):
     assert sum(bin(r["bits"] & (1 << 64) - 1).count("1") for r in linededup._marks(marked).collect()) == 3
 
 
+def test_lines_equal_sets_meet_by_hash_at_their_first_place(spark):
+    """No sort of whole sets to group them; ids of any sign and size keep their order and come back."""
+    ids = [-(2**63), -5, -4, 7, 2**63 - 1]
+    rows = [(i, f"only{k}\nthe same words here\nhere\twords  same the") for k, i in enumerate(ids)]
+    docs = spark.createDataFrame(rows[::-1], "doc_id long, text string")
+    sets = linededup._sets(docs, linededup.frequency_classes(docs), 4, 5)
+    plan = sets._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    assert {(r["doc_id"], r["line_no"], r["n"]) for r in sets.collect()} == {(i, 0, 1) for i in ids} | {(-(2**63), 1, 4)}
+    got = {r["doc_id"]: r["n_removed"] for r in linededup.dedup_lines(docs).collect()}
+    assert got == {i: 1 if i == -(2**63) else 2 for i in ids}
+
+
 def test_lines_native_plan(spark):
     plan = linededup.dedup_lines(helpers.table(spark, ["a b", "c d"]))._jdf.queryExecution().toString()
     assert not any(w in plan for w in ("Python", "Pandas", "Arrow"))
