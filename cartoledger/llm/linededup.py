@@ -32,7 +32,10 @@ MARK = 1 << 56
 LINES = 1 << 31
 # Words to a key by which a line set meets the earliest set like it.
 LEADER_WORDS = 3
-# Words of 64 bits that mark the lines to verify: a table of fixed size.
+# A key of so many sets has HEADS heads besides the earliest set.
+LARGE_KEY = 8
+HEADS = 16
+# Words of 64 bits that mark the lines to verify, or the large keys: a table of fixed size.
 MARKS = 1 << 17
 # Similarity threshold as a fraction.
 SIMILARITY = (4, 5)
@@ -158,11 +161,15 @@ def _place_of(place: Column) -> list[Column]:
     return [doc.alias("doc_id"), line.cast("int").alias("line_no")]
 
 
-def _possible(a: str, b: str, num: int, den: int, parity: tuple[str, ...] = _PARITY) -> Column:
+def _apart(a: str, b: str) -> Column:
+    """Parity bits in which two sets differ."""
+    return reduce(add, (F.bit_count(F.col(f"{a}.{p}").bitwiseXOR(F.col(f"{b}.{p}"))) for p in _PARITY))
+
+
+def _possible(a: str, b: str, num: int, den: int) -> Column:
     """Whether sizes and parity bits allow the similarity: similar sets differ in few words, so in few bits (exact bounds)."""
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
-    apart = reduce(add, (F.bit_count(F.col(f"{a}.{p}").bitwiseXOR(F.col(f"{b}.{p}"))) for p in parity))
-    return (na * den >= nb * num) & (nb * den >= na * num) & (apart * (den + num) <= (na + nb) * (den - num))
+    return (na * den >= nb * num) & (nb * den >= na * num) & (_apart(a, b) * (den + num) <= (na + nb) * (den - num))
 
 
 def _pair(a: str, b: str) -> list[Column]:
@@ -170,17 +177,28 @@ def _pair(a: str, b: str) -> list[Column]:
 
 
 def _leader_pairs(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Each set with the earliest set that shares one of its leader keys, where the pair is possible.
-
-    These are few pairs, and they settle most members of a large family of
-    similar lines. The earliest is a plain aggregate joined back, so a hot key
-    is split like any skewed join.
+    """Each set with the likeliest of the heads of its leader keys, where the pair is possible.
+
+    The head of a key is the earliest set that has it. Members of a large
+    family often resemble one another but not its first, so a key of many sets
+    has more heads: its sets are dealt into ``HEADS`` shares, and the earliest
+    of each share is one. The pairs grow in proportion to the sets, and they
+    settle most members of a large family of similar lines. Heads are plain
+    aggregates joined back, so a hot key is split like any skewed join.
     """
-    own = F.struct(*_PLACE, "n", _PARITY[0]).alias("own")
+    own = F.struct(*_PLACE, "n", *_PARITY).alias("own")
     keyed = sets.select(F.explode("leaders").alias("key"), own)
     heads = keyed.groupBy("key").agg(F.min("own").alias("head"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    pairs = keyed.join(heads.drop("m"), "key").where(F.col("head") < F.col("own"))
-    return pairs.where(_possible("head", "own", num, den, _PARITY[:1])).select(*_pair("head", "own")).distinct()
+    heads = stage(heads, "line_heads")
+    marks = _marks(heads.where(F.col("m") >= LARGE_KEY).select("key"))
+    share = F.pmod(F.xxhash64("own.doc_id", "own.line_no"), F.lit(HEADS)).alias("share")
+    more = _marked(keyed, marks, "key").groupBy("key", share).agg(F.min("own").alias("head"))
+    heads = heads.select("key", "head").union(more.select("key", "head"))
+    pairs = keyed.join(heads, "key").where((F.col("head") < F.col("own")) & _possible("head", "own", num, den))
+    apart = _apart("head", "own") / (F.col("head.n") + F.col("own.n"))
+    nearest = F.min(F.struct(apart.alias("apart"), "head")).alias("nearest")
+    pairs = pairs.groupBy("own").agg(nearest).select(F.col("nearest.head").alias("head"), "own")
+    return pairs.select(*_pair("head", "own"))
 
 
 def _candidates(sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -199,30 +217,32 @@ def _candidates(sets: DataFrame, num: int, den: int) -> DataFrame:
     return a.join(b, meet).select(*_pair("a", "b")).distinct()
 
 
-def _marks(places: DataFrame) -> DataFrame:
-    """``MARKS`` words of 64 bits at most, in which each place sets one bit: a table of bounded size to broadcast."""
-    mark, bit = _mark(F.col("doc_id"), F.col("line_no"))
-    return places.select(mark.alias("mark"), bit.alias("bit")).groupBy("mark").agg(F.bit_or("bit").alias("bits"))
+def _marks(rows: DataFrame) -> DataFrame:
+    """``MARKS`` words of 64 bits at most, in which each row sets one bit: a table of bounded size to broadcast."""
+    mark, bit = _mark(*rows.columns)
+    return rows.select(mark.alias("mark"), bit.alias("bit")).groupBy("mark").agg(F.bit_or("bit").alias("bits"))
 
 
-def _mark(doc_id: Column, line_no: Column) -> tuple[Column, Column]:
-    hashed = F.xxhash64(doc_id, line_no)
+def _mark(*columns: str) -> tuple[Column, Column]:
+    hashed = F.xxhash64(*columns)
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(hashed, 58).cast("int"))
     return hashed.bitwiseAND(F.lit(MARKS - 1)).cast("int"), bit
 
 
+def _marked(rows: DataFrame, marks: DataFrame, *columns: str) -> DataFrame:
+    """Rows whose ``columns`` set a bit of ``marks``: all that made one, and few others."""
+    mark, bit = _mark(*columns)
+    marked = rows.select("*", mark.alias("mark"), bit.alias("bit")).join(F.broadcast(marks), "mark")
+    return marked.where(F.col("bits").bitwiseAND(F.col("bit")) != 0).drop("mark", "bit", "bits")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, num: int, den: int) -> DataFrame:
     """``(doc_id, line_no)`` of the later lines whose word sets reach the similarity with an earlier one."""
     a_place, b_place = ([F.col(f"{s}_{c}").alias(c) for c in _PLACE] for s in "ab")
     marks = _marks(pairs.select(*a_place).union(pairs.select(*b_place)))
     # Lines of which a pair may be leave their document alone; those that only share a mark meet no pair.
-    mark, bit = _mark(F.col("doc_id"), F.col("line_no"))
-    lines = (
-        docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-        .select(*_PLACE, "line", mark.alias("mark"), bit.alias("bit"))
-        .join(F.broadcast(marks), "mark")
-        .where(F.col("bits").bitwiseAND(F.col("bit")) != 0)
-    )
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    lines = _marked(lines, marks, *_PLACE)
     a, b = (lines.select(*[F.col(c).alias(f"{s}_{c}") for c in (*_PLACE, "line")]) for s in "ab")
     words = [_hashes(_spaced(F.col(f"{s}_line"))).alias(f"{s}_words") for s in "ab"]
     common = F.size(F.array_intersect("a_words", "b_words"))

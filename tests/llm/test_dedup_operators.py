@@ -201,6 +201,28 @@ def test_lines_equal_sets_meet_by_hash_at_their_first_place(spark):
     assert got == {i: 1 if i == -(2**63) else 2 for i in ids}
 
 
+def test_lines_of_a_family_unlike_its_first_member_settle_early(spark):
+    """Most members resemble some others but not the first; few of them are left to meet the whole family."""
+    draw = random.Random(11)
+    base = [f"k{i}" for i in range(60)]
+    texts = []
+    for m in range(300):
+        ws = list(base)
+        for at in draw.sample(range(60), 6 if m == 0 else m % 6):
+            ws[at] = f"m{m}at{at}"
+        texts.append(" ".join(ws))
+    docs = helpers.table(spark, texts).select("doc_id", "text")
+    sets = linededup._sets(docs, linededup.frequency_classes(docs), 4, 5).cache()
+    pairs = linededup._leader_pairs(sets, 4, 5)
+    assert pairs.count() == pairs.select("b_doc_id").distinct().count()
+    early = linededup._verified(pairs, docs, 4, 5).withColumn("done", F.lit(True))
+    marked = sets.join(early, ["doc_id", "line_no"], "left").fillna(False, ["done"])
+    assert early.count() >= 200
+    assert linededup._candidates(marked, 4, 5).count() <= 3000
+    got = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(docs).collect()}
+    assert got == helpers.dedup_lines(list(enumerate(texts)))
+
+
 def test_lines_native_plan(spark):
     plan = linededup.dedup_lines(helpers.table(spark, ["a b", "c d"]))._jdf.queryExecution().toString()
     assert not any(w in plan for w in ("Python", "Pandas", "Arrow"))
