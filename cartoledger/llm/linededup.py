@@ -95,7 +95,7 @@ def _parity(words: Column) -> Column:
 
 
 def _leader_keys(below: Column) -> Column:
-    """Keys of the rarest words and of the words on both sides of the mark, before which ``below`` words lie.
+    """Keys of the rarest words and of two runs of words on each side of the mark, before which ``below`` words lie.
 
     A key names several words, common or rare: sets that share one are mostly alike, and like sets mostly share one.
     """
@@ -104,6 +104,8 @@ def _leader_keys(below: Column) -> Column:
         F.slice("words", 1, k),
         F.slice("words", F.greatest(below - k + 1, F.lit(1)), F.least(below, F.lit(k))),
         F.slice("words", below + 1, k),
+        F.slice("words", F.greatest(below - 2 * k + 1, F.lit(1)), F.greatest(F.least(below - k, F.lit(k)), F.lit(0))),
+        F.slice("words", below + k + 1, k),
     ]
     return F.array_compact(F.array(*[F.when(F.size(e) > 0, F.xxhash64(F.lit(i), e)) for i, e in enumerate(ends)]))
 
